@@ -40,41 +40,36 @@ def lon_span_degrees(eps_m: float, max_abs_lat_deg: float, radius: float = EARTH
     return math.degrees(2 * math.asin(s)) if s < 1.0 else 360.0
 
 
-def _ring_terms(ring: Column, px: Column, py: Column):
-    """(crossings, on_edge) for one ring; ring is array<struct<x,y>> and closed."""
-    n = F.size(ring) - 2
-    idx = F.sequence(F.lit(0), F.greatest(n, F.lit(0)))
-
-    def crossing(acc, i):
-        a, b = ring[i], ring[i + 1]
-        ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
-        straddle = (ay > py) != (by > py)
-        x_at = (bx - ax) * (py - ay) / (by - ay) + ax
-        return acc + F.when(straddle & (px < x_at), 1).otherwise(0)
-
-    def on_edge(i):
-        a, b = ring[i], ring[i + 1]
-        ax, ay, bx, by = a["x"], a["y"], b["x"], b["y"]
-        cross = (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-        return (
-            (cross == 0)
-            & (px >= F.least(ax, bx)) & (px <= F.greatest(ax, bx))
-            & (py >= F.least(ay, by)) & (py <= F.greatest(ay, by))
-        )
-
-    crossings = F.aggregate(idx, F.lit(0), crossing)
-    edge = F.exists(idx, on_edge)
-    return crossings, edge
+_RING_CROSSINGS = (
+    "aggregate(sequence(0, greatest(size(r) - 2, 0)), 0, (acc, i) -> acc + "
+    "CASE WHEN ((r[i].y > {py}) <> (r[i + 1].y > {py})) AND "
+    "({px} < (r[i + 1].x - r[i].x) * ({py} - r[i].y) / (r[i + 1].y - r[i].y) + r[i].x) THEN 1 ELSE 0 END)"
+)
+_RING_TOUCH = (
+    "exists(sequence(0, greatest(size(r) - 2, 0)), i -> "
+    "((r[i + 1].x - r[i].x) * ({py} - r[i].y) - (r[i + 1].y - r[i].y) * ({px} - r[i].x)) = 0 "
+    "AND {px} BETWEEN least(r[i].x, r[i + 1].x) AND greatest(r[i].x, r[i + 1].x) "
+    "AND {py} BETWEEN least(r[i].y, r[i + 1].y) AND greatest(r[i].y, r[i + 1].y))"
+)
+
+
+def point_within_sql(rings: str, px: str, py: str) -> str:
+    """SQL text of the strict within test (even-odd over all rings, edges excluded)."""
+    cross = _RING_CROSSINGS.format(px=px, py=py)
+    touch = _RING_TOUCH.format(px=px, py=py)
+    return (
+        f"(aggregate(transform({rings}, r -> {cross}), 0, (a, v) -> a + v) % 2 = 1 "
+        f"AND NOT exists({rings}, r -> {touch}))"
+    )
 
 
 def point_within(rings, x, y) -> Column:
-    """True when point (x, y) lies strictly inside the polygon given by ``rings``."""
-    rings, px, py = col_(rings), col_(x), col_(y)
-    total = F.aggregate(
-        F.transform(rings, lambda r: _ring_terms(r, px, py)[0]), F.lit(0), lambda acc, v: acc + v
-    )
-    touches = F.exists(rings, lambda r: _ring_terms(r, px, py)[1])
-    return ((total % 2) == 1) & ~touches
+    """True when point (x, y) lies strictly inside the polygon given by ``rings``.
+
+    Arguments are column names; the test is one SQL expression (a single call
+    into the JVM instead of a tree of lambda columns built in Python).
+    """
+    return F.expr(point_within_sql(rings, x, y))
 
 
 def ring_bounds(rings) -> dict[str, Column]:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import point_within, ring_bounds
+from ..functions.geo import point_within, point_within_sql, ring_bounds
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 MAX_CELLS_PER_POLYGON = 64
@@ -43,36 +43,49 @@ def load_community_areas(areas: DataFrame) -> DataFrame:
     return areas
 
 
-def _polygon_stats(polys: DataFrame, cell: float | None):
-    ext = F.greatest(F.col("lon_hi") - F.col("lon_lo"), F.col("lat_hi") - F.col("lat_lo"))
-    cells = (F.floor(F.col("lon_hi") / cell) - F.floor(F.col("lon_lo") / cell) + 1) * (
-        F.floor(F.col("lat_hi") / cell) - F.floor(F.col("lat_lo") / cell) + 1
-    ) if cell else F.lit(0)
+def polygon_cells(areas: DataFrame, cell_deg: float | None = None):
+    """Explode polygons to grid cells. Returns (cells DataFrame, cell size, est. bytes).
+
+    One aggregate gives n, sum(w), sum(h), sum(w*h) and the vertex count. For a
+    cell side c every polygon covers at most (w/c + 2)(h/c + 2) cells, so
+    sum(wh)/c^2 + 2(sum w + sum h)/c + 4n bounds the exploded table; c starts
+    at the mean extent and doubles until the bound is <= MAX_CELLS_PER_POLYGON*n.
+    """
+    polys = areas.withColumns(ring_bounds("rings")).filter(F.col("lon_lo").isNotNull())
+    w, h = F.col("lon_hi") - F.col("lon_lo"), F.col("lat_hi") - F.col("lat_lo")
     verts = F.aggregate(F.transform(F.col("rings"), lambda r: F.size(r)), F.lit(0), lambda a, v: a + v)
-    return polys.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(ext).alias("avg_extent"),
-        F.coalesce(F.sum(cells), F.lit(0)).alias("cells"),
-        F.coalesce(F.sum(verts), F.lit(0)).alias("vertices"),
+    st = polys.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(w).alias("sw"), F.sum(h).alias("sh"), F.sum(w * h).alias("swh"),
+        F.avg(F.greatest(w, h)).alias("ext"), F.sum(verts).alias("v"),
     ).first()
+    n = max(int(st["n"] or 0), 1)
+    sw, sh, swh, v = float(st["sw"] or 0), float(st["sh"] or 0), float(st["swh"] or 0), int(st["v"] or 0)
+    cell = cell_deg or max(float(st["ext"] or 1.0) / 4.0, 1e-9)
 
+    def bound(c):
+        return swh / (c * c) + 2 * (sw + sh) / c + 4 * n
 
-def polygon_cells(areas: DataFrame, cell_deg: float | None = None):
-    """Explode polygons to grid cells. Returns (cells DataFrame, cell size, est. bytes)."""
-    polys = areas.withColumns(ring_bounds("rings")).filter(F.col("lon_lo").isNotNull())
-    st = _polygon_stats(polys, None)
-    n = max(int(st["n"] or 0), 1)
-    cell = cell_deg or max(float(st["avg_extent"] or 1.0), 1e-9)
-    # widen the cell until the exploded table is a bounded multiple of the polygon count
-    while True:
-        st = _polygon_stats(polys, cell)
-        if int(st["cells"] or 0) <= MAX_CELLS_PER_POLYGON * n:
-            break
+    while cell_deg is None and bound(cell) > MAX_CELLS_PER_POLYGON * n:
         cell *= 2.0
-    est_bytes = int(st["cells"] or 0) * 96 + int(st["vertices"] or 0) * 16 * max(1, int(st["cells"] or 0) // n)
+    n_cells = bound(cell)
+    est_bytes = int(n_cells * 96 + v * 16 * (n_cells / n))
     gx = F.explode(F.sequence(F.floor(F.col("lon_lo") / cell), F.floor(F.col("lon_hi") / cell)))
     gy = F.explode(F.sequence(F.floor(F.col("lat_lo") / cell), F.floor(F.col("lat_hi") / cell)))
     cells = polys.withColumn("_gx", gx).withColumn("_gy", gy).drop("lon_lo", "lon_hi", "lat_lo", "lat_hi")
+    # Classify each (polygon, cell): a cell that no edge's bounding box touches
+    # lies wholly inside (interior: match without a point test) or wholly
+    # outside (dropped). Only boundary cells run the exact ray-cast per point.
+    x0, x1, y0, y1 = f"(_gx * {cell!r})", f"((_gx + 1) * {cell!r})", f"(_gy * {cell!r})", f"((_gy + 1) * {cell!r})"
+    touch = (
+        "exists(rings, r -> exists(sequence(0, greatest(size(r) - 2, 0)), i -> "
+        f"greatest(r[i].x, r[i + 1].x) >= {x0} AND least(r[i].x, r[i + 1].x) <= {x1} AND "
+        f"greatest(r[i].y, r[i + 1].y) >= {y0} AND least(r[i].y, r[i + 1].y) <= {y1}))"
+    )
+    cells = cells.withColumns({
+        "_boundary": F.expr(touch),
+        "_centre_in": F.expr(point_within_sql("rings", f"(({x0} + {x1}) / 2)", f"(({y0} + {y1}) / 2)")),
+    })
+    cells = cells.filter(F.col("_boundary") | F.col("_centre_in")).drop("_centre_in")
     return cells, cell, est_bytes
 
 
@@ -92,13 +105,13 @@ def spatial_join(points: DataFrame, areas: DataFrame, x: str = "lon", y: str = "
     if est_bytes <= broadcast_limit:
         cells = F.broadcast(cells)
     pts = points.withColumns({"_cx": F.floor(F.col(x) / cell), "_cy": F.floor(F.col(y) / cell)})
+    pts = pts.withColumns({"_px": F.col(x), "_py": F.col(y)})
     cond = (
         (pts["_cx"] == cells["_gx"]) & (pts["_cy"] == cells["_gy"])
-        & point_within(cells["rings"], pts[x], pts[y])
+        & (~cells["_boundary"] | point_within("rings", "_px", "_py"))
     )
     joined = pts.join(cells, cond, "left")
-    out_cols = [pts[c] for c in points.columns] + [cells[c] for c in area_cols if not c.startswith("index_")]
-    return joined.select(*out_cols)
+    return joined.select(*points.columns, *[c for c in area_cols if not c.startswith("index_")])
 
 
 def bbox_rings(lon_lo, lat_lo, lon_hi, lat_hi):
