@@ -84,8 +84,6 @@ def cluster_centroids(clustered: DataFrame, cluster_col: str = "cluster_id", x:
 def quantile_thresholds(df: DataFrame, score: str = "mean_weighted_severity", zero_is_no_data: bool = False) -> DataFrame:
     """One row: exact linear-interpolation quantiles p50/p75/p90 of the non-null scores."""
     s = F.col(score)
-    if zero_is_no_data:
-        pass  # thresholds still use every non-null score; zero only changes the band
     q = F.percentile(s, F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9)))
     return df.filter(s.isNotNull()).agg(q.alias("_q")).select(
         F.coalesce(F.col("_q")[0], F.lit(0.0)).alias("p50"),
@@ -98,9 +96,10 @@ def with_risk_band(df: DataFrame, score: str = "mean_weighted_severity", out: st
                    thresholds: DataFrame | None = None, zero_is_no_data: bool = False) -> DataFrame:
     """Attach a quantile band; thresholds are a broadcast one-row table (scalar join)."""
     th = thresholds if thresholds is not None else quantile_thresholds(df, score)
-    j = df.crossJoin(F.broadcast(th))  # one-row scalar side
+    # one-row scalar side, attached by a broadcast equi-join on a constant key
+    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(th.withColumn("_one", F.lit(1))), "_one")
     return j.withColumn(out, risk_band(score, F.col("p50"), F.col("p75"), F.col("p90"), zero_is_no_data)).drop(
-        "p50", "p75", "p90"
+        "p50", "p75", "p90", "_one"
     )
 
 
@@ -118,10 +117,5 @@ def top_k(df: DataFrame, by: str, k: int = 10, ascending: bool = False, tie: str
     return df.orderBy(o, *[F.col(t).asc() for t in ties]).limit(k)
 
 
-def with_rank(df: DataFrame, by: str, tie: str, out: str = "rank", ascending: bool = False) -> DataFrame:
-    o = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
-    return df.withColumn(out, F.row_number().over(Window.orderBy(o, F.col(tie))))
-
-
 def safe_share(part: Column, total: Column) -> Column:
     return safe_ratio(part, total)

@@ -62,3 +62,9 @@ def areas_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "community_area_number", "area_num_1")
     r = community(spark, sf_dir)
     return a.join(F.broadcast(r), a["area_num_1"] == r["community_area_number"], "left")
+
+
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crash severity rows with DBSCAN hotspot labels (per community area)."""
+    from ..operators.dbscan import dbscan
+    return dbscan(severity(spark, sf_dir))
