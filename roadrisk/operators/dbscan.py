@@ -39,6 +39,7 @@ from ..session import ensure_checkpoint_dir
 
 NULL_GROUP = -(2 ** 62)
 MICRO = 8
+BROADCAST_ROWS = 2_000_000  # (long, long) rows: ~32 MB
 
 
 def _hav_sql(la1: str, lo1: str, la2: str, lo2: str) -> str:
@@ -79,18 +80,31 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 6
     e = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     e = _checkpoint(e.filter(F.col("src") != F.col("dst")).distinct())
     labels = _checkpoint(nodes.select(F.col("node"), F.col("node").alias("label")))
+
+    def jump(lab: DataFrame) -> DataFrame:
+        # label <- label(label). Converged components share one label (a hot key),
+        # so the lookup side is the *distinct* current labels with their own
+        # labels: one row per key, broadcast once its measured size is small.
+        roots = lab.select(F.col("label").alias("_n")).distinct()
+        roots = roots.join(lab.select(F.col("node").alias("_n"), F.col("label").alias("_l")), "_n")
+        roots = _checkpoint(roots)
+        if roots.count() <= BROADCAST_ROWS:
+            roots = F.broadcast(roots)
+        j = lab.join(roots, lab["label"] == roots["_n"], "left")
+        return j.select("node", "old", F.least(F.col("label"), F.coalesce(F.col("_l"), F.col("label"))).alias("label"))
+
     for _ in range(max_rounds):
         prop = e.join(labels.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
             F.min("label").alias("nl"))
         step = labels.join(prop, "node", "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label"))
-        jump = step.alias("a").join(step.alias("b"), F.col("a.label") == F.col("b.node"), "left").select(
-            F.col("a.node").alias("node"),
-            F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label"))
-        new = _checkpoint(jump)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node").filter(F.col("label") != F.col("old"))
-        labels = new
-        if changed.isEmpty():
+            "node", F.col("label").alias("old"),
+            F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label"))
+        step = _checkpoint(step)
+        # one pointer jump per round; the previous label rides along, so no
+        # self-join on node is needed to detect change
+        new = _checkpoint(jump(step).withColumn("changed", F.col("label") != F.col("old")).drop("old"))
+        labels = new.select("node", "label")
+        if new.filter("changed").isEmpty():  # reads the checkpoint only
             break
     return labels
 
@@ -136,36 +150,44 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
                                  for dx in range(-klon, klon + 1) for dy in range(-klat, klat + 1)]))
 
     # 3. sparse-cell points probe neighbour cells
-    probe = pts.filter(~F.col("dense")).select("g", "pid", "w", "la", "lo", "cx", "cy").withColumn("o", off_df)
-    probe = probe.select("g", "pid", "la", "lo", (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
+    probe = pts.filter(~F.col("dense")).select("g", "pid", "la", "lo", F.col("cx").alias("pcx"),
+                                               F.col("cy").alias("pcy")).withColumn("o", off_df)
+    probe = probe.select("g", "pid", "la", "lo", "pcx", "pcy", (F.col("pcx") + F.col("o.dx")).alias("cx"),
+                         (F.col("pcy") + F.col("o.dy")).alias("cy"))
     other = pts.select("g", "cx", "cy", F.col("pid").alias("qpid"), F.col("w").alias("qw"), F.col("la").alias("qla"),
-                       F.col("lo").alias("qlo"), F.col("dense").alias("qdense"), F.col("node").alias("qnode"))
+                       F.col("lo").alias("qlo"))
     pairs = probe.join(other, ["g", "cx", "cy"]).filter(F.expr(_hav_sql("la", "lo", "qla", "qlo")) <= eps_m)
-    pairs = _checkpoint(pairs.select("g", "pid", "qpid", "qw", "qdense", "qnode"))
+    pairs = _checkpoint(pairs.select("g", "pid", "pcx", "pcy", "qpid", "qw", "cx", "cy"))
     counts = pairs.groupBy("pid").agg(F.sum("qw").alias("nbrs"))
     pts = pts.join(counts, "pid", "left").withColumn(
         "core", F.col("dense") | (F.coalesce(F.col("nbrs"), F.lit(0)) >= min_samples))
     pts = _checkpoint(pts)
 
+    # Any two points of one cell are within eps, so all core points of a cell are
+    # directly connected: each cell holding a core point is ONE graph node, named
+    # by its smallest core id (so component minima are smallest core ids).
+    core_cells = _checkpoint(pts.filter("core").groupBy("g", "cx", "cy").agg(F.min("pid").alias("cnode")))
     core_of = pts.select(F.col("pid").alias("qpid"), F.col("core").alias("qcore"))
     p_core = pts.select("pid", "core")
     sp = pairs.join(core_of, "qpid").join(p_core, "pid")
-    # sparse core <-> any core
-    e1 = sp.filter(F.col("core") & F.col("qcore")).select(F.col("pid").alias("src"), F.col("qnode").alias("dst"))
+    # sparse core <-> any core, as distinct cell pairs
+    cc_pairs = sp.filter(F.col("core") & F.col("qcore")).select("g", "pcx", "pcy", "cx", "cy").distinct()
+    src_cells = core_cells.select("g", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"), F.col("cnode").alias("src"))
+    dst_cells = core_cells.select("g", "cx", "cy", F.col("cnode").alias("dst"))
+    e1 = cc_pairs.join(src_cells, ["g", "pcx", "pcy"]).join(dst_cells, ["g", "cx", "cy"]).select("src", "dst")
 
-    # 4. dense <-> dense cells via micro boxes
+    # 4. dense <-> dense cells via micro boxes (a dense cell's node is its smallest id)
     e2 = _dense_links(pts, off_df, dlat, dlon, eps_m)
 
-    nodes = pts.filter("core").select("node").distinct()
-    edges = e1.unionByName(e2)
-    labels = connected_components(edges, nodes)
+    nodes = core_cells.select(F.col("cnode").alias("node"))
+    labels = connected_components(e1.unionByName(e2), nodes)
+    cell_label = core_cells.join(labels, core_cells["cnode"] == labels["node"]).select("g", "cx", "cy", "label")
 
-    core_lab = pts.filter("core").join(labels, "node").select("pid", "g", F.col("label").alias("core_label"))
+    core_lab = pts.filter("core").join(cell_label, ["g", "cx", "cy"]).select("pid", F.col("label").alias("core_label"))
     # border: non-core with a core neighbour -> smallest neighbouring component label
-    lab_q = labels.select(F.col("node").alias("qnode"), F.col("label").alias("ql"))
-    border = sp.filter(~F.col("core") & F.col("qcore")).join(lab_q, "qnode").groupBy("pid").agg(
-        F.min("ql").alias("border_label"))
-    allp = pts.select("pid", "g", "core").join(core_lab.select("pid", "core_label"), "pid", "left").join(border, "pid", "left")
+    border = sp.filter(~F.col("core") & F.col("qcore")).join(cell_label, ["g", "cx", "cy"]).groupBy("pid").agg(
+        F.min("label").alias("border_label"))
+    allp = pts.select("pid", "g", "core").join(core_lab, "pid", "left").join(border, "pid", "left")
     allp = allp.withColumn("label", F.coalesce("core_label", "border_label"))
 
     # 6. cluster ids in (group nulls last, label) order
