@@ -141,7 +141,11 @@ def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{name}-{key}"
     out_path = jvm.org.apache.hadoop.fs.Path(out + "/_SUCCESS")
     if not out_path.getFileSystem(conf).exists(out_path):
-        build().write.mode("overwrite").parquet(out)
+        df = build()
+        # at least one file per core so every later scan is parallel (a small
+        # single-file source would otherwise pin all queries to one task)
+        n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+        df.repartition(n).write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
