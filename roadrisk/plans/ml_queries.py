@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as EV
 from ..operators import ml as ML
-from ..operators.explain import attribution_share, global_importance, linear_contributions
+from ..operators.explain import attribution_share, global_importance, lime_local, linear_contributions, shapley_mc
 from ..operators.profile import group_ranges
 from ..operators.sampling import stratified_folds, stratified_split
 from ..schemas import FEATURE_COLUMNS, TARGET
@@ -146,3 +146,30 @@ def location_cluster_profile(spark, sf_dir):
     from ..operators.clean import drop_zero_points
     df, _ = ML.location_cluster(drop_zero_points(S.raw(spark, sf_dir)))
     return group_ranges(df, "LOCATION_CLUSTER")
+
+
+def _gbt_with_samples(spark, sf_dir, n_rows: int = 200, n_bg: int = 50):
+    from ..operators.sampling import exact_sample
+    train, test = _split(spark, sf_dir)
+    pred, fitted, _ = ML.fit_predict(train, test, FEATURE_COLUMNS, TARGET, "GBT", iters=10)
+    rows = exact_sample(pred.select("crash_id", "features"), n_rows, "crash_id")
+    bg = exact_sample(pred.select("crash_id", "features"), n_bg, "crash_id", seed=7)
+    return fitted, rows, bg, pred
+
+
+@register("attribution_shapley")
+def attribution_shapley(spark, sf_dir):
+    """EX1/EX2: Monte-Carlo Shapley values of the tree model on a 200-row sample -> top-20 shares."""
+    fitted, rows, bg, _ = _gbt_with_samples(spark, sf_dir)
+    contrib = shapley_mc(fitted, rows, bg, FEATURE_COLUMNS, "crash_id", n_perm=10)
+    return attribution_share(global_importance(contrib))
+
+
+@register("lime_local")
+def lime_local_q(spark, sf_dir):
+    """EX5: LIME-style local surrogate (top-10 features) for the example rows of the test set."""
+    from ..operators.sampling import example_rows
+    fitted, _, bg, pred = _gbt_with_samples(spark, sf_dir)
+    ex = example_rows(pred.select("crash_id"), "crash_id").select("crash_id")
+    rows = pred.select("crash_id", "features").join(F.broadcast(ex), "crash_id")
+    return lime_local(fitted, rows, bg, FEATURE_COLUMNS, "crash_id")
