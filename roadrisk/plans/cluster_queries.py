@@ -129,3 +129,12 @@ def cluster_layer(spark, sf_dir):
         "cluster_id", "centroid_lon", "centroid_lat", "total_crashes", "weighted_score",
         (F.sqrt("total_crashes") * 2).alias("marker_size"))
     return rounded(out)
+
+
+@register("centroid_head", dsql(
+    "SELECT cluster_id, round(centroid_lon, 9) AS centroid_lon, round(centroid_lat, 9) AS centroid_lat FROM c_cent "
+    "ORDER BY cluster_id LIMIT 10"))
+def centroid_head(spark, sf_dir):
+    """WI8: first 10 centroid coordinates in cluster-id order."""
+    c = R.cluster_centroids(S.clustered(spark, sf_dir))
+    return rounded(c.orderBy("cluster_id").limit(10).select("cluster_id", "centroid_lon", "centroid_lat"))

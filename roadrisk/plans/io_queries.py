@@ -41,3 +41,19 @@ def load_areas_q(spark, sf_dir):
     props = T.StructType([T.StructField("area_num_1", T.StringType()), T.StructField("community", T.StringType())])
     areas = load_community_areas(read_geojson_polygons(spark, path, props, multiline=False))
     return areas.select("community_area_number", "community_area_name", "geom_type")
+
+
+@register("csv_roundtrip", sql(
+    "SELECT crash_id, LATITUDE, WEATHER_CONDITION, INJURIES_REPORTED_NOT_EVIDENT, CRASH_TYPE FROM crashes"))
+def csv_roundtrip(spark, sf_dir):
+    """IO1/IO2/IO5: crash extract written as CSV with header and read back with the explicit schema."""
+    from pyspark.sql import functions as F
+    from ..schemas import CRASHES_RAW
+    from ..sources.geojson import read_crashes_csv, write_csv
+    path = _scratch(spark, "crashes_csv")
+    raw = S.raw(spark, sf_dir).withColumnRenamed("crash_id", "CRASH_ID_NUM")
+    write_csv(raw.select("CRASH_ID_NUM", *[f.name for f in CRASHES_RAW.fields]), path)
+    schema = T.StructType([T.StructField("CRASH_ID_NUM", T.LongType()), *CRASHES_RAW.fields])
+    back = read_crashes_csv(spark, path, schema)
+    return back.select(F.col("CRASH_ID_NUM").alias("crash_id"), "LATITUDE", "WEATHER_CONDITION",
+                       "INJURIES_REPORTED_NOT_EVIDENT", "CRASH_TYPE")

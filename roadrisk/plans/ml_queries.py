@@ -173,3 +173,75 @@ def lime_local_q(spark, sf_dir):
     ex = example_rows(pred.select("crash_id"), "crash_id").select("crash_id")
     rows = pred.select("crash_id", "features").join(F.broadcast(ex), "crash_id")
     return lime_local(fitted, rows, bg, FEATURE_COLUMNS, "crash_id")
+
+
+def _metrics_for(spark, sf_dir, model: str, **kw):
+    train, test = _split(spark, sf_dir)
+    pred, _, _ = ML.fit_predict(train, test, FEATURE_COLUMNS, TARGET, model, **kw)
+    return EV.classification_metrics(pred, "label", "prediction").withColumn("model", F.lit(model))
+
+
+@register("train_forest")
+def train_forest(spark, sf_dir):
+    """ML9: random forest without bootstrap, balanced weights (extra-trees stand-in) -> test metrics."""
+    return _metrics_for(spark, sf_dir, "RandomForest", trees=20)
+
+
+@register("train_gbt")
+def train_gbt(spark, sf_dir):
+    """ML10/ML11: gradient-boosted trees (depth 6, step 0.05, 0.8 row/feature sampling) -> test metrics."""
+    return _metrics_for(spark, sf_dir, "GBT", iters=10)
+
+
+@register("probability_table")
+def probability_table(spark, sf_dir):
+    """SC18: per scored row, one row per outcome with its probability in percent."""
+    pred, _, indexer = _logreg(spark, sf_dir)
+    labels = F.array(*[F.lit(v) for v in indexer.labels])
+    ex = pred.select("crash_id", F.posexplode("prob").alias("pos", "p"))
+    return ex.select("crash_id", F.element_at(labels, F.col("pos") + 1).alias("outcome"),
+                     (F.col("p") * 100).alias("probability"))
+
+
+@register("prepare_data", fsql(
+    "SELECT split, CRASH_TYPE, count(*) AS n FROM (SELECT CRASH_TYPE, CASE WHEN rn <= round(nc * 0.2) THEN 'test' "
+    "ELSE 'train' END AS split FROM (SELECT CRASH_TYPE, row_number() OVER (PARTITION BY CRASH_TYPE ORDER BY "
+    "md5(concat_ws('-', '42', CAST(crash_id AS VARCHAR))), crash_id) AS rn, count(*) OVER (PARTITION BY CRASH_TYPE) AS nc "
+    "FROM features)) GROUP BY split, CRASH_TYPE"))
+def prepare_data_q(spark, sf_dir):
+    """ML20 + IO9-IO11: exact stratified split written as train/test Parquet + feature names; counts read back."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepared/{uuid.uuid4().hex[:12]}"
+    paths = ML.prepare_data(_features(spark, sf_dir), out, TARGET, "crash_id")
+    tr = spark.read.parquet(paths["train"]).withColumn("split", F.lit("train"))
+    te = spark.read.parquet(paths["test"]).withColumn("split", F.lit("test"))
+    return tr.unionByName(te).groupBy("split", "CRASH_TYPE").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """IO12 + AP2: persist the fitted pipeline (indexer + assembler + model), load it, score the test rows."""
+    import uuid
+    from pyspark.ml import PipelineModel
+    from ..session import ensure_checkpoint_dir
+    train, test = _split(spark, sf_dir)
+    (tr, te), indexer = ML.prepare(train, [test], FEATURE_COLUMNS, TARGET)
+    tr = ML.with_class_weight(tr, "label")
+    fitted = ML.make_classifier("LogisticRegression", n_rows=tr.count()).fit(tr)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex[:12]}"
+    PipelineModel(stages=[fitted]).write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    return loaded.transform(te).select("crash_id", "prediction")
+
+
+@register("metrics_json")
+def metrics_json(spark, sf_dir):
+    """IO8: metrics written as JSON and read back with defaults for missing fields/files."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    m = eval_metrics(spark, sf_dir).first()
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/metrics/{uuid.uuid4().hex[:12]}"
+    ML.write_metrics(spark, {"best_model": "LogisticRegression", "test_balanced_accuracy": float(m["balanced_accuracy"])},
+                     path)
+    return ML.read_metrics(spark, path).unionByName(ML.read_metrics(spark, path + "-missing"))

@@ -58,10 +58,12 @@ def community(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def areas_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area table left-joined to the risk table on differently named keys."""
+    from ..operators.spatial import find_area_key
     a = areas(spark).select("community_area_number", "community", "rings", "geom_type").withColumnRenamed(
         "community_area_number", "area_num_1")
-    r = community(spark, sf_dir)
-    return a.join(F.broadcast(r), a["area_num_1"] == r["community_area_number"], "left")
+    key = find_area_key(a.columns)  # the boundary table's own key name
+    r = community(spark, sf_dir)  # 77 rows (spine-bounded): broadcast
+    return a.join(F.broadcast(r), a[key] == r["community_area_number"], "left")
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
