@@ -25,9 +25,13 @@ def _attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
 
 def median_impute(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None) -> DataFrame:
     """Fill nulls with the exact median (linear interpolation) of each column."""
+    from .profile import percentiles
     src = stats_from if stats_from is not None else df
-    med = src.agg(*[F.percentile(F.col(c), 0.5).alias(f"_med_{c}") for c in cols])
-    out = _attach_row(df, med)
+    med = None
+    for c in cols:  # one exact distributed median per column, joined into one row
+        m = percentiles(src, c, [0.5], [f"_med_{c}"]).withColumn("_k", F.lit(1))
+        med = m if med is None else med.join(m, "_k")
+    out = _attach_row(df, med.drop("_k"))
     return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols}).drop(
         *[f"_med_{c}" for c in cols])
 

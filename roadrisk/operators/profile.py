@@ -32,12 +32,11 @@ def coordinate_bounds(df: DataFrame, lat: str = "LATITUDE", lon: str = "LONGITUD
 
 def describe(df: DataFrame, c: str) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max of one numeric column."""
-    q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-        q.alias("_q"), F.max(c).alias("max"),
-    ).select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-             F.col("_q")[2].alias("p75"), "max")
+    base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                  F.min(c).alias("min"), F.max(c).alias("max"))
+    q = percentiles(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    j = base.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one")  # two one-row tables
+    return j.select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -53,3 +52,44 @@ def group_ranges(df: DataFrame, key: str, lat: str = "LATITUDE", lon: str = "LON
         F.min(lat).alias("LAT_MIN"), F.max(lat).alias("LAT_MAX"), F.min(lon).alias("LON_MIN"),
         F.max(lon).alias("LON_MAX"), F.avg(lat).alias("LAT_CENTER"), F.avg(lon).alias("LON_CENTER"),
     )
+
+
+FREQ_TABLE_LIMIT = 1_000_000
+
+
+def percentiles(df: DataFrame, c: str, qs: list[float], names: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles of the non-null values, as a one-row table.
+
+    Never buffers the column in one task: with at most ``FREQ_TABLE_LIMIT``
+    distinct values the answer comes from the value-frequency table and its
+    cumulative counts; otherwise from a distributed global rank, reading only
+    the rows at the needed positions. Empty input gives nulls.
+    """
+    from .sampling import row_number_distributed
+
+    names = names or [f"q{i}" for i in range(len(qs))]
+    spark = df.sparkSession
+    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    freq = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    stats = freq.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total")).first()
+    k, total = int(stats["k"] or 0), int(stats["total"] or 0)
+    if total == 0:
+        return spark.createDataFrame([tuple([None] * len(qs))], ", ".join(f"{n} double" for n in names))
+    need = sorted({p for q in qs for p in (int((total - 1) * q // 1), -int(-((total - 1) * q) // 1))})
+    if k <= FREQ_TABLE_LIMIT:
+        w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over <= k rows
+        cum = freq.withColumn("_end", F.sum("n").over(w)).withColumn("_start", F.col("_end") - F.col("n"))
+        pos = spark.createDataFrame([(p,) for p in need], "pos long")
+        at = cum.join(F.broadcast(pos), (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end")))
+        at = at.select("pos", "v")
+    else:
+        ranked = row_number_distributed(vals.withColumn("_g", F.lit(0)), ["_g"], [F.col("v")])
+        at = ranked.filter((F.col("rn") - 1).isin(need)).select((F.col("rn") - 1).alias("pos"), "v")
+    exprs = []
+    for q, name in zip(qs, names):
+        h = (total - 1) * q
+        lo, hi = int(h // 1), -int(-h // 1)
+        v_lo = F.max(F.when(F.col("pos") == lo, F.col("v")))
+        v_hi = F.max(F.when(F.col("pos") == hi, F.col("v")))
+        exprs.append((v_lo + (v_hi - v_lo) * F.lit(h - lo)).alias(name))
+    return at.agg(*exprs)

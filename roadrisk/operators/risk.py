@@ -83,13 +83,9 @@ def cluster_centroids(clustered: DataFrame, cluster_col: str = "cluster_id", x:
 
 def quantile_thresholds(df: DataFrame, score: str = "mean_weighted_severity", zero_is_no_data: bool = False) -> DataFrame:
     """One row: exact linear-interpolation quantiles p50/p75/p90 of the non-null scores."""
-    s = F.col(score)
-    q = F.percentile(s, F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9)))
-    return df.filter(s.isNotNull()).agg(q.alias("_q")).select(
-        F.coalesce(F.col("_q")[0], F.lit(0.0)).alias("p50"),
-        F.coalesce(F.col("_q")[1], F.lit(0.0)).alias("p75"),
-        F.coalesce(F.col("_q")[2], F.lit(0.0)).alias("p90"),
-    )
+    from .profile import percentiles
+    q = percentiles(df, score, [0.5, 0.75, 0.9], ["p50", "p75", "p90"])
+    return q.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("p50", "p75", "p90")])
 
 
 def with_risk_band(df: DataFrame, score: str = "mean_weighted_severity", out: str = "risk_category",

@@ -21,8 +21,13 @@ _NUM = ["POSTED_SPEED_LIMIT", "NUM_UNITS", "CRASH_HOUR", "CRASH_MONTH", "WEATHER
     "SELECT " + ", ".join(f"round(quantile_cont({c}, 0.5), 9) AS med_{c}" for c in _NUM) + " FROM features"))
 def impute_median(spark, sf_dir):
     """ML3: exact medians used to fill nulls (linear interpolation)."""
+    from ..operators.profile import percentiles
     f = _features(spark, sf_dir)
-    return rounded(f.agg(*[F.percentile(F.col(c), 0.5).alias(f"med_{c}") for c in _NUM]))
+    out = None
+    for c in _NUM:
+        m = percentiles(f, c, [0.5], [f"med_{c}"]).withColumn("_k", F.lit(1))
+        out = m if out is None else out.join(m, "_k")
+    return rounded(out.drop("_k"))
 
 
 @register("standardize", fsql(
