@@ -201,42 +201,87 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
                       F.when(F.col("core"), F.col("core_label")).alias("core_label"), "cluster_id")
 
 
-def _dense_links(pts: DataFrame, off_df: DataFrame, dlat: float, dlon: float, eps_m: float) -> DataFrame:
-    """Edges between dense cells that hold a pair of points within eps."""
+def _box_lower(a: str, b: str):
+    """Lower bound (metres) of the distance between two lat/lon boxes {a,b}{la0,la1,lo0,lo1}."""
+    gap_la = F.greatest(F.lit(0.0), F.col(f"{b}la0") - F.col(f"{a}la1"), F.col(f"{a}la0") - F.col(f"{b}la1"))
+    gap_lo = F.greatest(F.lit(0.0), F.col(f"{b}lo0") - F.col(f"{a}lo1"), F.col(f"{a}lo0") - F.col(f"{b}lo1"))
+    amax = F.greatest(F.abs(f"{a}la0"), F.abs(f"{a}la1"), F.abs(f"{b}la0"), F.abs(f"{b}la1"))
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), F.pow(F.sin(F.radians(gap_la) / 2), 2)
+                                                      + F.pow(F.cos(F.radians(amax)), 2) * F.pow(F.sin(F.radians(gap_lo) / 2), 2))))
+
+
+def _box_upper(a: str, b: str):
+    """Upper bound (metres): the largest corner-to-corner distance of two boxes."""
+    return F.greatest(*[haversine_m(F.col(f"{a}{la}"), F.col(f"{a}{lo}"), F.col(f"{b}{lb}"), F.col(f"{b}{lob}"))
+                        for la in ("la0", "la1") for lo in ("lo0", "lo1") for lb in ("la0", "la1") for lob in ("lo0", "lo1")])
+
+
+def _dense_links(pts: DataFrame, off_df, dlat: float, dlon: float, eps_m: float) -> DataFrame:
+    """Edges between dense cells that hold a pair of points within eps.
+
+    1. Micro boxes (bounding boxes of the points in 1/8 x 1/8 sub-cells) that
+       touch across a cell border (3x3 stencil on global micro coordinates) and
+       are surely within eps link their cells at once.
+    2. Only neighbouring dense-cell pairs still unlinked are examined further,
+       each side restricted to the micro boxes that can be within eps of the
+       other cell's point bounding box; surely-close box pairs link, surely-far
+       ones drop, and only undecided box pairs compare points.
+    """
     d = pts.filter("dense").select(
         "g", "cx", "cy", "node", "la", "lo", "pid",
         F.floor((F.col("lo") / dlon - F.col("cx")) * MICRO).alias("mx"),
         F.floor((F.col("la") / dlat - F.col("cy")) * MICRO).alias("my"),
     )
+    d = d.withColumns({"mx": F.least(F.greatest(F.col("mx"), F.lit(0)), F.lit(MICRO - 1)),
+                       "my": F.least(F.greatest(F.col("my"), F.lit(0)), F.lit(MICRO - 1))})
     d = _checkpoint(d)
     boxes = d.groupBy("g", "cx", "cy", "node", "mx", "my").agg(
         F.min("la").alias("la0"), F.max("la").alias("la1"), F.min("lo").alias("lo0"), F.max("lo").alias("lo1"))
-    cell_a = boxes.select("g", "cx", "cy").distinct()
-    nb = cell_a.withColumn("o", off_df).select(
-        "g", F.col("cx").alias("acx"), F.col("cy").alias("acy"),
-        (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
-    nb = nb.filter((F.col("cx") > F.col("acx")) | ((F.col("cx") == F.col("acx")) & (F.col("cy") > F.col("acy"))))
-    a = boxes.select("g", F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("node").alias("an"),
-                     F.col("mx").alias("amx"), F.col("my").alias("amy"), *[F.col(c).alias("a" + c) for c in ("la0", "la1", "lo0", "lo1")])
-    b = boxes.select("g", "cx", "cy", F.col("node").alias("bn"), F.col("mx").alias("bmx"), F.col("my").alias("bmy"),
-                     *[F.col(c).alias("b" + c) for c in ("la0", "la1", "lo0", "lo1")])
-    mp = a.join(nb, ["g", "acx", "acy"]).join(b, ["g", "cx", "cy"])
-    # lower bound of the box distance: gaps in lat/lon at the smaller cosine
-    gap_la = F.greatest(F.lit(0.0), F.col("bla0") - F.col("ala1"), F.col("ala0") - F.col("bla1"))
-    gap_lo = F.greatest(F.lit(0.0), F.col("blo0") - F.col("alo1"), F.col("alo0") - F.col("blo1"))
-    amax = F.greatest(F.abs("ala0"), F.abs("ala1"), F.abs("bla0"), F.abs("bla1"))
-    lower = 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), F.pow(F.sin(F.radians(gap_la) / 2), 2)
-                                                        + F.pow(F.cos(F.radians(amax)), 2) * F.pow(F.sin(F.radians(gap_lo) / 2), 2))))
-    corners = [haversine_m(F.col(f"a{la}"), F.col(f"a{lo}"), F.col(f"b{lb}"), F.col(f"b{lob}"))
-               for la in ("la0", "la1") for lo in ("lo0", "lo1") for lb in ("la0", "la1") for lob in ("lo0", "lo1")]
-    upper = F.greatest(*corners)
-    mp = mp.withColumns({"lower": lower, "upper": upper}).filter(F.col("lower") <= eps_m)
-    sure = mp.filter(F.col("upper") <= eps_m * (1 - 1e-9)).select(F.col("an").alias("src"), F.col("bn").alias("dst"))
-    unsure = mp.filter(F.col("upper") > eps_m * (1 - 1e-9)).select("g", "an", "amx", "amy", "bn", "bmx", "bmy", "acx", "acy", "cx", "cy")
+    boxes = _checkpoint(boxes.withColumns({"gmx": F.col("cx") * MICRO + F.col("mx"), "gmy": F.col("cy") * MICRO + F.col("my")}))
+    box_cols = ("la0", "la1", "lo0", "lo1")
+
+    def side(prefix: str):
+        return boxes.select("g", *[F.col(c).alias(prefix + c) for c in ("cx", "cy", "node", "mx", "my", "gmx", "gmy", *box_cols)])
+
+    # 1. touching micro boxes across a border
+    stencil = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
+                                  for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    a = side("a").withColumn("o", stencil).withColumns(
+        {"bgmx": F.col("agmx") + F.col("o.i"), "bgmy": F.col("agmy") + F.col("o.j")}).drop("o")
+    touch = a.join(side("b"), ["g", "bgmx", "bgmy"]).filter(F.col("anode") != F.col("bnode"))
+    sure1 = touch.filter(_box_upper("a", "b") <= eps_m * (1 - 1e-9)).select(
+        "g", "acx", "acy", "bcx", "bcy", F.col("anode").alias("src"), F.col("bnode").alias("dst")).distinct()
+    sure1 = _checkpoint(sure1)
+
+    # 2. remaining neighbouring dense-cell pairs (forward half of the stencil)
+    cbox = d.groupBy("g", "cx", "cy", "node").agg(
+        F.min("la").alias("la0"), F.max("la").alias("la1"), F.min("lo").alias("lo0"), F.max("lo").alias("lo1"))
+    nb = cbox.select("g", F.col("cx").alias("acx"), F.col("cy").alias("acy"), *[F.col(c).alias("xa" + c) for c in box_cols])
+    nb = nb.withColumn("o", off_df).select(
+        "*", (F.col("acx") + F.col("o.dx")).alias("bcx"), (F.col("acy") + F.col("o.dy")).alias("bcy")).drop("o")
+    nb = nb.filter((F.col("bcx") > F.col("acx")) | ((F.col("bcx") == F.col("acx")) & (F.col("bcy") > F.col("acy"))))
+    nb = nb.join(cbox.select("g", F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), *[F.col(c).alias("xb" + c) for c in box_cols]),
+                 ["g", "bcx", "bcy"])
+    linked = sure1.select("g", "acx", "acy", "bcx", "bcy").union(
+        sure1.select("g", F.col("bcx").alias("acx"), F.col("bcy").alias("acy"), F.col("acx").alias("bcx"), F.col("acy").alias("bcy")))
+    nb = nb.join(linked.distinct(), ["g", "acx", "acy", "bcx", "bcy"], "left_anti")
+    nb = _checkpoint(nb.filter(_box_lower("xa", "xb") <= eps_m))
+    # boxes of A that can reach B's point box, and vice versa
+    ab = nb.join(side("a"), ["g", "acx", "acy"]).filter(_box_lower("a", "xb") <= eps_m)
+    bb = nb.select("g", "acx", "acy", "bcx", "bcy", *[F.col("xa" + c) for c in box_cols]).join(
+        side("b"), ["g", "bcx", "bcy"]).filter(_box_lower("b", "xa") <= eps_m)
+    mp = ab.select("g", "acx", "acy", "bcx", "bcy", "anode", "amx", "amy", *[F.col("a" + c) for c in box_cols]).join(
+        bb.select("g", "acx", "acy", "bcx", "bcy", "bnode", "bmx", "bmy", *[F.col("b" + c) for c in box_cols]),
+        ["g", "acx", "acy", "bcx", "bcy"])
+    mp = mp.filter(_box_lower("a", "b") <= eps_m).withColumn("upper", _box_upper("a", "b"))
+    sure2 = mp.filter(F.col("upper") <= eps_m * (1 - 1e-9)).select(F.col("anode").alias("src"), F.col("bnode").alias("dst"))
+    unsure = mp.filter(F.col("upper") > eps_m * (1 - 1e-9)).select("g", "acx", "acy", "amx", "amy", "anode",
+                                                                      "bcx", "bcy", "bmx", "bmy", "bnode")
     pa = d.select("g", F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("mx").alias("amx"), F.col("my").alias("amy"),
                   F.col("la").alias("pla"), F.col("lo").alias("plo"))
-    pb = d.select("g", "cx", "cy", F.col("mx").alias("bmx"), F.col("my").alias("bmy"), F.col("la").alias("qla"), F.col("lo").alias("qlo"))
-    checked = unsure.join(pa, ["g", "acx", "acy", "amx", "amy"]).join(pb, ["g", "cx", "cy", "bmx", "bmy"])
+    pb = d.select("g", F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("mx").alias("bmx"), F.col("my").alias("bmy"),
+                  F.col("la").alias("qla"), F.col("lo").alias("qlo"))
+    checked = unsure.join(pa, ["g", "acx", "acy", "amx", "amy"]).join(pb, ["g", "bcx", "bcy", "bmx", "bmy"])
     checked = checked.filter(F.expr(_hav_sql("pla", "plo", "qla", "qlo")) <= eps_m).select(
-        F.col("an").alias("src"), F.col("bn").alias("dst"))
-    return sure.unionByName(checked).distinct()
+        F.col("anode").alias("src"), F.col("bnode").alias("dst"))
+    return sure1.select("src", "dst").unionByName(sure2).unionByName(checked).distinct()

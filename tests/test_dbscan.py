@@ -72,3 +72,25 @@ def test_dbscan_matches_brute_force(spark):
     keys = sorted({(int(grp[i]), int(label[i])) for i in range(len(pts)) if core[i]})
     for rank, (g, l) in enumerate(keys):
         assert core_cid[l] == rank
+
+
+def test_dense_cells_linked_only_within_eps(spark):
+    import math
+    lat0, lon0 = 41.85, -87.65
+    m_lat = 1 / 111194.93  # degrees per metre along a meridian (R = 6371 km)
+    m_lon = m_lat / math.cos(math.radians(lat0))
+    rows, k = [], 0
+    for bearing, gap, grp in [(0, 240, 1), (0, 260, 2), (90, 240, 3), (90, 260, 4), (45, 240, 5), (45, 262, 6)]:
+        dy, dx = math.cos(math.radians(bearing)) * gap, math.sin(math.radians(bearing)) * gap
+        for c in range(2):  # two tight clumps of 15 points (dense cells), gap metres apart
+            for i in range(15):
+                rows.append((k, lat0 + (dy * c + (i % 3) * 0.05) * m_lat, lon0 + (dx * c + (i // 3) * 0.05) * m_lon, grp))
+                k += 1
+    lat = np.array([r[1] for r in rows]); lon = np.array([r[2] for r in rows]); grp = np.array([r[3] for r in rows])
+    core, label, _ = _brute(lat, lon, grp, 250.0, 12)
+    df = spark.createDataFrame(rows, "crash_id long, lat double, lon double, community_area_number int")
+    out = {r["crash_id"]: r for r in dbscan(df).collect()}
+    for i in range(len(rows)):
+        assert out[i]["is_core"] and out[i]["core_label"] == label[i], i
+    merged = {g: len({out[i]["cluster_id"] for i in range(len(rows)) if grp[i] == g}) for g in range(1, 7)}
+    assert merged == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1, 6: 2}
