@@ -87,8 +87,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 6
         # labels: one row per key, broadcast once its measured size is small.
         roots = lab.select(F.col("label").alias("_n")).distinct()
         roots = roots.join(lab.select(F.col("node").alias("_n"), F.col("label").alias("_l")), "_n")
-        roots = _checkpoint(roots)
-        if roots.count() <= BROADCAST_ROWS:
+        if roots.count() <= BROADCAST_ROWS:  # recomputed cheaply from the checkpointed step
             roots = F.broadcast(roots)
         j = lab.join(roots, lab["label"] == roots["_n"], "left")
         return j.select("node", "old", F.least(F.col("label"), F.coalesce(F.col("_l"), F.col("label"))).alias("label"))
