@@ -25,13 +25,9 @@ def _attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
 
 def median_impute(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None) -> DataFrame:
     """Fill nulls with the exact median (linear interpolation) of each column."""
-    from .profile import percentiles
+    from .profile import medians
     src = stats_from if stats_from is not None else df
-    med = None
-    for c in cols:  # one exact distributed median per column, joined into one row
-        m = percentiles(src, c, [0.5], [f"_med_{c}"]).withColumn("_k", F.lit(1))
-        med = m if med is None else med.join(m, "_k")
-    out = _attach_row(df, med.drop("_k"))
+    out = _attach_row(df, medians(src, cols))  # all columns' exact medians in one pass
     return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols}).drop(
         *[f"_med_{c}" for c in cols])
 
@@ -60,6 +56,7 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
 
 def prepare(train: DataFrame, others: list[DataFrame], features: list[str], label: str):
     """Median impute + standardise with train statistics, index the label, assemble vectors."""
+    train = _checkpoint(train)  # statistics and both imputations read it
     imp = [median_impute(d, features, stats_from=train) for d in [train, *others]]
     scaled = [standardize(d, features, stats_from=imp[0]) for d in imp]
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)

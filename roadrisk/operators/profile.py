@@ -93,3 +93,28 @@ def percentiles(df: DataFrame, c: str, qs: list[float], names: list[str] | None
         v_hi = F.max(F.when(F.col("pos") == hi, F.col("v")))
         exprs.append((v_lo + (v_hi - v_lo) * F.lit(h - lo)).alias(name))
     return at.agg(*exprs)
+
+
+def medians(df: DataFrame, cols: list[str], prefix: str = "_med_") -> DataFrame:
+    """Exact medians (linear interpolation) of many columns in one pass, as a one-row table.
+
+    One unpivot + groupBy(column, value) gives the value-frequency table (one
+    row per distinct value per column); cumulative counts per column locate
+    the two middle positions. Nothing is buffered per column in one task
+    beyond its distinct values.
+    """
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        ids=[], values=cols, variableColumnName="column", valueColumnName="v").filter(F.col("v").isNotNull())
+    freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("column").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = freq.withColumns({"_end": F.sum("n").over(w), "_tot": F.sum("n").over(Window.partitionBy("column"))})
+    cum = cum.withColumn("_start", F.col("_end") - F.col("n"))
+    h = (F.col("_tot") - 1) * 0.5
+    lo, hi = F.floor(h), F.ceil(h)
+    covers = lambda p: (p >= F.col("_start")) & (p < F.col("_end"))
+    per = cum.groupBy("column").agg(F.max(F.when(covers(lo), F.col("v"))).alias("vlo"),
+                                    F.max(F.when(covers(hi), F.col("v"))).alias("vhi"),
+                                    F.first(h - lo).alias("frac"))
+    per = per.withColumn("m", F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
+    row = per.groupBy().pivot("column", cols).agg(F.first("m"))
+    return row.select(*[F.col(c).alias(prefix + c) for c in cols])
