@@ -67,7 +67,7 @@ r AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, x,
              row_number() OVER (PARTITION BY x ORDER BY page_id DESC NULLS LAST) AS k,
              first_value(page_id) OVER (PARTITION BY x ORDER BY page_id DESC NULLS LAST) AS top FROM p)
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(0, 32), j -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
          ((strpos('0123456789abcdef', substr(x, CAST(j * 5 // 4 AS INT) + 1, 1)) - 1) * 16
           + strpos('0123456789abcdef', substr(x, CAST(j * 5 // 4 AS INT) + 2, 1)) - 1) >> (3 - (j * 5) % 4)) & 31 AS INT), 1)), '') AS payload_digest,
        CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
