@@ -7,12 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, ngram_join, pii_anchor, risk_thresholds, simple8b, warc_index
+from . import decontam, hmm_lm, html_density, ngram_join, pii_anchor, risk_thresholds, simple8b, warc_index
 from .common import read_table, ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_density.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op2_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and hidden Markov score of every document."""
+    return hmm_lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document: 5-word shingles, Jaccard similarity 0.8."""
     return ngram_join.ngram_join(read_table(spark, sf_dir, "documents"))
@@ -76,7 +86,7 @@ FROM r
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_ngram_join, op4_pii, op6_quality, op7_token_ids, op8_decontaminate, op10_warc)
+    f.__name__: f for f in (op1_main_text, op2_hmm_score, op3_ngram_join, op4_pii, op6_quality, op7_token_ids, op8_decontaminate, op10_warc)
 }
 ORACLE_SQL = {"op8_decontaminate": OP8_SQL, "op10_warc": OP10_SQL}
 
