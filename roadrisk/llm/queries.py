@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, hmm_lm, html_density, ngram_join, pii_anchor, risk_thresholds, simple8b, warc_index
+from . import decontam, hmm_lm, html_density, ngram_join, pii_anchor, risk_thresholds, simple8b, sp_nbest, warc_index
 from .common import read_table, ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))).drop("spans")
 
 
+def op9_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document."""
+    return sp_nbest.digest(sp_nbest.segment(read_table(spark, sf_dir, "documents"), PIECE_BPE))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, looked up in the capture index and read back from the archives."""
     return warc_index.round_trip(read_table(spark, sf_dir, "pages"))
@@ -86,7 +92,7 @@ FROM r
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_hmm_score, op3_ngram_join, op4_pii, op6_quality, op7_token_ids, op8_decontaminate, op10_warc)
+    f.__name__: f for f in (op1_main_text, op2_hmm_score, op3_ngram_join, op4_pii, op6_quality, op7_token_ids, op8_decontaminate, op9_segment, op10_warc)
 }
 ORACLE_SQL = {"op8_decontaminate": OP8_SQL, "op10_warc": OP10_SQL}
 
