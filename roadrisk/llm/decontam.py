@@ -147,6 +147,24 @@ def _united(base: DataFrame, parts: list) -> DataFrame:
     return joined.mapInArrow(spans, DDL)
 
 
+def _has_window(held, width: int):
+    """Whether texts have a window of the items in the broadcast ``held``."""
+
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        a = automaton(held.value, width)
+        return pa.array([bool(scan(t, a)[2]) for at in range(0, len(texts), 512) for t in texts.slice(at, 512).to_pylist()], pa.bool_())
+
+    return run
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = 10, block_chars: int = 150_000) -> DataFrame:
+    """``docs`` without the rows that have a window of an item, all columns as they were."""
+    for block in item_blocks(items, item_col, item_text_col, block_chars):
+        docs = docs.where(~_has_window(docs.sparkSession.sparkContext.broadcast(block), width)(text_bytes(text_col)))
+    return docs
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The result columns of the query: counts, a digest of the item ids, the verdict, the spans."""
     return found.select(

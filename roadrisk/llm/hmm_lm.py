@@ -90,9 +90,13 @@ class Vocabulary:
 
 
 def fit_vocabulary(counts: DataFrame, own: int, known: int, shapes: int) -> Vocabulary:
-    """``counts`` is read whole by Spark; the driver gets ``known`` words and ``shapes`` sums."""
+    """``counts`` is read whole by Spark; the driver gets less than ``known`` words and ``shapes`` sums.
+
+    A word is known by itself if it is at least one of ``known`` training tokens, so there are no more of them.
+    """
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(known).collect()]
+    top = [(bytes(r["word"]), r["c"]) for r in counts.where(F.col("c") * known >= total).collect()]
+    top.sort(key=lambda x: (-x[1], x[0]))
     mine = {w for w, _ in top[:own]}
     schema = pa.schema([("shape", pa.int32()), ("n", pa.int64()), ("v", pa.int64())])
 
@@ -175,56 +179,71 @@ def first_model(class_n: np.ndarray, states: int, seed: int = 11, stay: float =
     return Model(np.full(states, 1 / states), step, emit / emit.sum(0))
 
 
-def lanes(texts: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """(classes, starts, active, places): texts laid into at most ``n`` lanes, the longest lane first.
+class Lanes:
+    """Texts laid into at most ``n`` lanes, the longest lane first.
 
-    ``classes`` and ``starts`` are steps x lanes; ``active[t]`` lanes hold a token at step t;
+    ``classes``, ``starts`` and ``ends`` are steps x lanes, ``active[t]`` lanes hold a token at step t,
     ``places`` has (lane, first step) of each text.
     """
-    heap = [(0, i) for i in range(min(n, len(texts)))]
-    held: list[list[int]] = [[] for _ in heap]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-        size, lane = heapq.heappop(heap)
-        held[lane].append(i)
-        heapq.heappush(heap, (size + len(texts[i]), lane))
-    sizes = np.array([sum(len(texts[i]) for i in h) for h in held])
-    order = np.argsort(-sizes, kind="stable")
-    classes = np.zeros((int(sizes.max()), len(held)), np.int64)
-    starts = np.zeros(classes.shape, bool)
-    places: list[tuple[int, int]] = [(0, 0)] * len(texts)
-    for j, lane in enumerate(order):
-        at = 0
-        for i in held[lane]:
-            classes[at : at + len(texts[i]), j] = texts[i]
-            starts[at, j] = True
-            places[i] = (j, at)
-            at += len(texts[i])
-    active = np.searchsorted(-sizes[order], -np.arange(len(classes)), side="left")
-    return classes, starts, active, places
-
-
-def forward(model: Model, classes: np.ndarray, starts: np.ndarray, active: np.ndarray, keep: bool, kind=np.float64) -> tuple[np.ndarray, np.ndarray]:
-    """(scales, alpha): the scale of every step and, with ``keep``, the scaled forward vectors."""
-    steps, n = classes.shape
-    states = len(model.initial)
-    emit, step, initial = model.emit.astype(kind), model.step.astype(kind), model.initial.astype(kind)
-    scales = np.ones((steps, n), kind)
-    alpha = np.zeros((steps, n, states), kind) if keep else np.empty((0, 0, 0), kind)
-    last = np.zeros((n, states), kind)
-    any_start = starts.any(1)
-    for t in range(steps):
-        m = active[t]
-        now = last[:m] @ step
-        if any_start[t]:
-            now[starts[t, :m]] = initial
-        now *= emit[classes[t, :m]]
-        s = now.sum(1)
-        now /= s[:, None]
-        scales[t, :m] = s
-        last = now
-        if keep:
-            alpha[t, :m] = now
-    return scales, alpha
+
+    def __init__(self, texts: list[np.ndarray], n: int):
+        heap = [(0, i) for i in range(min(n, len(texts)))]
+        held: list[list[int]] = [[] for _ in heap]
+        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+            size, lane = heapq.heappop(heap)
+            held[lane].append(i)
+            heapq.heappush(heap, (size + len(texts[i]), lane))
+        sizes = np.array([sum(len(texts[i]) for i in h) for h in held])
+        order = np.argsort(-sizes, kind="stable")
+        self.classes = np.zeros((int(sizes.max()), len(held)), np.int32)
+        self.starts = np.zeros(self.classes.shape, bool)
+        self.ends = np.zeros(self.classes.shape, bool)
+        self.places: list[tuple[int, int]] = [(0, 0)] * len(texts)
+        for j, lane in enumerate(order):
+            at = 0
+            for i in held[lane]:
+                end = at + len(texts[i])
+                self.classes[at:end, j] = texts[i]
+                self.starts[at, j] = self.ends[end - 1, j] = True
+                self.places[i] = (j, at)
+                at = end
+        self.active = np.searchsorted(-sizes[order], -np.arange(len(self.classes)), side="left").tolist()
+
+
+#: Vectors are scaled at every ``SCALED``-th step; between, 64-bit numbers hold the products.
+SCALED = 8
+_STRETCH = 256
+
+
+def forward(model: Model, laid: Lanes, alpha: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(scales, finals): the sums that vectors were divided by, and those at the ends of texts.
+
+    ``alpha``, where given, is filled with the forward vectors.
+    """
+    steps, n = laid.classes.shape
+    ones = np.ones(len(model.initial))
+    scales, finals = np.ones(((steps + SCALED - 1) // SCALED, n)), np.ones((steps, n))
+    last = np.zeros((n, len(ones)))
+    starting, ending = laid.starts.any(1).tolist(), laid.ends.any(1).tolist()
+    for low in range(0, steps, _STRETCH):
+        high = min(low + _STRETCH, steps)
+        emitted = model.emit[laid.classes[low:high, : laid.active[low]]]
+        for t in range(low, high):
+            m = laid.active[t]
+            now = last[:m] @ model.step
+            if starting[t]:
+                now[laid.starts[t, :m]] = model.initial
+            now *= emitted[t - low, :m]
+            if t % SCALED == 0:
+                s = now @ ones
+                now /= s[:, None]
+                scales[t // SCALED, :m] = s
+            if ending[t]:
+                finals[t, :m] = np.where(laid.ends[t, :m], now @ ones, 1)
+            if alpha is not None:
+                alpha[t, :m] = now
+            last = now
+    return scales, finals
 
 
 class Expected:
@@ -237,39 +256,46 @@ class Expected:
         """One pass of the forward and backward recursions over ``texts``."""
         if not texts:
             return
-        classes, starts, active, _ = lanes(texts, n_lanes)
-        scales, alpha = forward(model, classes, starts, active, True, np.float32)
-        emit, step = model.emit.astype(np.float32), model.step.astype(np.float32)
-        steps, n = classes.shape
+        laid = Lanes(texts, n_lanes)
+        steps, n = laid.classes.shape
         states = len(model.initial)
-        self.log += float(np.log(scales, dtype=np.float64).sum())
-        beta = np.ones((n, states), np.float32)
-        moves = np.zeros((states, states), np.float32)
-        any_start = starts.any(1)
-        back = step.T.copy()
-        for t in range(steps - 1, -1, -1):
-            m = active[t]
-            # alpha[t] becomes the posterior of the states; beta is that of step t
-            right = emit[classes[t, :m]] * beta[:m]
-            right /= scales[t, :m, None]
-            alpha[t, :m] *= beta[:m]
-            if t == 0:
-                break
-            before = right @ back
-            if any_start[t]:
-                first = starts[t, :m]
-                before[first] = 1
-                right[first] = 0
-            # alpha[t - 1] is still the forward vector
-            moves += alpha[t - 1, :m].T @ right
-            beta = np.ones((active[t - 1], states), np.float32)
-            beta[:m] = before
-        self.moves += moves * step
-        self.first += alpha[starts].sum(0, dtype=np.float64)
-        inside = np.arange(n)[None, :] < active[:, None]
-        flat, posterior = classes[inside], alpha[inside]
-        for k in range(states):
-            self.emitted[:, k] += np.bincount(flat, posterior[:, k], len(self.emitted))
+        alpha = np.zeros((steps, n, states))
+        scales, finals = forward(model, laid, alpha)
+        self.log += float(np.log(scales).sum() + np.log(finals).sum())
+        back, beta = model.step.T.copy(), np.ones((n, states))
+        starting = laid.starts.any(1).tolist()
+        for low in range((steps - 1) // _STRETCH * _STRETCH, -1, -_STRETCH):
+            high, width = min(low + _STRETCH, steps), laid.active[low]
+            classes, starts = laid.classes[low:high, :width], laid.starts[low:high, :width]
+            right = model.emit[classes]  # becomes emission times beta
+            for t in range(high - 1, low - 1, -1):
+                m = laid.active[t]
+                x = right[t - low, :m]
+                x *= beta[:m]
+                before = x @ back
+                if t % SCALED == 0:
+                    before /= (before @ np.ones(states))[:, None]
+                if starting[t]:
+                    before[starts[t - low, :m]] = 1  # the end of the text before
+                beta[:m] = before
+            # posteriors are forward predictions times right, in shares
+            prior = alpha[low - 1 : high - 1, :width] if low else np.concatenate((np.zeros((1, width, states)), alpha[: high - 1, :width]))
+            if laid.active[high - 1] == width:  # no lane ends here
+                prior, right, begins, flat = prior.reshape(-1, states), right.reshape(-1, states), starts.ravel(), classes.ravel()
+            else:
+                inside = np.arange(width)[None, :] < np.array(laid.active[low:high])[:, None]
+                prior, right, begins, flat = prior[inside], right[inside], starts[inside], classes[inside]
+            posterior = prior @ model.step
+            posterior[begins] = model.initial
+            posterior *= right
+            total = (posterior @ np.ones(states))[:, None]
+            posterior /= total
+            right /= total
+            right[begins] = 0
+            self.moves += prior.T @ right * model.step
+            self.first += posterior[begins].sum(0)
+            for k in range(states):
+                self.emitted[:, k] += np.bincount(flat, posterior[:, k], len(self.emitted))
 
 
 def pools(batches, at: int, together: int, long: int) -> Iterator[tuple[list[int], list[np.ndarray], int]]:
@@ -290,16 +316,16 @@ def pools(batches, at: int, together: int, long: int) -> Iterator[tuple[list[int
             sizes[k] += len(c)
             row += 1
             if sizes[k] >= together * (1 + k):
-                yield which[0][:], which[1][:], 512 if not k else 96
+                yield which[0][:], which[1][:], 256 if not k else 96
                 which[0].clear()
                 which[1].clear()
                 sizes[k] = 0
-    for which, n in ((short, 512), (far, 96)):
+    for which, n in ((short, 256), (far, 96)):
         if which[0]:
             yield which[0][:], which[1][:], n
 
 
-def expect(coded: DataFrame, model: Model, together: int = 500_000, long: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def expect(coded: DataFrame, model: Model, together: int = 250_000, long: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch counts over ``coded`` (one column: classes): tasks give theirs, Spark adds them per class."""
     states, n_classes = model.emit.shape[1], len(model.emit)
     held = coded.sparkSession.sparkContext.broadcast(model)
@@ -344,13 +370,17 @@ def train(coded: DataFrame, vocabulary: Vocabulary, states: int, iterations: int
 
 def likelihoods(model: Model, texts: list[np.ndarray], n_lanes: int) -> np.ndarray:
     """log10 of the exact likelihood of each class sequence."""
-    classes, starts, active, places = lanes(texts, n_lanes)
-    scales, _ = forward(model, classes, starts, active, False)
-    total = np.concatenate((np.zeros((1, classes.shape[1])), np.cumsum(np.log10(scales), 0)))
-    return np.array([total[at + len(t), lane] - total[at, lane] for t, (lane, at) in zip(texts, places, strict=True)])
+    laid = Lanes(texts, n_lanes)
+    scales, finals = forward(model, laid)
+    total = np.concatenate((np.zeros((1, scales.shape[1])), np.cumsum(np.log10(scales), 0)))
+    out = []
+    for t, (lane, at) in zip(texts, laid.places, strict=True):
+        end = at + len(t)
+        out.append(total[-(-end // SCALED), lane] - total[-(-at // SCALED), lane] + math.log10(finals[end - 1, lane]))
+    return np.array(out)
 
 
-def score_classes(coded: DataFrame, model: Model, together: int = 1_000_000, long: int = 2000) -> DataFrame:
+def score_classes(coded: DataFrame, model: Model, together: int = 500_000, long: int = 2000) -> DataFrame:
     """(row, path): log10 likelihood of each class sequence."""
     held = coded.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("row", pa.int64()), ("path", pa.float64())])
@@ -369,7 +399,7 @@ def score_classes(coded: DataFrame, model: Model, together: int = 1_000_000, lon
     return coded.select("row", "classes").mapInArrow(task, "row long, path double")
 
 
-def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", states: int = 8, iterations: int = 5, own: int = 8192, known: int = 131_072, shapes: int = 2048) -> DataFrame:
+def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", states: int = 8, iterations: int = 5, own: int = 8192, known: int = 1_000_000, shapes: int = 2048) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), text_bytes(text_col).alias("text"))
     counts = stored(count_tokens(rows.where("not held_out").select("text")), "counts")

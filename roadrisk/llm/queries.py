@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, hmm_lm, html_density, ngram_join, pii_anchor, risk_thresholds, simple8b, sp_nbest, warc_index
+from . import decontam, hmm_lm, html_density, ngram_join, ordinal_toxicity, pii_anchor, risk_thresholds, simple8b, sp_nbest, warc_index
 from .common import read_table, ship
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -34,6 +34,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_anchor.find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity severity of every document, fitted on the labels."""
+    return ordinal_toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdict of every document, cutoffs certified on all labels."""
     found = risk_thresholds.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -92,7 +97,7 @@ FROM r
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_main_text, op2_hmm_score, op3_ngram_join, op4_pii, op6_quality, op7_token_ids, op8_decontaminate, op9_segment, op10_warc)
+    f.__name__: f for f in (op1_main_text, op2_hmm_score, op3_ngram_join, op4_pii, op5_toxicity, op6_quality, op7_token_ids, op8_decontaminate, op9_segment, op10_warc)
 }
 ORACLE_SQL = {"op8_decontaminate": OP8_SQL, "op10_warc": OP10_SQL}
 

@@ -140,7 +140,7 @@ class ShardWriter:
             self._flush(False)
 
     def _flush(self, all_of_it: bool) -> None:
-        ids = np.concatenate(self.waiting) if self.waiting else np.empty(0, np.uint64)
+        ids = np.concatenate(self.waiting) if self.waiting else np.empty(0, np.uint32)
         end = len(ids) if all_of_it else len(ids) // BLOCK * BLOCK
         for at in range(0, end, BLOCK):
             part = ids[at : min(at + BLOCK, end)]
@@ -207,7 +207,7 @@ class ShardReader:
             start += n
 
 
-def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 500_000) -> Callable[[list[bytes]], list[np.ndarray]]:
+def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 700_000) -> Callable[[list[bytes]], list[np.ndarray]]:
     """A function from texts to id arrays. ``limit`` bounds the table of pieces; a full table starts anew.
 
     With ``spaced``, the tokenizer must lower-case, drop white space, keep letters apart from other
@@ -261,6 +261,16 @@ def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 500_000) -> Ca
 
 _CUT = re.compile(rb"(?<=[a-z])(?=[.,])")
 
+_HELD: dict[tuple[str, bool], Callable] = {}
+
+
+def held_encoder(tokenizer_path: str, spaced: bool) -> Callable[[list[bytes]], list[np.ndarray]]:
+    """One encoder for each Python worker, which keeps its table from task to task."""
+    if (tokenizer_path, spaced) not in _HELD:
+        _HELD[tokenizer_path, spaced] = piece_encoder(tokenizer_path, spaced)
+    return _HELD[tokenizer_path, spaced]
+
+
 MANIFEST = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -273,9 +283,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: str
             if writer is None:
                 shard = TaskContext.get().partitionId()
                 path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids"
-                writer, encode = ShardWriter(path), piece_encoder(tokenizer_path, spaced)
+                writer, encode = ShardWriter(path), held_encoder(tokenizer_path, spaced)
             for doc_id, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
-                writer.add(doc_id, np.append(ids, np.uint32(end_id)).astype(np.uint64))
+                writer.add(doc_id, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             yield batch(MANIFEST, [[shard], [path], *([n] for n in writer.close())])
 
