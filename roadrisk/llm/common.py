@@ -30,6 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``: later joins on it don't shuffle it again."""
+    spark = df.sparkSession
+    path = work_path(spark, "buckets")
+    name = "buckets_" + path.rpartition("-")[2]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 _SHIPPED: set[str] = set()
 
 
