@@ -10,19 +10,20 @@ Cluster ids are 0..k-1 in (group nulls last, smallest core id) order.
 Plan, built so no step is quadratic in a hot spot:
 
 1. Identical coordinates collapse to one weighted point (partial aggregation).
-2. Grid cells are sized so any two points of one cell are within eps. A cell
-   holding >= min_samples points is *dense*: all its points are core and
-   connected, so no pairs are generated inside it; it becomes one graph node.
-3. Points in sparse cells (< min_samples points each) are probed against the
-   neighbouring cells: at most min_samples * neighbours * n candidate pairs.
-   Their exact weighted neighbour counts decide core status; the same pairs
-   give sparse-core edges and border candidates.
-4. Dense-dense cell pairs are decided on micro-cells (bounding boxes of the
-   points in 1/8 x 1/8 sub-cells): boxes surely within eps connect, boxes
-   surely farther are skipped, and only undecided micro pairs compare points.
-5. Connected components: min-label propagation with pointer jumping over the
-   edge list; every round is cut with a reliable ``checkpoint()`` into the
-   shared checkpoint folder, and the loop ends when no label changes.
+2. Latitude rows, each cut evenly around the globe into its own number of
+   cells, so that any two points of one cell are within eps at every latitude
+   and cells meet across 180 degrees. A cell holding >= min_samples points is
+   *dense*: all its points are core and connected, so no pairs are generated
+   inside it; it becomes one graph node.
+3. Points in sparse cells probe the cells that eps can reach at their latitude.
+   Sparse neighbours are compared point by point (at most min_samples per
+   cell); of dense neighbours, whole micro boxes (bounding boxes of 1/8 x 1/8
+   sub-cells) surely within eps count at once, and only undecided ones compare
+   points.
+4. Dense-dense cell pairs are decided on micro boxes as well; undecided box
+   pairs are split into smaller boxes, round by round, until they are decided
+   or hold few points. Cell pairs that are linked drop out of every later step.
+5. Connected components of the cells with a core point (operators.components).
 6. Cluster ids: a distributed dense rank (range partitioning + per-partition
    offsets), never a single-task window.
 """
@@ -34,12 +35,13 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_RADIUS_M, haversine_m, lon_span_degrees, meters_to_degrees
+from ..functions.geo import EARTH_RADIUS_M
 from ..session import ensure_checkpoint_dir
+from .components import connected_components
 
 NULL_GROUP = -(2 ** 62)
 MICRO = 8
-BROADCAST_ROWS = 2_000_000  # (long, long) rows: ~32 MB
+POINT_PAIRS = 4096  # box pairs of at most so many point pairs compare points
 
 
 def _hav_sql(la1: str, lo1: str, la2: str, lo2: str) -> str:
@@ -70,42 +72,39 @@ def dense_rank_distributed(df: DataFrame, order_cols: list, out: str = "rank", p
     return ranked.withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long")).drop("_part", "_rn", "_off")
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Smallest node id per component. ``edges(src, dst)`` undirected, ``nodes(node)``.
+class Grid:
+    """Latitude rows of one height, each cut into equal cells of at most the same width on the ground."""
 
-    Each round: every node takes the smallest label among itself and its
-    neighbours, then jumps to its label's label. Labels only decrease and stay
-    inside the component, so the fixed point is the component minimum.
-    """
-    e = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    e = _checkpoint(e.filter(F.col("src") != F.col("dst")).distinct())
-    labels = _checkpoint(nodes.select(F.col("node"), F.col("node").alias("label")))
-
-    def jump(lab: DataFrame) -> DataFrame:
-        # label <- label(label). Converged components share one label (a hot key),
-        # so the lookup side is the *distinct* current labels with their own
-        # labels: one row per key, broadcast once its measured size is small.
-        roots = lab.select(F.col("label").alias("_n")).distinct()
-        roots = roots.join(lab.select(F.col("node").alias("_n"), F.col("label").alias("_l")), "_n")
-        if roots.count() <= BROADCAST_ROWS:  # recomputed cheaply from the checkpointed step
-            roots = F.broadcast(roots)
-        j = lab.join(roots, lab["label"] == roots["_n"], "left")
-        return j.select("node", "old", F.least(F.col("label"), F.coalesce(F.col("_l"), F.col("label"))).alias("label"))
-
-    for _ in range(max_rounds):
-        prop = e.join(labels.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(
-            F.min("label").alias("nl"))
-        step = labels.join(prop, "node", "left").select(
-            "node", F.col("label").alias("old"),
-            F.least(F.col("label"), F.coalesce(F.col("nl"), F.col("label"))).alias("label"))
-        step = _checkpoint(step)
-        # one pointer jump per round; the previous label rides along, so no
-        # self-join on node is needed to detect change
-        new = _checkpoint(jump(step).withColumn("changed", F.col("label") != F.col("old")).drop("old"))
-        labels = new.select("node", "label")
-        if new.filter("changed").isEmpty():  # reads the checkpoint only
-            break
-    return labels
+    def __init__(self, eps_m: float):
+        self.eps_m = eps_m
+        half = math.sin(min(math.pi / 2, eps_m / (2 * EARTH_RADIUS_M)))
+        self.q = half * half  # haversine of eps
+        self.side = 2 * half / math.sqrt(2) * (1 - 1e-6)  # radians
+        self.dlat = math.degrees(self.side)
+        self.rows = math.ceil(math.degrees(eps_m / EARTH_RADIUS_M) / self.dlat)
+        self.first, self.last = math.floor(-90 / self.dlat), math.floor(90 / self.dlat)
+
+    def row(self, la: str) -> str:
+        return f"CAST(floor({la} / {self.dlat!r}) AS BIGINT)"
+
+    def columns(self, cy: str) -> str:
+        """Number of cells of a row: its edge nearer to the equator sets the width."""
+        edge = f"(CASE WHEN {cy} >= 0 THEN {cy} ELSE -({cy} + 1) END) * {self.dlat!r}"
+        return f"greatest(CAST(1 AS BIGINT), CAST(ceil({2 * math.pi!r} * cos(radians(least(90.0, {edge}))) / {self.side!r}) AS BIGINT))"
+
+    def reach(self, la: str, cy: str) -> str:
+        """Largest difference in longitude, in degrees, of points within eps at latitude ``la`` and in row ``cy``."""
+        far = f"least(90.0, greatest(abs({cy}), abs({cy} + 1)) * {self.dlat!r})"
+        q = f"{self.q!r} / greatest(1e-30, cos(radians({la})) * cos(radians({far})))"
+        return f"(CASE WHEN {q} >= 1 THEN 360.0 ELSE degrees(2 * asin(sqrt(least(1.0, {q})))) * (1 + 1e-9) + 1e-9 END)"
+
+    def neighbours(self, df: DataFrame, la: str, x0: str, x1: str, cy: str, out_x: str, out_y: str) -> DataFrame:
+        """``df`` once for every cell (out_x, out_y) that eps can reach from latitude ``la``, x0 to x1 in row ``cy``."""
+        df = df.withColumn(out_y, F.explode(F.expr(f"sequence(greatest({cy} - {self.rows}, {self.first}L), least({cy} + {self.rows}, {self.last}L))")))
+        df = df.withColumns({"_n": F.expr(self.columns(out_y)), "_r": F.expr(self.reach(la, out_y))})
+        df = df.withColumns({"_lo": F.expr(f"CAST(floor(({x0} - _r) * _n / 360.0) AS BIGINT)"), "_hi": F.expr(f"CAST(floor(({x1} + _r) * _n / 360.0) AS BIGINT)")})
+        df = df.withColumn("_i", F.explode(F.expr("sequence(if(_hi - _lo + 1 >= _n, 0L, _lo), if(_hi - _lo + 1 >= _n, _n - 1, _hi))")))
+        return df.withColumn(out_x, F.expr("pmod(_i, _n)")).drop("_n", "_r", "_lo", "_hi", "_i")
 
 
 def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: str = "lon",
@@ -119,6 +118,7 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
     """
     if axis_order == "lonlat":
         lat, lon = lon, lat
+    grid = Grid(eps_m)
     g = F.coalesce(F.col(group_col).cast("long"), F.lit(NULL_GROUP)) if group_col else F.lit(0).cast("long")
     keep = [c for c in points.columns if c not in ("_id", "g", "la", "lo", "pid")]
     base = points.withColumns({"_id": F.col(id_col).cast("long"), "g": g,
@@ -129,58 +129,53 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
     wp = base.groupBy("g", "la", "lo").agg(F.min("_id").alias("pid"), F.count(F.lit(1)).alias("w"))
     ids = base.join(wp.select("g", "la", "lo", "pid"), ["g", "la", "lo"])  # every row -> its pid
 
-    # 2. grid: any two points of one cell are within eps
-    st = wp.agg(F.max(F.abs("la")).alias("amax"), F.min(F.abs("la")).alias("amin")).first()
-    amax, amin = float(st["amax"] or 0.0), float(st["amin"] or 0.0)
-    shrink = 1.0 - 1e-6
-    dlat = meters_to_degrees(eps_m) / math.sqrt(2) * shrink
-    dlon = math.degrees(eps_m / math.sqrt(2) / (EARTH_RADIUS_M * math.cos(math.radians(min(amin, 89.9))))) * shrink
-    klat = int(math.ceil(meters_to_degrees(eps_m) / dlat))
-    klon = int(math.ceil(lon_span_degrees(eps_m, amax) / dlon))
-    wp = wp.withColumns({"cx": F.floor(F.col("lo") / dlon), "cy": F.floor(F.col("la") / dlat)})
-    wp = _checkpoint(wp)
-    cells = wp.groupBy("g", "cx", "cy").agg(F.sum("w").alias("cn"), F.min("pid").alias("cell_node"))
-    cells = cells.withColumn("dense", F.col("cn") >= min_samples)
-    pts = wp.join(cells, ["g", "cx", "cy"])
-    pts = _checkpoint(pts.withColumn("node", F.when(F.col("dense"), F.col("cell_node")).otherwise(F.col("pid"))))
-
-    # neighbour offsets: a fixed (2*klon+1) x (2*klat+1) stencil, exploded per row
-    off_df = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                                 for dx in range(-klon, klon + 1) for dy in range(-klat, klat + 1)]))
-
-    # 3. sparse-cell points probe neighbour cells
-    probe = pts.filter(~F.col("dense")).select("g", "pid", "la", "lo", F.col("cx").alias("pcx"),
-                                               F.col("cy").alias("pcy")).withColumn("o", off_df)
-    probe = probe.select("g", "pid", "la", "lo", "pcx", "pcy", (F.col("pcx") + F.col("o.dx")).alias("cx"),
-                         (F.col("pcy") + F.col("o.dy")).alias("cy"))
-    other = pts.select("g", "cx", "cy", F.col("pid").alias("qpid"), F.col("w").alias("qw"), F.col("la").alias("qla"),
-                       F.col("lo").alias("qlo"))
-    pairs = probe.join(other, ["g", "cx", "cy"]).filter(F.expr(_hav_sql("la", "lo", "qla", "qlo")) <= eps_m)
-    pairs = _checkpoint(pairs.select("g", "pid", "pcx", "pcy", "qpid", "qw", "cx", "cy"))
+    # 2. cells; x is the longitude from 0 to 360, (ux, uy) the place within the cell from 0 to 1
+    wp = wp.withColumns({"x": F.expr("pmod(lo + 180.0, 360.0)"), "cy": F.expr(grid.row("la"))})
+    wp = wp.withColumn("_u", F.expr(f"x * {grid.columns('cy')} / 360.0")).withColumn("cx", F.expr(f"least(CAST(floor(_u) AS BIGINT), {grid.columns('cy')} - 1)"))
+    wp = wp.withColumns({"ux": F.col("_u") - F.col("cx"), "uy": F.expr(f"la / {grid.dlat!r} - cy")}).drop("_u")
+    cells = wp.groupBy("g", "cx", "cy").agg(F.sum("w").alias("cn"))
+    pts = _checkpoint(wp.join(cells, ["g", "cx", "cy"]).withColumn("dense", F.col("cn") >= min_samples).drop("cn"))
+    boxes = _checkpoint(_boxes(pts.filter("dense"), 0))
+
+    # 3. sparse-cell points probe the cells within reach
+    probe = pts.filter(~F.col("dense")).select("g", "pid", "la", "lo", "x", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"))
+    probe = grid.neighbours(probe, "la", "x", "x", "pcy", "cx", "cy")
+    sparse = pts.filter(~F.col("dense")).select("g", "cx", "cy", F.col("pid").alias("qpid"), F.col("w").alias("qw"),
+                                                F.col("la").alias("qla"), F.col("lo").alias("qlo"))
+    near = F.expr(_hav_sql("la", "lo", "qla", "qlo")) <= eps_m
+    met = probe.join(sparse, ["g", "cx", "cy"]).filter(near).select("g", "pid", "pcx", "pcy", "qpid", "qw", "cx", "cy")
+    as_box = {"pla0": F.col("la"), "pla1": F.col("la"), "px0": F.col("x"), "px1": F.col("x")}
+    hit = probe.join(boxes.select(*[F.col(c).alias("q" + c if c in BOX else c) for c in boxes.columns]), ["g", "cx", "cy"])
+    hit = hit.withColumns(as_box).filter(_box_lower("p", "q") <= eps_m).withColumn("sure", _box_upper("p", "q") <= eps_m * (1 - 1e-9))
+    inside = pts.filter("dense").select("g", "cx", "cy", *_box_index(0), F.col("w").alias("qw"), F.col("la").alias("qla"), F.col("lo").alias("qlo"))
+    seen = hit.filter("sure").select("g", "pid", "pcx", "pcy", "cx", "cy", F.col("w").alias("qw")).unionByName(
+        hit.filter("not sure").drop("w").join(inside, ["g", "cx", "cy", "bx", "by"]).filter(near).select("g", "pid", "pcx", "pcy", "cx", "cy", "qw"))
+    seen = seen.groupBy("g", "pid", "pcx", "pcy", "cx", "cy").agg(F.sum("qw").alias("qw")).withColumn("qpid", F.lit(None).cast("long"))
+    pairs = _checkpoint(met.unionByName(seen))  # qpid is null for a dense cell, whose points are all core
     counts = pairs.groupBy("pid").agg(F.sum("qw").alias("nbrs"))
-    pts = pts.join(counts, "pid", "left").withColumn(
-        "core", F.col("dense") | (F.coalesce(F.col("nbrs"), F.lit(0)) >= min_samples))
-    pts = _checkpoint(pts)
+    pts = _checkpoint(pts.join(counts, "pid", "left").withColumn("core", F.col("dense") | (F.coalesce(F.col("nbrs"), F.lit(0)) >= min_samples)))
 
     # Any two points of one cell are within eps, so all core points of a cell are
     # directly connected: each cell holding a core point is ONE graph node, named
     # by its smallest core id (so component minima are smallest core ids).
     core_cells = _checkpoint(pts.filter("core").groupBy("g", "cx", "cy").agg(F.min("pid").alias("cnode")))
-    core_of = pts.select(F.col("pid").alias("qpid"), F.col("core").alias("qcore"))
-    p_core = pts.select("pid", "core")
-    sp = pairs.join(core_of, "qpid").join(p_core, "pid")
+    core_of = pts.filter(~F.col("dense")).select("pid", "core")
+    sp = pairs.join(core_of, "pid").join(core_of.select(F.col("pid").alias("qpid"), F.col("core").alias("qcore")), "qpid", "left")
+    sp = sp.withColumn("qcore", F.coalesce("qcore", F.lit(True)))
     # sparse core <-> any core, as distinct cell pairs
     cc_pairs = sp.filter(F.col("core") & F.col("qcore")).select("g", "pcx", "pcy", "cx", "cy").distinct()
     src_cells = core_cells.select("g", F.col("cx").alias("pcx"), F.col("cy").alias("pcy"), F.col("cnode").alias("src"))
     dst_cells = core_cells.select("g", "cx", "cy", F.col("cnode").alias("dst"))
     e1 = cc_pairs.join(src_cells, ["g", "pcx", "pcy"]).join(dst_cells, ["g", "cx", "cy"]).select("src", "dst")
 
-    # 4. dense <-> dense cells via micro boxes (a dense cell's node is its smallest id)
-    e2 = _dense_links(pts, off_df, dlat, dlon, eps_m)
+    # 4. dense <-> dense cells
+    links = _dense_links(pts.filter("dense"), boxes, grid)
+    e2 = links.join(src_cells.withColumnsRenamed({"pcx": "acx", "pcy": "acy"}), ["g", "acx", "acy"]).join(
+        dst_cells.withColumnsRenamed({"cx": "bcx", "cy": "bcy"}), ["g", "bcx", "bcy"]).select("src", "dst")
 
-    nodes = core_cells.select(F.col("cnode").alias("node"))
-    labels = connected_components(e1.unionByName(e2), nodes)
-    cell_label = core_cells.join(labels, core_cells["cnode"] == labels["node"]).select("g", "cx", "cy", "label")
+    # 5. components; a cell without an edge is its own
+    labels = connected_components(e1.unionByName(e2), "src", "dst").withColumnRenamed("node", "cnode")
+    cell_label = _checkpoint(core_cells.join(labels, "cnode", "left").select("g", "cx", "cy", F.coalesce("label", "cnode").alias("label")))
 
     core_lab = pts.filter("core").join(cell_label, ["g", "cx", "cy"]).select("pid", F.col("label").alias("core_label"))
     # border: non-core with a core neighbour -> smallest neighbouring component label
@@ -190,8 +185,7 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
     allp = allp.withColumn("label", F.coalesce("core_label", "border_label"))
 
     # 6. cluster ids in (group nulls last, label) order
-    keys = allp.filter(F.col("label").isNotNull()).select(
-        (F.col("g") == NULL_GROUP).alias("gnull"), "g", "label")
+    keys = cell_label.select((F.col("g") == NULL_GROUP).alias("gnull"), "g", "label")
     ranked = dense_rank_distributed(keys, ["gnull", "g", "label"], out="cluster_id")
     allp = allp.join(ranked.select("g", "label", "cluster_id"), ["g", "label"], "left")
     allp = allp.withColumn("cluster_id", F.coalesce(F.col("cluster_id"), F.lit(-1)).cast("long"))
@@ -200,87 +194,98 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
                       F.when(F.col("core"), F.col("core_label")).alias("core_label"), "cluster_id")
 
 
+#: A box: latitudes from la0 to la1, longitudes (from 0 to 360) from x0 to x1.
+BOX = ("la0", "la1", "x0", "x1")
+
+
+def _box_index(level: int) -> list:
+    """Numbers (bx, by) of a point's box within its cell: MICRO * 4^level boxes each way."""
+    n = MICRO * 4 ** level
+    return [F.least(F.floor(F.col(u) * n), F.lit(n - 1)).cast("long").alias(b) for u, b in (("ux", "bx"), ("uy", "by"))]
+
+
+def _boxes(pts: DataFrame, level: int) -> DataFrame:
+    """Bounding boxes of the points by cell and box, with their weight and number of points."""
+    return pts.select("g", "cx", "cy", "la", "x", "w", *_box_index(level)).groupBy("g", "cx", "cy", "bx", "by").agg(
+        F.min("la").alias("la0"), F.max("la").alias("la1"), F.min("x").alias("x0"), F.max("x").alias("x1"),
+        F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
+
+
 def _box_lower(a: str, b: str):
-    """Lower bound (metres) of the distance between two lat/lon boxes {a,b}{la0,la1,lo0,lo1}."""
+    """Lower bound (metres) of the distance between two boxes {a,b}{la0,la1,x0,x1}; longitudes wrap."""
     gap_la = F.greatest(F.lit(0.0), F.col(f"{b}la0") - F.col(f"{a}la1"), F.col(f"{a}la0") - F.col(f"{b}la1"))
-    gap_lo = F.greatest(F.lit(0.0), F.col(f"{b}lo0") - F.col(f"{a}lo1"), F.col(f"{a}lo0") - F.col(f"{b}lo1"))
+    gap_x = F.greatest(F.lit(0.0), F.col(f"{b}x0") - F.col(f"{a}x1"), F.col(f"{a}x0") - F.col(f"{b}x1"))
+    around = F.greatest(F.lit(0.0), 360.0 - (F.greatest(f"{a}x1", f"{b}x1") - F.least(f"{a}x0", f"{b}x0")))
+    gap_x = F.least(gap_x, around)
     amax = F.greatest(F.abs(f"{a}la0"), F.abs(f"{a}la1"), F.abs(f"{b}la0"), F.abs(f"{b}la1"))
-    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), F.pow(F.sin(F.radians(gap_la) / 2), 2)
-                                                      + F.pow(F.cos(F.radians(amax)), 2) * F.pow(F.sin(F.radians(gap_lo) / 2), 2))))
+    h = F.pow(F.sin(F.radians(gap_la) / 2), 2) + F.pow(F.cos(F.radians(amax)), 2) * F.pow(F.sin(F.radians(gap_x) / 2), 2)
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), h))) * (1 - 1e-9)
 
 
 def _box_upper(a: str, b: str):
-    """Upper bound (metres): the largest corner-to-corner distance of two boxes."""
-    return F.greatest(*[haversine_m(F.col(f"{a}{la}"), F.col(f"{a}{lo}"), F.col(f"{b}{lb}"), F.col(f"{b}{lob}"))
-                        for la in ("la0", "la1") for lo in ("lo0", "lo1") for lb in ("la0", "la1") for lob in ("lo0", "lo1")])
-
-
-def _dense_links(pts: DataFrame, off_df, dlat: float, dlon: float, eps_m: float) -> DataFrame:
-    """Edges between dense cells that hold a pair of points within eps.
-
-    1. Micro boxes (bounding boxes of the points in 1/8 x 1/8 sub-cells) that
-       touch across a cell border (3x3 stencil on global micro coordinates) and
-       are surely within eps link their cells at once.
-    2. Only neighbouring dense-cell pairs still unlinked are examined further,
-       each side restricted to the micro boxes that can be within eps of the
-       other cell's point bounding box; surely-close box pairs link, surely-far
-       ones drop, and only undecided box pairs compare points.
+    """Upper bound (metres): the largest differences of latitude and longitude at the latitude nearest the equator."""
+    dla = F.greatest(F.col(f"{b}la1") - F.col(f"{a}la0"), F.col(f"{a}la1") - F.col(f"{b}la0"))
+    dx = F.greatest(F.col(f"{b}x1") - F.col(f"{a}x0"), F.col(f"{a}x1") - F.col(f"{b}x0"))
+    wide = (F.col(f"{a}x1") - F.col(f"{a}x0")) + (F.col(f"{b}x1") - F.col(f"{b}x0"))
+    around = 360.0 - F.greatest(F.col(f"{b}x0") - F.col(f"{a}x1"), F.col(f"{a}x0") - F.col(f"{b}x1"))   # the other way round
+    dx = F.least(F.lit(180.0), F.greatest(wide, F.least(dx, around)))
+    cos_a, cos_b = (F.when((F.col(f"{s}la0") <= 0) & (F.col(f"{s}la1") >= 0), F.lit(1.0)).otherwise(
+        F.cos(F.radians(F.least(F.abs(f"{s}la0"), F.abs(f"{s}la1"))))) for s in (a, b))
+    h = F.pow(F.sin(F.radians(dla) / 2), 2) + cos_a * cos_b * F.pow(F.sin(F.radians(dx) / 2), 2)
+    return 2 * EARTH_RADIUS_M * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+
+
+def _dense_links(pts: DataFrame, boxes: DataFrame, grid: Grid) -> DataFrame:
+    """(g, acx, acy, bcx, bcy) of dense cells that hold a pair of points within eps.
+
+    1. Micro boxes that touch across a cell border and are surely within eps link their cells at once.
+    2. Cell pairs within reach that are still unlinked compare micro boxes: surely-close pairs link,
+       surely-far ones drop, pairs of few points compare points, and the others are split into 4 x 4
+       boxes each for the next round, without the cell pairs linked meanwhile.
     """
-    d = pts.filter("dense").select(
-        "g", "cx", "cy", "node", "la", "lo", "pid",
-        F.floor((F.col("lo") / dlon - F.col("cx")) * MICRO).alias("mx"),
-        F.floor((F.col("la") / dlat - F.col("cy")) * MICRO).alias("my"),
-    )
-    d = d.withColumns({"mx": F.least(F.greatest(F.col("mx"), F.lit(0)), F.lit(MICRO - 1)),
-                       "my": F.least(F.greatest(F.col("my"), F.lit(0)), F.lit(MICRO - 1))})
-    d = _checkpoint(d)
-    boxes = d.groupBy("g", "cx", "cy", "node", "mx", "my").agg(
-        F.min("la").alias("la0"), F.max("la").alias("la1"), F.min("lo").alias("lo0"), F.max("lo").alias("lo1"))
-    boxes = _checkpoint(boxes.withColumns({"gmx": F.col("cx") * MICRO + F.col("mx"), "gmy": F.col("cy") * MICRO + F.col("my")}))
-    box_cols = ("la0", "la1", "lo0", "lo1")
-
-    def side(prefix: str):
-        return boxes.select("g", *[F.col(c).alias(prefix + c) for c in ("cx", "cy", "node", "mx", "my", "gmx", "gmy", *box_cols)])
-
-    # 1. touching micro boxes across a border
-    stencil = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                                  for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    a = side("a").withColumn("o", stencil).withColumns(
-        {"bgmx": F.col("agmx") + F.col("o.i"), "bgmy": F.col("agmy") + F.col("o.j")}).drop("o")
-    touch = a.join(side("b"), ["g", "bgmx", "bgmy"]).filter(F.col("anode") != F.col("bnode"))
-    sure1 = touch.filter(_box_upper("a", "b") <= eps_m * (1 - 1e-9)).select(
-        "g", "acx", "acy", "bcx", "bcy", F.col("anode").alias("src"), F.col("bnode").alias("dst")).distinct()
-    sure1 = _checkpoint(sure1)
-
-    # 2. remaining neighbouring dense-cell pairs (forward half of the stencil)
-    cbox = d.groupBy("g", "cx", "cy", "node").agg(
-        F.min("la").alias("la0"), F.max("la").alias("la1"), F.min("lo").alias("lo0"), F.max("lo").alias("lo1"))
-    nb = cbox.select("g", F.col("cx").alias("acx"), F.col("cy").alias("acy"), *[F.col(c).alias("xa" + c) for c in box_cols])
-    nb = nb.withColumn("o", off_df).select(
-        "*", (F.col("acx") + F.col("o.dx")).alias("bcx"), (F.col("acy") + F.col("o.dy")).alias("bcy")).drop("o")
-    nb = nb.filter((F.col("bcx") > F.col("acx")) | ((F.col("bcx") == F.col("acx")) & (F.col("bcy") > F.col("acy"))))
-    nb = nb.join(cbox.select("g", F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), *[F.col(c).alias("xb" + c) for c in box_cols]),
-                 ["g", "bcx", "bcy"])
-    linked = sure1.select("g", "acx", "acy", "bcx", "bcy").union(
-        sure1.select("g", F.col("bcx").alias("acx"), F.col("bcy").alias("acy"), F.col("acx").alias("bcx"), F.col("acy").alias("bcy")))
-    nb = nb.join(linked.distinct(), ["g", "acx", "acy", "bcx", "bcy"], "left_anti")
-    nb = _checkpoint(nb.filter(_box_lower("xa", "xb") <= eps_m))
-    # boxes of A that can reach B's point box, and vice versa
-    ab = nb.join(side("a"), ["g", "acx", "acy"]).filter(_box_lower("a", "xb") <= eps_m)
-    bb = nb.select("g", "acx", "acy", "bcx", "bcy", *[F.col("xa" + c) for c in box_cols]).join(
-        side("b"), ["g", "bcx", "bcy"]).filter(_box_lower("b", "xa") <= eps_m)
-    mp = ab.select("g", "acx", "acy", "bcx", "bcy", "anode", "amx", "amy", *[F.col("a" + c) for c in box_cols]).join(
-        bb.select("g", "acx", "acy", "bcx", "bcy", "bnode", "bmx", "bmy", *[F.col("b" + c) for c in box_cols]),
-        ["g", "acx", "acy", "bcx", "bcy"])
-    mp = mp.filter(_box_lower("a", "b") <= eps_m).withColumn("upper", _box_upper("a", "b"))
-    sure2 = mp.filter(F.col("upper") <= eps_m * (1 - 1e-9)).select(F.col("anode").alias("src"), F.col("bnode").alias("dst"))
-    unsure = mp.filter(F.col("upper") > eps_m * (1 - 1e-9)).select("g", "acx", "acy", "amx", "amy", "anode",
-                                                                      "bcx", "bcy", "bmx", "bmy", "bnode")
-    pa = d.select("g", F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("mx").alias("amx"), F.col("my").alias("amy"),
-                  F.col("la").alias("pla"), F.col("lo").alias("plo"))
-    pb = d.select("g", F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("mx").alias("bmx"), F.col("my").alias("bmy"),
-                  F.col("la").alias("qla"), F.col("lo").alias("qlo"))
-    checked = unsure.join(pa, ["g", "acx", "acy", "amx", "amy"]).join(pb, ["g", "bcx", "bcy", "bmx", "bmy"])
-    checked = checked.filter(F.expr(_hav_sql("pla", "plo", "qla", "qlo")) <= eps_m).select(
-        F.col("anode").alias("src"), F.col("bnode").alias("dst"))
-    return sure1.select("src", "dst").unionByName(sure2).unionByName(checked).distinct()
+    eps_m, sure_m = grid.eps_m, grid.eps_m * (1 - 1e-9)
+    pair = ["g", "acx", "acy", "bcx", "bcy"]
+    forward = (F.col("bcy") > F.col("acy")) | ((F.col("bcy") == F.col("acy")) & (F.col("bcx") > F.col("acx")))
+
+    def side(b: DataFrame, p: str) -> DataFrame:
+        return b.select("g", *[F.col(c).alias(p + c) for c in b.columns if c != "g"])
+
+    # 1. boxes of the next micro rows and columns; rows differ in their columns, so columns come from the longitude
+    a = side(boxes, "a").withColumn("_y", F.explode(F.expr(f"transform(sequence(-1, 1), i -> acy * {MICRO} + aby + i)")))
+    a = a.withColumn("bcy", F.expr(f"CAST(floor(_y / {MICRO}) AS BIGINT)")).withColumns({"bby": F.expr(f"_y - bcy * {MICRO}"), "_n": F.expr(grid.columns("bcy")) * MICRO})
+    a = a.withColumn("_x", F.explode(F.expr("sequence(CAST(floor(ax0 * _n / 360.0) AS BIGINT) - 1, CAST(floor(ax1 * _n / 360.0) AS BIGINT) + 1)")))
+    a = a.withColumn("_x", F.expr("pmod(_x, _n)")).withColumns({"bcx": F.expr(f"_x DIV {MICRO}"), "bbx": F.expr(f"_x % {MICRO}")}).filter(forward)
+    touch = a.drop("_x", "_y", "_n").join(side(boxes, "b"), ["g", "bcx", "bcy", "bbx", "bby"])
+    linked = _checkpoint(touch.filter(_box_upper("a", "b") <= sure_m).select(*pair).distinct())
+
+    # 2. the other cell pairs within reach, then their boxes
+    cell = boxes.groupBy("g", "cx", "cy").agg(*[(F.min if c[-1] == "0" else F.max)(c).alias(c) for c in BOX])
+    far = F.expr("greatest(abs(ala0), abs(ala1))")
+    near = grid.neighbours(side(cell, "a").withColumn("_far", far), "_far", "ax0", "ax1", "acy", "bcx", "bcy").drop("_far").filter(forward)
+    near = near.join(side(cell, "b"), ["g", "bcx", "bcy"]).filter(_box_lower("a", "b") <= eps_m).select(*pair)
+    near = near.join(linked, pair, "left_anti")
+    open_ = near.join(side(boxes, "a"), ["g", "acx", "acy"]).join(side(boxes, "b"), ["g", "bcx", "bcy"])
+    found, level = [linked], 0
+    point = pts.select("g", "cx", "cy", "la", "lo", "x", "ux", "uy", "w")
+    while True:
+        open_ = _checkpoint(open_.filter(_box_lower("a", "b") <= eps_m).withColumn("sure", _box_upper("a", "b") <= sure_m))
+        if open_.isEmpty():
+            break
+        sure = open_.filter("sure").select(*pair).distinct()
+        rest = open_.join(sure, pair, "left_anti")
+        few = (F.col("an") * F.col("bn") <= POINT_PAIRS) | F.lit(level >= 20)
+        p = point.select("g", "cx", "cy", "la", "lo", *_box_index(level))
+        checked = rest.filter(few).select(*pair, "abx", "aby", "bbx", "bby").join(side(p, "a"), ["g", "acx", "acy", "abx", "aby"]).join(
+            side(p, "b"), ["g", "bcx", "bcy", "bbx", "bby"])
+        checked = checked.filter(F.expr(_hav_sql("ala", "alo", "bla", "blo")) <= eps_m).select(*pair).distinct()
+        found.append(_checkpoint(sure.unionByName(checked)))
+        rest = rest.filter(~few).join(found[-1], pair, "left_anti").select(*pair, "abx", "aby", "bbx", "bby")
+        level += 1
+        smaller = _boxes(point, level).withColumns({"_px": F.expr("bx DIV 4"), "_py": F.expr("by DIV 4")})
+        a, b = (side(smaller, p).withColumnsRenamed({f"{p}_px": f"{p}px", f"{p}_py": f"{p}py"}) for p in "ab")
+        rest = rest.withColumnsRenamed({"abx": "apx", "aby": "apy", "bbx": "bpx", "bby": "bpy"})
+        open_ = rest.join(a, ["g", "acx", "acy", "apx", "apy"]).join(b, ["g", "bcx", "bcy", "bpx", "bpy"]).drop("apx", "apy", "bpx", "bpy")
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    return every.distinct()

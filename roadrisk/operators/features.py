@@ -2,20 +2,21 @@
 
 Label encoding maps each category to its position in the sorted list of the
 column's distinct values (the usual label-encoder rule). The vocabularies are
-computed with one unpivot + distinct + dense_rank over the *distinct values*
-(tiny), folded into one map per column, and attached with a single broadcast
-join of a one-row table, so the wide table is never shuffled for encoding.
+computed with one unpivot + distinct + distributed rank over the distinct
+values, counted, and joined per column: broadcast while they are small, so the
+wide table is not shuffled for encoding.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.recode import (datetime_parts, recode_categories, recode_causes, recode_traffic_control,
                                 time_of_day)
 from ..schemas import CATEGORICAL_COLUMNS, DROP_COLUMNS, DROP_HIGH_NULL_COLUMNS, FEATURE_COLUMNS, TARGET
 from .clean import drop_zero_points
+from .sampling import BROADCAST_ROWS, row_number_distributed
 
 
 def label_vocab(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,20 +24,25 @@ def label_vocab(df: DataFrame, columns: list[str]) -> DataFrame:
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         ids=[], values=columns, variableColumnName="column", valueColumnName="value")
     distinct = long.filter(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    ranked = row_number_distributed(distinct, ["column"], [F.col("value")])
+    return ranked.select("column", "value", (F.col("rn") - 1).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: list[str], vocab: DataFrame | None = None, fill: str | None = None) -> DataFrame:
-    """Replace each column by its integer code (unknown values -> null)."""
+    """Replace each column by its integer code (unknown values -> null).
+
+    One lookup join per column; a vocabulary that was counted as small is broadcast, a large one joins by a shuffle.
+    """
     if fill is not None:
         df = df.fillna(fill, subset=columns)
     vocab = vocab if vocab is not None else label_vocab(df, columns)
-    maps = vocab.groupBy().pivot("column", columns).agg(F.map_from_entries(F.collect_list(F.struct("value", "code"))))
-    maps = maps.select(*[F.col(c).alias(f"_m_{c}") for c in columns]).withColumn("_one", F.lit(1))
-    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(maps), "_one")
-    return j.withColumns({c: F.try_element_at(F.col(f"_m_{c}"), F.col(c).cast("string")) for c in columns}).drop(
-        "_one", *[f"_m_{c}" for c in columns])
+    sizes = {r["column"]: r["count"] for r in vocab.groupBy("column").count().collect()}
+    for c in columns:
+        part = vocab.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        part = F.broadcast(part) if sizes.get(c, 0) <= BROADCAST_ROWS else part
+        order = df.columns
+        df = df.join(part, df[c].cast("string") == part["_value"], "left").withColumn(c, F.col("_code")).select(*order)
+    return df
 
 
 def prepare_categories(df: DataFrame) -> DataFrame:

@@ -7,9 +7,12 @@ instead of one job per column.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dbscan import _checkpoint
+
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, count) for every non-null value of each column, one pass."""
@@ -54,67 +57,60 @@ def group_ranges(df: DataFrame, key: str, lat: str = "LATITUDE", lon: str = "LON
     )
 
 
-FREQ_TABLE_LIMIT = 1_000_000
+def _value_positions(long: DataFrame) -> DataFrame:
+    """(column, v, start, end): the 0-based positions that value v fills in its column's ascending order.
 
+    The value-frequency table is range-partitioned by (column, v) and sorted, running counts are local
+    to a partition, and a table of one row per partition and column adds what lies before. No column
+    and no value is ever in one task as a whole; the same path serves every size.
+    """
+    def running(batches):
+        """Adds the running sum of n within each run of equal ``column`` of a sorted partition."""
+        column, total = None, 0
+        for b in batches:
+            names, counts = b.column("column").to_pylist(), b.column("n").to_pylist()
+            ends = []
+            for name, n in zip(names, counts):
+                column, total = name, (total if name == column else 0) + n
+                ends.append(total)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int64())], names=[*b.schema.names, "_end"])
 
-def percentiles(df: DataFrame, c: str, qs: list[float], names: list[str] | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles of the non-null values, as a one-row table.
+    freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    local = freq.repartitionByRange("column", "v").sortWithinPartitions("column", "v").withColumn("_part", F.spark_partition_id())
+    local = _checkpoint(local.mapInArrow(running, "column string, v double, n long, _part int, _end long"))
+    sums = local.groupBy("_part", "column").agg(F.sum("n").alias("_s"))
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
+    cum = local.join(sums, ["_part", "column"])
+    return cum.select("column", "v", (F.col("_off") + F.col("_end") - F.col("n")).alias("start"), (F.col("_off") + F.col("_end")).alias("end"))
+
+
+def quantiles(long: DataFrame, qs: list[float], names: list[str]) -> DataFrame:
+    """Exact linear-interpolation quantiles per ``column`` of a (column, v) table without null values."""
+    cum = _value_positions(long)
+    totals = cum.groupBy("column").agg(F.max("end").alias("_tot"))  # one row per column
+    at = cum.join(totals, "column")
+    exprs = []
+    for i, q in enumerate(qs):
+        h = (F.col("_tot") - 1) * F.lit(q)
+        for side, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            exprs.append(F.max(F.when((pos >= F.col("start")) & (pos < F.col("end")), F.col("v"))).alias(f"_{side}{i}"))
+        exprs.append(F.max(h - F.floor(h)).alias(f"_f{i}"))
+    per = at.groupBy("column").agg(*exprs)
+    return per.select("column", *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(n)
+                                  for i, n in enumerate(names)])
 
-    Never buffers the column in one task: with at most ``FREQ_TABLE_LIMIT``
-    distinct values the answer comes from the value-frequency table and its
-    cumulative counts; otherwise from a distributed global rank, reading only
-    the rows at the needed positions. Empty input gives nulls.
-    """
-    from .sampling import row_number_distributed
 
+def percentiles(df: DataFrame, c: str, qs: list[float], names: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles of the non-null values, as a one-row table (nulls for no values)."""
     names = names or [f"q{i}" for i in range(len(qs))]
-    spark = df.sparkSession
-    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    freq = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    stats = freq.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("total")).first()
-    k, total = int(stats["k"] or 0), int(stats["total"] or 0)
-    if total == 0:
-        return spark.createDataFrame([tuple([None] * len(qs))], ", ".join(f"{n} double" for n in names))
-    need = sorted({p for q in qs for p in (int((total - 1) * q // 1), -int(-((total - 1) * q) // 1))})
-    if k <= FREQ_TABLE_LIMIT:
-        w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over <= k rows
-        cum = freq.withColumn("_end", F.sum("n").over(w)).withColumn("_start", F.col("_end") - F.col("n"))
-        pos = spark.createDataFrame([(p,) for p in need], "pos long")
-        at = cum.join(F.broadcast(pos), (F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end")))
-        at = at.select("pos", "v")
-    else:
-        ranked = row_number_distributed(vals.withColumn("_g", F.lit(0)), ["_g"], [F.col("v")])
-        at = ranked.filter((F.col("rn") - 1).isin(need)).select((F.col("rn") - 1).alias("pos"), "v")
-    exprs = []
-    for q, name in zip(qs, names):
-        h = (total - 1) * q
-        lo, hi = int(h // 1), -int(-h // 1)
-        v_lo = F.max(F.when(F.col("pos") == lo, F.col("v")))
-        v_hi = F.max(F.when(F.col("pos") == hi, F.col("v")))
-        exprs.append((v_lo + (v_hi - v_lo) * F.lit(h - lo)).alias(name))
-    return at.agg(*exprs)
+    vals = df.select(F.lit("v").alias("column"), F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    return quantiles(vals, qs, names).agg(*[F.max(n).alias(n) for n in names])
 
 
 def medians(df: DataFrame, cols: list[str], prefix: str = "_med_") -> DataFrame:
-    """Exact medians (linear interpolation) of many columns in one pass, as a one-row table.
-
-    One unpivot + groupBy(column, value) gives the value-frequency table (one
-    row per distinct value per column); cumulative counts per column locate
-    the two middle positions. Nothing is buffered per column in one task
-    beyond its distinct values.
-    """
+    """Exact medians (linear interpolation) of many columns in one pass, as a one-row table."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         ids=[], values=cols, variableColumnName="column", valueColumnName="v").filter(F.col("v").isNotNull())
-    freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = freq.withColumns({"_end": F.sum("n").over(w), "_tot": F.sum("n").over(Window.partitionBy("column"))})
-    cum = cum.withColumn("_start", F.col("_end") - F.col("n"))
-    h = (F.col("_tot") - 1) * 0.5
-    lo, hi = F.floor(h), F.ceil(h)
-    covers = lambda p: (p >= F.col("_start")) & (p < F.col("_end"))
-    per = cum.groupBy("column").agg(F.max(F.when(covers(lo), F.col("v"))).alias("vlo"),
-                                    F.max(F.when(covers(hi), F.col("v"))).alias("vhi"),
-                                    F.first(h - lo).alias("frac"))
-    per = per.withColumn("m", F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
-    row = per.groupBy().pivot("column", cols).agg(F.first("m"))
+    row = quantiles(long, [0.5], ["m"]).groupBy().pivot("column", cols).agg(F.first("m"))
     return row.select(*[F.col(c).alias(prefix + c) for c in cols])

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .dbscan import _checkpoint
 
+BROADCAST_ROWS = 100_000
+
 
 def hash_key(key, seed: int = 42) -> Column:
     k = F.col(key) if isinstance(key, str) else key
@@ -25,21 +27,26 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_key(key, seed), F.col(key)).limit(n)
 
 
-def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn",
-                           partitions: int | None = None) -> DataFrame:
-    """1-based row number within ``part_cols`` groups in ``order_cols`` order, computed
-    without a single-task window per group."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *[F.col(c) for c in part_cols], *order_cols).withColumn("_part", F.spark_partition_id())
-    r = _checkpoint(r)
-    local = Window.partitionBy("_part", *part_cols).orderBy(*order_cols)
-    r = r.withColumn("_lrn", F.row_number().over(local))
-    counts = r.groupBy("_part", *part_cols).agg(F.count(F.lit(1)).alias("_n"))
+def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn") -> DataFrame:
+    """1-based row number within ``part_cols`` groups in ``order_cols`` order, with one shuffle of the rows.
+
+    After the range partitioning and local sort, ``monotonically_increasing_id`` holds the partition
+    (upper bits) and the row within it (lower 33 bits); a table with one row per partition and group
+    tells where each group begins there and how many of its rows lie in earlier partitions.
+    """
+    order = [*[F.col(c) for c in part_cols], *order_cols]
+    r = _checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    starts = r.groupBy(part.alias("_part"), *part_cols).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
     prior = Window.partitionBy(*part_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(prior), F.lit(0))).drop("_n")
-    r = r.join(F.broadcast(offs), ["_part", *part_cols])
-    return r.withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_part", "_lrn", "_off")
+    starts = starts.select("_part", *part_cols, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) - F.col("_first") + 1).alias("_off"))
+    if starts.count() <= BROADCAST_ROWS:  # partitions x groups, counted
+        starts = F.broadcast(starts)
+    match = F.col("_part") == part
+    for c in part_cols:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    j = r.join(starts.select("_part", "_off", *[F.col(c).alias(f"_k_{c}") for c in part_cols]), match)
+    return j.withColumn(out, (row + F.col("_off")).cast("long")).drop("_id", "_part", "_off", *[f"_k_{c}" for c in part_cols])
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -47,7 +54,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     h = hash_key(key, seed)
     ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    ranked = ranked.join(F.broadcast(sizes), label)
+    ranked = ranked.join(sizes, label)
     return ranked.withColumn("is_test", F.col("rn") <= F.round(F.col("_nc") * test_size)).drop("_h", "_nc")
 
 
@@ -61,10 +68,9 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 def example_rows(df: DataFrame, key: str, positions=(10, 100, 250), seed: int = 42) -> DataFrame:
     """Rows at the given 0-based positions of the hash order; falls back to
     position 0 when none of them exists."""
-    ranked = row_number_distributed(df.withColumn("_g", F.lit(0)).withColumn("_h", hash_key(key, seed)),
-                                    ["_g"], [F.col("_h"), F.col(key)])
-    ranked = ranked.withColumn("position", F.col("rn") - 1).drop("_g", "_h", "rn")
-    hit = ranked.filter(F.col("position").isin(list(positions)))
-    fallback = ranked.filter(F.col("position") == 0).join(hit.select(F.lit(1).alias("_x")).limit(1), how="left_anti",
-                                                          on=F.lit(True))
-    return hit.unionByName(fallback)
+    top = df.withColumn("_h", hash_key(key, seed)).orderBy("_h", key).limit(max(positions) + 1)  # a top-n, no full sort
+    order = Window.orderBy("_h", key)  # over at most max(positions) + 1 rows
+    top = top.withColumn("position", (F.row_number().over(order) - 1).cast("long"))
+    wanted = F.col("position").isin(list(positions))
+    top = top.withColumn("_any", F.max(wanted).over(Window.partitionBy()))
+    return top.filter(wanted | (~F.col("_any") & (F.col("position") == 0))).drop("_h", "_any")

@@ -94,3 +94,60 @@ def test_dense_cells_linked_only_within_eps(spark):
         assert out[i]["is_core"] and out[i]["core_label"] == label[i], i
     merged = {g: len({out[i]["cluster_id"] for i in range(len(rows)) if grp[i] == g}) for g in range(1, 7)}
     assert merged == {1: 1, 2: 2, 3: 1, 4: 2, 5: 1, 6: 2}
+
+
+def _check(spark, pts, eps=250.0, ms=12):
+    """Core flags, component labels, border labels and noise against the brute force."""
+    lat, lon, grp = (np.array([p[k] for p in pts]) for k in range(3))
+    core, label, border = _brute(lat, lon, grp, eps, ms)
+    df = spark.createDataFrame([(i, float(a), float(o), int(g)) for i, (a, o, g) in enumerate(pts)],
+                               "crash_id long, lat double, lon double, community_area_number int")
+    out = {r["crash_id"]: r for r in dbscan(df, eps_m=eps, min_samples=ms).collect()}
+    assert len(out) == len(pts)
+    cluster = {}
+    for i in range(len(pts)):
+        assert out[i]["is_core"] == bool(core[i]), (i, pts[i])
+        if core[i]:
+            assert out[i]["core_label"] == label[i], (i, pts[i])
+            cluster[label[i]] = out[i]["cluster_id"]
+    for i in range(len(pts)):
+        if not core[i]:
+            assert out[i]["cluster_id"] == (cluster[border[i]] if i in border else -1), (i, pts[i])
+    return out
+
+
+def test_poles_date_line_and_stray_latitudes(spark):
+    rng = np.random.default_rng(3)
+    m = 1 / 111194.93
+    pts = [(10 + rng.normal(0, 60 * m), ((180 + rng.normal(0, 60 * m)) + 180) % 360 - 180, 1) for _ in range(40)]  # one cluster over the line
+    pts += [(90 - abs(rng.normal(0, 90 * m)), rng.uniform(-180, 180), 1) for _ in range(40)]  # around a pole
+    pts += [(-89.9 + rng.normal(0, 50 * m), rng.normal(20, 0.02), 1) for _ in range(30)]
+    pts += [(41.6 + rng.normal(0, 100 * m), -87.6 + rng.normal(0, 100 * m), 1) for _ in range(40)]
+    pts += [(90.0, 7.0, 1), (-90.0, 0.0, 1), (0.0, 180.0, 1), (0.0, -180.0, 1), (89.0, 0.0, 1)]
+    pts += [(60 + rng.normal(0, 300 * m), rng.choice([-179.9999, 179.9999]) + rng.normal(0, 1e-5), 1) for _ in range(30)]
+    out = _check(spark, pts)
+    assert len({out[i]["cluster_id"] for i in range(40)} - {-1}) == 1
+
+
+def test_long_chain_is_one_cluster(spark):
+    """330 dense cells in a row, ids running against the chain and at random."""
+    m = 1 / 111194.93
+    for order in ("down", "random"):
+        ids = list(range(330 * 12))
+        ids.reverse() if order == "down" else np.random.default_rng(1).shuffle(ids)
+        rows = [(int(ids[k * 12 + j]), 41.0 + k * 200 * m, -87.0 + j * 0.5 * m, 1) for k in range(330) for j in range(12)]
+        df = spark.createDataFrame(rows, "crash_id long, lat double, lon double, community_area_number int")
+        out = dbscan(df).select("cluster_id", "core_label").distinct().collect()
+        assert [tuple(r) for r in out] == [(0, 0)]
+
+
+def test_hot_neighbouring_boxes_are_not_compared_point_by_point(spark):
+    """Two bands of 30,000 distinct points each, their nearest points 249 m or 251 m apart."""
+    m = 1 / 111194.93
+    rng = np.random.default_rng(5)
+    for gap, clusters in ((249.0, 1), (251.0, 2)):
+        a = [(41.0 - rng.uniform(0.0, 3.0) * m, -87.0 + rng.uniform(0, 3) * m) for _ in range(30_000)] + [(41.0, -87.0)]
+        b = [(41.0 + (gap + rng.uniform(0.0, 3.0)) * m, -87.0 + rng.uniform(0, 3) * m) for _ in range(30_000)] + [(41.0 + gap * m, -87.0)]
+        rows = [(i, la, lo, 1) for i, (la, lo) in enumerate(a + b)]
+        df = spark.createDataFrame(rows, "crash_id long, lat double, lon double, community_area_number int")
+        assert dbscan(df).select("cluster_id").distinct().count() == clusters
