@@ -6,7 +6,6 @@ sources    readers/writers (CSV, Parquet, GeoJSON) and the crash-shaped fixture
 functions  column-expression builders (coercion, severity, recodes, labels, geometry)
 operators  DataFrame operators (cleaning, spatial join, DBSCAN, risk tables, ML, ...)
 plans      registered report queries and their DuckDB oracle SQL
-streaming  Structured Streaming form of the risk aggregation
 """
 
 __all__ = ["session"]

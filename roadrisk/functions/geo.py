@@ -1,7 +1,7 @@
 """Geometry as column expressions: haversine distance and point-in-polygon.
 
-Polygons are ``rings: array<array<struct<x double, y double>>>`` (ring 0 the
-exterior, later rings holes); a point is two doubles. The within-test uses the
+Areas are ``rings: array<array<struct<x double, y double>>>``: the exterior ring
+and holes of each of their parts, which don't overlap; a point is two doubles. The within-test uses the
 even-odd crossing rule across all rings (so holes subtract) and treats a point
 on any edge or vertex as *not* within, as a strict ``within`` predicate does.
 """
@@ -73,8 +73,8 @@ def point_within(rings, x, y) -> Column:
 
 
 def ring_bounds(rings) -> dict[str, Column]:
-    """Bounding box of the exterior ring."""
-    ext = col_(rings)[0]
+    """Bounding box of all rings: an area may have several exterior ones."""
+    ext = F.flatten(col_(rings))
     xs = F.transform(ext, lambda p: p["x"])
     ys = F.transform(ext, lambda p: p["y"])
     return {"lon_lo": F.array_min(xs), "lon_hi": F.array_max(xs), "lat_lo": F.array_min(ys), "lat_hi": F.array_max(ys)}

@@ -169,7 +169,7 @@ def risk_factors(speed="POSTED_SPEED_LIMIT", weather="WEATHER_CONDITION", lighti
     """Ordered list of the rule-based risk factors that apply to a request row."""
     sp, we, li, su, ca, un, hr = (col_(c) for c in (speed, weather, lighting, surface, cause, units, hour))
     rules = [
-        F.when(sp >= 40, F.lit("High speed zone (>=40 mph)")),
+        F.when(sp >= 40, F.lit("High speed zone (≥40 mph)")),
         F.when(we != "CLEAR", F.concat(F.lit("Adverse weather: "), we)),
         F.when(li.contains("DARKNESS"), F.lit("Low visibility (darkness)")),
         F.when(~su.isin(GOOD_SURFACES), F.concat(F.lit("Poor surface: "), su)),

@@ -90,22 +90,34 @@ def apply_filters(df: DataFrame, f: CrashFilter) -> DataFrame:
 
 
 def filter_statistics(df: DataFrame, f: CrashFilter) -> DataFrame:
-    """Filtered-versus-total statistics in one conditional aggregation."""
+    """Filtered-versus-total statistics in one conditional aggregation.
+
+    Mean risk is that of ``mean_weighted_severity`` where the table has it, else it comes from the
+    injury counts; an injury column that is absent counts 0.
+    """
     sel = filter_predicate(df, f)
 
     def s(c, cond=None):
+        if c not in df.columns:
+            return F.lit(0).cast("long")
         x = F.col(c) if cond is None else F.when(cond, F.col(c))
         return F.coalesce(F.sum(x), F.lit(0)).cast("long")
 
+    scored = "mean_weighted_severity" in df.columns
+    score = F.col("mean_weighted_severity") if scored else F.lit(None).cast("double")
+
     agg = df.agg(
         F.count_if(sel).alias("filtered_count"), F.count(F.lit(1)).alias("total_count"),
         s("fatal", sel).alias("fatal_filtered"), s("fatal").alias("fatal_total"),
         s("serious", sel).alias("_ser_f"), s("moderate", sel).alias("_mod_f"),
         s("serious").alias("_ser_t"), s("moderate").alias("_mod_t"),
+        F.coalesce(F.avg(F.when(sel, score)), F.lit(0.0)).alias("_risk_f"), F.coalesce(F.avg(score), F.lit(0.0)).alias("_risk_t"),
     )
     pct = F.when(F.col("total_count") > 0, F.col("filtered_count") / F.col("total_count") * 100).otherwise(F.lit(0.0))
     mean_f = (3 * F.col("fatal_filtered") + 2 * F.col("_ser_f") + F.col("_mod_f")) / F.greatest(F.col("filtered_count"), F.lit(1))
     mean_t = (3 * F.col("fatal_total") + 2 * F.col("_ser_t") + F.col("_mod_t")) / F.greatest(F.col("total_count"), F.lit(1))
+    if scored:
+        mean_f, mean_t = F.col("_risk_f"), F.col("_risk_t")
     out = agg.select(
         "filtered_count", "total_count", pct.cast("double").alias("percentage"), "fatal_filtered", "fatal_total",
         (F.col("_ser_f") + F.col("_mod_f")).alias("injury_filtered"), (F.col("_ser_t") + F.col("_mod_t")).alias("injury_total"),
@@ -136,3 +148,8 @@ def choropleth_layer(banded_areas: DataFrame, colors: dict, band: str = "risk_ca
         F.transform(F.col("rings")[0], lambda p: p["y"]).alias("lats"),
         "total_crashes", "fatal", "mean_weighted_severity",
     )
+
+
+def dashboard(df: DataFrame, f: CrashFilter, key: str = "crash_id", max_points: int = 5000) -> dict[str, DataFrame]:
+    """One dashboard request: the filtered table's statistics and point layer."""
+    return {"statistics": filter_statistics(df, f), "points": points_layer(apply_filters(df, f), key, max_points)}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def prepare(train: DataFrame, others: list[DataFrame], features: list[str], labe
 def make_classifier(name: str, n_rows: int | None = None, trees: int = 50, iters: int = 20, seed: int = 42):
     if name == "LogisticRegression":
         return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                  regParam=1.0 / max(n_rows or 1, 1), maxIter=50)
+                                  regParam=1.0 / max(n_rows or 1, 1), maxIter=2000)
     if name == "RandomForest":  # nearest MLlib stand-in for extra trees: no bootstrap, balanced weights
         return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees,
                                       bootstrap=False, maxBins=32, seed=seed)
@@ -92,6 +92,31 @@ def fit_predict(train: DataFrame, test: DataFrame, features: list[str], label: s
     return pred, fitted, indexer
 
 
+def fit_pipeline(train: DataFrame, features: list[str], label: str, model: str = "LogisticRegression", **kw):
+    """One ``PipelineModel`` from raw feature rows to ``prediction`` and ``predicted_label``.
+
+    Medians (of Spark's imputer, relative error 0), scaling, assembly, the classifier and the label names
+    are its stages, so it scores rows that were prepared nowhere else. The label index is fitted before
+    and is not a stage: rows to score have no label.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import Imputer, IndexToString, StandardScaler
+    train = _checkpoint(train.withColumns({c: F.col(c).cast("double") for c in features}))
+    indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
+    rows = with_class_weight(indexer.transform(train), "label")
+    filled = [f"_filled_{c}" for c in features]
+    stages = [
+        SQLTransformer(statement="SELECT *, " + ", ".join(f"CAST({c} AS DOUBLE) AS _raw_{c}" for c in features) + " FROM __THIS__"),
+        Imputer(strategy="median", inputCols=[f"_raw_{c}" for c in features], outputCols=filled, relativeError=0.0),
+        VectorAssembler(inputCols=filled, outputCol="_assembled", handleInvalid="keep"),
+        StandardScaler(inputCol="_assembled", outputCol="features", withMean=True, withStd=True),
+        make_classifier(model, n_rows=train.count() if model == "LogisticRegression" else None, **kw),
+    ]
+    fitted = Pipeline(stages=stages).fit(rows)
+    names = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer.labels)
+    return PipelineModel(stages=[*fitted.stages, names])
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str, models: list[str], k: int = 5, **kw) -> DataFrame:
     """Per model: mean and population std of macro-F1 and balanced accuracy over ``fold`` 0..k-1.
 

@@ -39,18 +39,19 @@ def community_risk(crashes: DataFrame, area_col: str = "community_area_number",
     """Per-area totals, injury sums, mean crash score and risk index for areas 1..n.
 
     Every area of the spine appears (zero-filled); crashes with a null or
-    unknown area are aggregated but fall out at the spine join.
+    unknown area are left out before the aggregation, which has at most n rows.
     """
     if area_col not in crashes.columns:
         raise KeyError(f"{area_col} column missing")
     if "weighted_severity" not in crashes.columns:
         crashes = crash_severity(crashes)
-    agg = crashes.groupBy(F.col(area_col).cast("long").alias("community_area_number")).agg(
+    area = F.col(area_col).cast("long")
+    agg = crashes.filter(area.between(1, n_areas)).groupBy(area.alias("community_area_number")).agg(
         F.count(F.lit(1)).alias("total_crashes"), *_risk_sums(),
         F.avg("weighted_severity").alias("mean_weighted_severity"),
     )
     spine = crashes.sparkSession.range(1, n_areas + 1, numPartitions=1).withColumnRenamed("id", "community_area_number")
-    out = spine.join(F.broadcast(agg) if n_areas <= 100000 else agg, "community_area_number", "left")
+    out = spine.join(agg, "community_area_number", "left")
     out = out.fillna(0, subset=["total_crashes", *RISK_SUMS]).fillna(0.0, subset=["mean_weighted_severity"])
     return out.withColumn("risk_index", risk_index())
 

@@ -96,7 +96,7 @@ def spatial_join(points: DataFrame, areas: DataFrame, x: str = "lon", y: str = "
     if x not in points.columns or y not in points.columns or "rings" not in areas.columns:
         raise ValueError("Both tables must carry geometry (point x/y columns and polygon 'rings').")
     cells, cell, est_bytes = polygon_cells(areas, cell_deg)
-    area_cols = [c for c in areas.columns if c not in ("rings",)]
+    area_cols = [c for c in areas.columns if c not in ("rings", "parts")]
     clash = [c for c in area_cols if c in points.columns]
     if clash:
         points = points.withColumnsRenamed({c: f"{c}_{lsuffix}" for c in clash})

@@ -202,7 +202,7 @@ def _rf_sql() -> str:
     causes = ", ".join(q(c) for c in L.RISKY_CAUSES)
     good = ", ".join(q(c) for c in L.GOOD_SURFACES)
     parts = [
-        "CASE WHEN POSTED_SPEED_LIMIT >= 40 THEN 'High speed zone (>=40 mph)' END",
+        "CASE WHEN POSTED_SPEED_LIMIT >= 40 THEN 'High speed zone (≥40 mph)' END",
         "CASE WHEN WEATHER_CONDITION <> 'CLEAR' THEN 'Adverse weather: ' || WEATHER_CONDITION END",
         "CASE WHEN contains(LIGHTING_CONDITION, 'DARKNESS') THEN 'Low visibility (darkness)' END",
         f"CASE WHEN NOT (ROADWAY_SURFACE_COND IN ({good})) THEN 'Poor surface: ' || ROADWAY_SURFACE_COND END",

@@ -14,30 +14,32 @@ from . import stages as S
 from .feature_queries import _features, fsql
 from .registry import register, rounded
 
-_NUM = ["POSTED_SPEED_LIMIT", "NUM_UNITS", "CRASH_HOUR", "CRASH_MONTH", "WEATHER_CONDITION"]
-
 
 @register("impute_median", fsql(
-    "SELECT " + ", ".join(f"round(quantile_cont({c}, 0.5), 9) AS med_{c}" for c in _NUM) + " FROM features"))
+    "SELECT " + ", ".join(f"round(quantile_cont({c}, 0.5), 9) AS med_{c}" for c in FEATURE_COLUMNS) + " FROM features"))
 def impute_median(spark, sf_dir):
     """ML3: exact medians used to fill nulls (linear interpolation)."""
-    from ..operators.profile import percentiles
-    f = _features(spark, sf_dir)
-    out = None
-    for c in _NUM:
-        m = percentiles(f, c, [0.5], [f"med_{c}"]).withColumn("_k", F.lit(1))
-        out = m if out is None else out.join(m, "_k")
-    return rounded(out.drop("_k"))
+    from ..operators.profile import medians
+    return rounded(medians(_features(spark, sf_dir), FEATURE_COLUMNS, "med_"))
+
+
+@register("impute_fill", fsql(
+    "SELECT crash_id, " + ", ".join(f"round(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM features)), 9) AS {c}" for c in FEATURE_COLUMNS)
+    + " FROM features"))
+def impute_fill(spark, sf_dir):
+    """ML3: nulls filled with the exact medians, all features."""
+    f = _features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
+    return rounded(ML.median_impute(f, FEATURE_COLUMNS))
 
 
 @register("standardize", fsql(
     "SELECT crash_id, " + ", ".join(
         f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END, 9) AS {c}"
-        for c in _NUM) + " FROM features"))
+        for c in FEATURE_COLUMNS) + " FROM features"))
 def standardize(spark, sf_dir):
     """ML4: (x - mean) / population std (zero std -> 1)."""
-    f = _features(spark, sf_dir).select("crash_id", *_NUM)
-    return rounded(ML.standardize(f, _NUM))
+    f = _features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
+    return rounded(ML.standardize(f, FEATURE_COLUMNS))
 
 
 @register("class_weights", fsql(
@@ -67,23 +69,23 @@ def train_logreg(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
-@register("eval_metrics")
-def eval_metrics(spark, sf_dir):
-    """ML14-ML16: test-set accuracy, balanced accuracy, macro and weighted F1."""
+@register("logreg_metrics")
+def logreg_metrics(spark, sf_dir):
+    """ML14-ML16: test-set accuracy, balanced accuracy, macro and weighted F1 of the logistic regression."""
     pred, _, _ = _logreg(spark, sf_dir)
     return EV.classification_metrics(pred, "label", "prediction")
 
 
-@register("confusion_matrix")
-def confusion_matrix(spark, sf_dir):
-    """ML18: confusion counts on the class spine."""
+@register("logreg_confusion")
+def logreg_confusion(spark, sf_dir):
+    """ML18: the logistic regression's confusion counts on the class spine."""
     pred, _, _ = _logreg(spark, sf_dir)
     return EV.confusion(pred, "label", "prediction")
 
 
-@register("classification_report")
-def classification_report(spark, sf_dir):
-    """ML17: per-class precision / recall / F1 / support with macro and weighted averages."""
+@register("logreg_report")
+def logreg_report(spark, sf_dir):
+    """ML17: the logistic regression's per-class precision / recall / F1 / support with macro and weighted averages."""
     pred, _, _ = _logreg(spark, sf_dir)
     return EV.classification_report(pred, "label", "prediction")
 
@@ -129,12 +131,14 @@ def attribution_global(spark, sf_dir):
 
 @register("attribution_local")
 def attribution_local(spark, sf_dir):
-    """EX4: per-feature attributions of the example rows (positions 10/100/250 of the test set)."""
+    """EX4: per-feature attributions to the predicted class of the example rows (positions 10/100/250 of the test set)."""
     from ..operators.sampling import example_rows
     pred, fitted, _ = _logreg(spark, sf_dir)
     contrib = linear_contributions(pred, fitted.coefficients.toArray().tolist(), FEATURE_COLUMNS, "crash_id")
     ex = example_rows(pred.select("crash_id", "prediction"), "crash_id")
-    return contrib.join(F.broadcast(ex), "crash_id")
+    # contributions are to class 1's log odds; for a row predicted as class 0 they count the other way
+    toward = F.when(F.col("prediction") == 1, F.col("value")).otherwise(-F.col("value"))
+    return contrib.join(F.broadcast(ex), "crash_id").withColumn("value", toward)
 
 
 @register("location_cluster")
@@ -226,18 +230,16 @@ def prepare_data_q(spark, sf_dir):
 
 @register("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
-    """IO12 + AP2: persist the fitted pipeline (indexer + assembler + model), load it, score the test rows."""
+    """IO12 + AP2: persist imputer, scaler, assembler, model and label names as one pipeline; load it and score raw rows."""
     import uuid
     from pyspark.ml import PipelineModel
     from ..session import ensure_checkpoint_dir
     train, test = _split(spark, sf_dir)
-    (tr, te), indexer = ML.prepare(train, [test], FEATURE_COLUMNS, TARGET)
-    tr = ML.with_class_weight(tr, "label")
-    fitted = ML.make_classifier("LogisticRegression", n_rows=tr.count()).fit(tr)
+    fitted = ML.fit_pipeline(train, FEATURE_COLUMNS, TARGET)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex[:12]}"
-    PipelineModel(stages=[fitted]).write().overwrite().save(path)
+    fitted.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    return loaded.transform(te).select("crash_id", "prediction")
+    return loaded.transform(test.drop(TARGET)).select("crash_id", "prediction", "predicted_label")
 
 
 @register("metrics_json")
@@ -245,8 +247,9 @@ def metrics_json(spark, sf_dir):
     """IO8: metrics written as JSON and read back with defaults for missing fields/files."""
     import uuid
     from ..session import ensure_checkpoint_dir
-    m = eval_metrics(spark, sf_dir).first()
+    m = logreg_metrics(spark, sf_dir).first()
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/metrics/{uuid.uuid4().hex[:12]}"
-    ML.write_metrics(spark, {"best_model": "LogisticRegression", "test_balanced_accuracy": float(m["balanced_accuracy"])},
+    ML.write_metrics(spark, {"best_model": "LogisticRegression", "test_balanced_accuracy": float(m["balanced_accuracy"]),
+                             "test_macro_f1": float(m["macro_f1"])},
                      path)
     return ML.read_metrics(spark, path).unionByName(ML.read_metrics(spark, path + "-missing"))

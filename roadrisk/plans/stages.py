@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import clean_crashes, crash_points
 from ..operators.risk import community_risk, crash_severity
 from ..operators.spatial import load_community_areas, spatial_join
-from ..sources.fixture import load_areas, load_crashes
+from ..sources.fixture import ingest, load_areas, load_crashes
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,6 @@ def areas_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crash severity rows with DBSCAN hotspot labels (per community area)."""
+    """Crash severity rows with DBSCAN hotspot labels (per community area), written once per source."""
     from ..operators.dbscan import dbscan
-    return dbscan(severity(spark, sf_dir))
+    return ingest(spark, f"{sf_dir}/orders.parquet", "clustered", lambda: dbscan(severity(spark, sf_dir)))

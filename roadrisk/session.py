@@ -41,8 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    The cluster's setting always wins. Only when it is unset and the master is
+    local (tests) a fresh scratch folder is created and registered; on a cluster
+    a folder of one machine would hide each executor's files from the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -50,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # local runs and tests only: a cluster names a shared folder itself
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share.")
         configured = tempfile.mkdtemp(prefix="roadrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

@@ -127,8 +127,9 @@ def load_crashes(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
 def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
     """Write ``build()`` once to ``<checkpoint dir>/ingest/<name>-<key>`` and read it back.
 
-    The key covers the source path, size and modification time, so a changed
-    source is re-ingested. The write is atomic per job (``_SUCCESS`` marker).
+    The key covers the path, the number and size of its files and the latest
+    modification below it, so a changed source is ingested again. The write is
+    atomic per job (``_SUCCESS`` marker).
     """
     from ..session import ensure_checkpoint_dir
 
@@ -136,8 +137,12 @@ def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src_path = jvm.org.apache.hadoop.fs.Path(src)
     fs = src_path.getFileSystem(conf)
-    st = fs.getFileStatus(src_path)
-    key = hashlib.md5(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode()).hexdigest()[:16]
+    held = fs.getContentSummary(src_path)
+    files, latest = fs.listFiles(src_path, True), fs.getFileStatus(src_path).getModificationTime()
+    while files.hasNext():
+        latest = max(latest, files.next().getModificationTime())
+    where = fs.getFileStatus(src_path).getPath().toString()
+    key = hashlib.md5(f"{where}|{held.getLength()}|{held.getFileCount()}|{latest}".encode()).hexdigest()[:16]
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{name}-{key}"
     out_path = jvm.org.apache.hadoop.fs.Path(out + "/_SUCCESS")
     if not out_path.getFileSystem(conf).exists(out_path):
