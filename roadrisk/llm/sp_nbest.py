@@ -28,6 +28,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -55,6 +56,7 @@ class Pieces:
         n = self.sp.vocab_size()
         self.automaton = ahocorasick.Automaton()
         self.pairs: set[str] = set()
+        self.single: set[str] = set()
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_ids = [0] * 256
         low = 0.0
@@ -67,6 +69,8 @@ class Pieces:
             elif not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i)):
                 score = self.sp.get_score(i)
                 self.automaton.add_word(piece, (len(piece), score, (i,)))
+                if len(piece) == 1:
+                    self.single.add(piece)
                 self.pairs.update(map("".join, itertools.pairwise(piece)))
                 self.bytes_of[i] = piece.replace(BLANK, " ").encode()
                 if score > -1e8:
@@ -106,7 +110,7 @@ class Pieces:
         best = [0.0]
         for found in into[1:]:
             best.append(max([best[i] + s for i, s, _ in found]))
-        turn, heap = 1, [(-best[-1], 0, len(text), 0.0, None)]
+        turn, heap = 0, [(-best[-1], 0, len(text), 0.0, None)]
         while heap:
             _, _, j, after, rest = heappop(heap)
             if j == 0:
@@ -116,10 +120,44 @@ class Pieces:
                     rest = rest[1]
                 yield after, tuple(ids)
                 continue
-            for i, s, ids in into[j]:
+            for i, s, ids in reversed(into[j]):
                 s += after
+                turn -= 1
                 heappush(heap, (-best[i] - s, turn, i, s, (ids, rest)))
-                turn += 1
+
+    def first_two(self, text: str) -> tuple[float, tuple[int, ...], float]:
+        """(score, ids) of the best segmentation and what the second best loses (infinite without one).
+
+        The second best leaves the best path by some edge; the best path through an edge is the sum of the
+        Viterbi scores before and after it and its own.
+        """
+        n, low = len(text), -np.inf
+        if self.single.issuperset(text):
+            edges = [(last + 1 - length, last + 1, score, ids) for last, (length, score, ids) in self.automaton.iter(text)]
+        else:
+            edges = [(i, j, score, ids) for j, found in enumerate(self.edges(text)) for i, score, ids in found]
+        before, after, by = [0.0] + [low] * n, [low] * n + [0.0], [None] * (n + 1)
+        for e in edges:  # by rising ends, the longest first
+            i, j, s, _ = e
+            s += before[i]
+            if s > before[j]:
+                before[j] = s
+                by[j] = e
+        second = low
+        j, ids, path = n, [], set()
+        while j:
+            e = by[j]
+            path.add(e)
+            ids.append(e[3])
+            j = e[0]
+        for e in reversed(edges):
+            i, j, s, _ = e
+            s += after[j]
+            if s > after[i]:
+                after[i] = s
+            if s + before[i] > second and e not in path:
+                second = s + before[i]
+        return before[n], tuple(chain.from_iterable(reversed(ids))), before[n] - second
 
     def word_paths(self, word: str, n: int) -> list[Path]:
         """The ``n`` best segmentations of a word."""
@@ -177,9 +215,7 @@ class Encoder:
                 if known is None:
                     known = self.older.get(p)
                     if known is None:
-                        found = self.pieces.paths(p)
-                        first, second = next(found), next(found, None)
-                        known = (*first, first[0] - second[0] if second else np.inf)
+                        known = self.pieces.first_two(p)
                     self.parts[p] = known
                 score += known[0]
                 ids.extend(known[1])
@@ -228,7 +264,7 @@ class Encoder:
             lists.append(x[:n])
         out = []
         for ranks in best_sums([[p[0] for p in x] for x in lists], n):
-            cuts = sorted((at[j], x[r], x[0]) for j, (x, r) in enumerate(zip(lists, ranks, strict=True)) if r)
+            cuts = sorted((at[j], x[r], x[0]) for j, (x, r) in enumerate(zip(lists, ranks, strict=True)))
             parts, last = [], 0
             for i, path, _ in cuts:
                 parts += [ids[last : ends[i] - lengths[i]], np.array(path[1], np.uint32)]
