@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.labels import BAND_COLORS_FILTER, CLASS_COLOR, CLASS_SIZE, LIGHTING_NAMES
+from ..functions.labels import BAND_COLORS_FILTER, CLASS_COLOR, CLASS_SIZE, DAY_NAMES, LIGHTING_NAMES, MONTH_NAMES
 from ..operators import dashboard as D
 from ..operators import risk as R
 from ..operators import sampling as SA
@@ -84,8 +84,7 @@ def sample_points(spark, sf_dir):
 @register("points_layer", sql(
     f"SELECT crash_id, round(lon, 9) AS lon, round(lat, 9) AS lat, cls AS severity, {_cmap(CLASS_COLOR, True)} AS color, "
     f"{_cmap(CLASS_SIZE, False)} AS size, coalesce(CASE WHEN crash_month BETWEEN 1 AND 12 AND crash_day_of_week BETWEEN 0 AND 6 "
-    "AND crash_hour IS NOT NULL THEN ['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec']"
-    "[crash_month] || ' ' || ['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun'][crash_day_of_week + 1] || ' ' || "
+    f"AND crash_hour IS NOT NULL THEN {list(MONTH_NAMES)}[crash_month] || ' ' || {list(DAY_NAMES)}[crash_day_of_week + 1] || ' ' || "
     "lpad(CAST(crash_hour AS VARCHAR), 2, '0') || ':00' END, 'Invalid Date') AS date_label "
     f"FROM (SELECT *, {_CLS} AS cls FROM (SELECT * FROM dash ORDER BY {_MD5}, crash_id LIMIT 5000))"))
 def points_layer(spark, sf_dir):

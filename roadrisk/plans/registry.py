@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import ENV_COLUMNS, INJURY_COLUMNS_ALL, REQUIRED_COLUMNS
 from ..sources.fixture import AREAS_CTE, CRASHES_CTE
 
 QUERIES: dict[str, Callable] = {}
@@ -36,18 +37,6 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # SQL side: the same stages as CTEs (DuckDB dialect).
 # --------------------------------------------------------------------------
 
-_INJ = ["INJURIES_TOTAL", "INJURIES_FATAL", "INJURIES_INCAPACITATING", "INJURIES_NON_INCAPACITATING",
-        "INJURIES_REPORTED_NOT_EVIDENT", "INJURIES_NO_INDICATION", "INJURIES_UNKNOWN"]
-_ENV = ["TRAFFIC_CONTROL_DEVICE", "DEVICE_CONDITION", "WEATHER_CONDITION", "LIGHTING_CONDITION",
-        "TRAFFICWAY_TYPE", "ALIGNMENT", "ROADWAY_SURFACE_COND", "ROAD_DEFECT"]
-_REQ = ["POSTED_SPEED_LIMIT", "TRAFFIC_CONTROL_DEVICE", "DEVICE_CONDITION", "WEATHER_CONDITION",
-        "LIGHTING_CONDITION", "FIRST_CRASH_TYPE", "TRAFFICWAY_TYPE", "ALIGNMENT", "ROADWAY_SURFACE_COND",
-        "ROAD_DEFECT", "REPORT_TYPE", "CRASH_TYPE", "DAMAGE", "PRIM_CONTRIBUTORY_CAUSE", "SEC_CONTRIBUTORY_CAUSE",
-        "NUM_UNITS", "MOST_SEVERE_INJURY", "INJURIES_TOTAL", "INJURIES_FATAL", "INJURIES_INCAPACITATING",
-        "INJURIES_NON_INCAPACITATING", "INJURIES_REPORTED_NOT_EVIDENT", "INJURIES_NO_INDICATION",
-        "INJURIES_UNKNOWN", "CRASH_HOUR", "CRASH_DAY_OF_WEEK", "CRASH_MONTH", "LATITUDE", "LONGITUDE"]
-
-
 def _sev_sql(f, s, m, mi, n) -> str:
     d = lambda c: f"CAST({c} AS DOUBLE)"
     num = f"(3 * {d(f)} + 2 * {d(s)} + 1 * {d(m)} + 0.5 * {d(mi)})"
@@ -62,11 +51,11 @@ coerced AS (
     CASE WHEN isnan(TRY_CAST(LONGITUDE AS DOUBLE)) THEN NULL ELSE TRY_CAST(LONGITUDE AS DOUBLE) END AS LONGITUDE)
   FROM crashes
 ), clean AS (
-  SELECT crash_id, {", ".join(_REQ)} FROM coerced
+  SELECT crash_id, {", ".join(REQUIRED_COLUMNS)} FROM coerced
   WHERE LATITUDE BETWEEN -90 AND 90 AND LONGITUDE BETWEEN -180 AND 180
     AND LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL AND LATITUDE <> 0 AND LONGITUDE <> 0
-    AND coalesce({", ".join(_ENV)}) IS NOT NULL
-    AND NOT coalesce(({" + ".join(f"coalesce({c}, 0)" for c in _INJ)}) = 0
+    AND coalesce({", ".join(ENV_COLUMNS)}) IS NOT NULL
+    AND NOT coalesce(({" + ".join(f"coalesce({c}, 0)" for c in INJURY_COLUMNS_ALL)}) = 0
                      AND CRASH_TYPE = 'NO INJURY / DRIVE AWAY', false)
 ), points AS (
   SELECT clean.*, LONGITUDE AS lon, LATITUDE AS lat FROM clean
