@@ -40,11 +40,12 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application, as ``--py-files`` would."""
+    """Send this package to the executors once per application, as ``--py-files`` would, and keep Arrow batches of texts small."""
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = Path(__file__).resolve().parents[1]
@@ -56,6 +57,8 @@ def ship(spark: SparkSession) -> SparkSession:
         Path(path).write_bytes(held.getvalue())
         sc.addPyFile(path)
         _SHIPPED.add(sc.applicationId)
+    if spark.conf.get(_BATCH_ROWS) == "10000":  # Spark's default, which is for short rows; a setting of the user's stays
+        spark.conf.set(_BATCH_ROWS, "1000")
     return spark
 
 

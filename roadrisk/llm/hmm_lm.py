@@ -46,15 +46,22 @@ def held_out(col: str) -> Column:
 
 
 def shape(word: bytes, shapes: int) -> int:
-    """The class of a word without a class of its own: by its last bytes, punctuation and digits."""
+    """The class of a word without a class of its own: by its last bytes and the mark after them."""
     bare = word.rstrip(b".,;:!?")
-    return zlib.crc32(bare[-3:] + b"\0" + word[len(bare) :][:1] + bytes([any(48 <= b <= 57 for b in bare)])) % shapes
+    return zlib.crc32(bare[-3:] + b"\0" + word[len(bare) :][:1]) % shapes
+
+
+class _Numbers(dict):
+    """Numbers of the known words, -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
 
 # ---------------------------------------------------------------- counts
 
 
-def count_tokens(texts: DataFrame, limit: int = 300_000) -> DataFrame:
+def count_tokens(texts: DataFrame, limit: int = 200_000) -> DataFrame:
     """(word, c) over ``texts`` (one binary column). Tasks count first and give what they have at ``limit`` words."""
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
@@ -78,13 +85,15 @@ class Vocabulary:
 
     def __init__(self, total: int, distinct: int, top: list[tuple[bytes, int]], shape_n: np.ndarray, shape_v: np.ndarray, own: int):
         self.total, self.distinct, self.own, self.shapes = total, distinct, own, len(shape_n)
-        self.number = {w: i for i, (w, _) in enumerate(top)}
+        self.number = _Numbers((w, i) for i, (w, _) in enumerate(top))
         counts = np.array([c for _, c in top], float)
         self.base_den = math.log10(total + distinct + 1)
         self.shape_den = np.log10(shape_n + shape_v + 1.0)
-        self.classes = np.array([i if i < own else own + shape(w, self.shapes) for i, (w, _) in enumerate(top)], np.int64)
-        self.logs = np.log10(counts + 1)
-        self.emit = np.where(np.arange(len(top)) < own, 0.0, self.logs - self.shape_den[np.maximum(self.classes - own, 0)])
+        # the last entries are those of a word that is not known
+        self.classes = np.array([i if i < own else own + shape(w, self.shapes) for i, (w, _) in enumerate(top)] + [0], np.int64)
+        self.logs = np.concatenate((np.log10(counts + 1), [0.0]))
+        self.emit = np.where(np.arange(len(top) + 1) < own, 0.0, self.logs - self.shape_den[np.maximum(self.classes - own, 0)])
+        self.emit[-1] = 0.0
         # training tokens of each class
         self.class_n = np.concatenate((counts[:own], np.zeros(own - len(counts[:own])), shape_n))
 
@@ -127,34 +136,34 @@ def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def task(batches):
         v = held.value
-        number, own, shapes = v.number, v.own, v.shapes
+        number_of, own, shapes = v.number.__getitem__, v.own, v.shapes
         shape_of: dict[bytes, int] = {}
         for b in small_batches(batches):
-            out = []
-            for row, doc_id, held_doc, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out, words_flat, times_flat, ends = [], [], [], [0]
+            for text in b.column(3).to_pylist():
                 words = lower_words(text)
                 words.append(END)
-                k = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
-                found = k >= 0
-                classes = np.empty(len(k), np.int64)
-                classes[found] = v.classes[k[found]]
-                counted: Counter = Counter()
-                emit = float(v.emit[k[found]].sum())
-                if not found.all():
-                    at = np.flatnonzero(~found).tolist()
-                    other = [words[i] for i in at]
-                    counted.update(other)
+                k = np.fromiter(map(number_of, words), np.int64, len(words))
+                classes, emit = v.classes[k], float(v.emit[k].sum())
+                at = np.flatnonzero(k < 0)
+                if len(at):
+                    other = [words[i] for i in at.tolist()]
+                    counted = Counter(other)
                     for w in counted:
                         if w not in shape_of:
                             shape_of[w] = shape(w, shapes)
                     s = np.fromiter(map(shape_of.__getitem__, other), np.int64, len(other))
                     classes[at] = own + s
                     emit -= float(v.shape_den[s].sum())
-                    if len(shape_of) > 200_000:
+                    if len(shape_of) > 100_000:
                         shape_of.clear()
-                out.append((row, doc_id, held_doc, len(words), int(found.sum()), len(words) - int(found.sum()), float(v.logs[k[found]].sum()), emit, classes.astype("<u2").tobytes(), [{"word": w, "n": n} for w, n in counted.items()]))
+                    words_flat.extend(counted)
+                    times_flat.extend(counted.values())
+                ends.append(len(words_flat))
+                out.append((len(words), len(words) - len(at), len(at), float(v.logs[k].sum()), emit, classes.astype("<u2").tobytes()))
             if out:
-                yield batch(CODED_SCHEMA, zip(*out, strict=True))
+                rare = pa.StructArray.from_arrays([pa.array(words_flat, pa.binary()), pa.array(times_flat, pa.int32())], fields=list(_RARE.value_type))
+                yield batch(CODED_SCHEMA, [*b.columns[:3], *zip(*out, strict=True), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare, _RARE)])
 
     return rows.mapInArrow(task, CODED)
 
@@ -316,11 +325,11 @@ def pools(batches, at: int, together: int, long: int) -> Iterator[tuple[list[int
             sizes[k] += len(c)
             row += 1
             if sizes[k] >= together * (1 + k):
-                yield which[0][:], which[1][:], 256 if not k else 96
+                yield which[0][:], which[1][:], 128 if not k else 64
                 which[0].clear()
                 which[1].clear()
                 sizes[k] = 0
-    for which, n in ((short, 256), (far, 96)):
+    for which, n in ((short, 128), (far, 64)):
         if which[0]:
             yield which[0][:], which[1][:], n
 
