@@ -8,14 +8,17 @@ longer ones, each with log(1 + count). Grades 0 .. J share one weight vector w:
 and the expected severity is the sum of these probabilities.
 
 Labels say toxic or not. The grade of a toxic text comes from the strength of its evidence: the number
-of its occurrences of words that mark toxic texts, 1 below ``cuts[0]``, 2 below ``cuts[1]``, and so on.
+of its occurrences of features that mark toxic texts, 1 below ``cuts[0]``, 2 below ``cuts[1]``, and so on.
 
 Fitting, in three steps:
 1. Spark counts, for every feature, the clean and toxic labelled texts that have it.
-2. Features are kept by the likelihood ratio of these counts, at least ``evidence`` and at most
-   ``max_features`` (a histogram of the ratios gives the bound, whatever the number of words).
-3. Weights and thresholds are fitted on the kept features of the labelled texts, at most ``max_rows``
-   of them (a documented bound; texts are taken by the hash of their ids if there are more).
+2. Features that most often stand in toxic texts are kept by the likelihood ratio of these counts, at
+   least ``evidence`` and at most ``max_features`` (a histogram of the ratios gives the bound, whatever
+   the number of words). Texts without one look alike and are fitted as one row.
+3. Weights and thresholds are fitted on the kept features of the labelled texts.
+
+At most about ``max_rows`` labelled texts take part in fitting (a documented bound; if there are more,
+they are taken by the hash of their ids). Every text is scored.
 
 Defined results: a null or empty text has no features; without toxic or without clean labels nothing
 is toxic; a text with several labels counts as toxic if one says so; null labels are left out;
@@ -24,7 +27,9 @@ repeated rows each get a row; extra columns are left out; empty tables work.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,30 +56,58 @@ def code(feature: str) -> int:
 
 
 class Coder:
-    """Words to feature numbers, with a bounded table."""
+    """Words to feature numbers, with a table of at most about ``limit`` words."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 300_000):
         self.known: dict[str, tuple[int, ...]] = {}
         self.limit = limit
 
-    def counts(self, text: str | None) -> Counter:
-        """Feature numbers of a text with their counts."""
+    def present(self, text: str | None) -> set[int]:
+        """Feature numbers of a text."""
+        words = set((text or "").lower().split())
         if len(self.known) > self.limit:
             self.known.clear()
-        out: Counter = Counter()
-        for w, n in Counter((text or "").lower().split()).items():
-            f = self.known.get(w)
-            if f is None:
-                f = self.known[w] = tuple(map(code, word_features(w)))
-            for x in f:
-                out[x] += n
+        for w in words.difference(self.known):
+            self.known[w] = tuple(map(code, word_features(w)))
+        return set(chain.from_iterable(map(self.known.__getitem__, words)))
+
+
+class Finder:
+    """Counts of the kept features; words without one are remembered apart."""
+
+    def __init__(self, features: np.ndarray, limit: int = 300_000):
+        self.place = {int(f): i for i, f in enumerate(features)}
+        self.seen: set[str] = set()
+        self.marked: dict[str, tuple[int, ...]] = {}
+        self.limit = limit
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        """Counts by the features' places."""
+        words = Counter((text or "").lower().split())
+        if len(self.seen) > self.limit:
+            self.seen.clear()
+            self.marked.clear()
+        for w in words.keys() - self.seen:
+            if places := tuple(self.place[f] for f in map(code, word_features(w)) if f in self.place):
+                self.marked[w] = places
+            self.seen.add(w)
+        out: dict[int, int] = {}
+        for w in words.keys() & self.marked.keys():
+            for k in self.marked[w]:
+                out[k] = out.get(k, 0) + words[w]
         return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, toxic of the labelled documents."""
+def label_sample(labels: DataFrame, max_rows: int) -> DataFrame:
+    """(doc_id, toxic) of the labelled documents; of more than ``max_rows``, about that many by the hash of their ids.
+
+    The bound is what lets the sample be broadcast, so that no text is shuffled for a label.
+    """
     told = labels.where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(told, "doc_id")
+    total = told.count()
+    if total > max_rows:
+        told = told.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / total))
+    return told
 
 
 def feature_counts(rows: DataFrame, limit: int = 400_000) -> DataFrame:
@@ -94,7 +127,7 @@ def feature_counts(rows: DataFrame, limit: int = 400_000) -> DataFrame:
 
         for b in small_batches(batches):
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                seen[toxic].update(coder.counts(text).keys())
+                seen[toxic].update(coder.present(text))
             if len(seen[0]) + len(seen[1]) > limit:
                 yield out()
         if seen[0] or seen[1]:
@@ -103,15 +136,16 @@ def feature_counts(rows: DataFrame, limit: int = 400_000) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(task, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def pick_features(counts: DataFrame, n_clean: int, n_toxic: int, evidence: float, max_features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the kept features, and whether each marks toxic texts."""
+def pick_features(counts: DataFrame, n_clean: int, n_toxic: int, evidence: float, max_features: int) -> np.ndarray:
+    """Numbers of the features that mark toxic texts: over half of their texts are toxic, and the ratio says so."""
     share = n_toxic / (n_clean + n_toxic)
     n = F.col("clean") + F.col("toxic")
 
     def part(count, expected):
         return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
 
-    rated = counts.withColumn("ratio", 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share)))).where(F.col("ratio") >= evidence)
+    rated = counts.withColumn("ratio", 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share))))
+    rated = rated.where((F.col("toxic") > F.col("clean")) & (F.col("ratio") >= evidence))
     bins = sorted(((r["bin"], r["count"]) for r in rated.groupBy(F.floor(F.log("ratio") * 20).alias("bin")).count().collect()), reverse=True)
     least, total = evidence, 0
     for b, c in bins:  # at most some hundred bins: from the strongest down as long as there is room
@@ -119,23 +153,27 @@ def pick_features(counts: DataFrame, n_clean: int, n_toxic: int, evidence: float
         if total > max_features:
             least = float(np.exp((b + 1) / 20))
             break
-    kept = rated.where(F.col("ratio") >= least).select("feature", (F.col("toxic") / (F.col("clean") + F.col("toxic")) > 0.5).alias("marks")).collect()
-    kept.sort(key=lambda r: r["feature"])
-    return np.array([r["feature"] for r in kept], np.int64), np.array([r["marks"] for r in kept], bool)
+    return np.array(sorted(r["feature"] for r in rated.where(F.col("ratio") >= least).select("feature").collect()), np.int64)
 
 
 def kept_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
-    """toxic, features (positions among the kept ones) and counts of each text."""
-    held = rows.sparkSession.sparkContext.broadcast({int(f): i for i, f in enumerate(features)})
-    schema = pa.schema([("toxic", pa.bool_()), ("features", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
+    """(toxic, pairs, n): n texts have the kept features and counts that ``pairs`` holds as 32-bit numbers.
+
+    Equal texts, and the many without a kept feature, are one row.
+    """
+    held = rows.sparkSession.sparkContext.broadcast(features)
+    schema = pa.schema([("toxic", pa.bool_()), ("pairs", pa.binary()), ("n", pa.int64())])
 
     def task(batches):
-        coder, place = Coder(), held.value
+        finder = Finder(held.value)
+        seen: Counter = Counter()
         for b in small_batches(batches):
-            found = [[(place[f], c) for f, c in coder.counts(t).items() if f in place] for t in b.column(0).to_pylist()]
-            yield batch(schema, [b.column(1), [[f for f, _ in x] for x in found], [[c for _, c in x] for x in found]])
+            for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                seen[toxic, np.array(sorted(finder.counts(text).items()), "<i4").tobytes()] += 1
+        if seen:
+            yield batch(schema, [[k[0] for k in seen], [k[1] for k in seen], list(seen.values())])
 
-    return rows.select("text", "toxic").mapInArrow(task, "toxic boolean, features array<int>, counts array<int>")
+    return rows.select("text", "toxic").mapInArrow(task, "toxic boolean, pairs binary, n long").groupBy("toxic", "pairs").agg(F.sum("n").alias("n"))
 
 
 class Ordinal:
@@ -149,14 +187,14 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
-def fit_ordinal(starts: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, penalty: float = 0.05, steps: int = 500, rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(starts: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int, penalty: float = 0.01, steps: int = 2000, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of least penalised negative log-likelihood, by Adagrad over all rows.
 
-    Thresholds are a first one and logarithms of the gaps, so they stay in order.
+    Row i has the features ``starts[i]`` to ``starts[i + 1]`` and stands for ``weight[i]`` texts. Thresholds are a first one and logarithms of the gaps, so they stay in order.
     """
     rows = np.repeat(np.arange(len(grades)), np.diff(starts))
     w = np.zeros(n_features)
-    share = np.array([max((grades >= j).mean(), 1e-6) for j in range(1, n_grades + 1)])
+    share = np.array([max(weight[grades >= j].sum() / weight.sum(), 1e-6) for j in range(1, n_grades + 1)])
     theta = np.log((1 - share) / share)
     free = np.concatenate((theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))))
     past_w, past_free = np.full(n_features, 1e-8), np.full(n_grades, 1e-8)
@@ -167,7 +205,7 @@ def fit_ordinal(starts: np.ndarray, features: np.ndarray, values: np.ndarray, gr
         edges = np.concatenate(([-np.inf], theta, [np.inf]))
         upper, lower = _sigmoid(edges[grades + 1] - score), _sigmoid(edges[grades] - score)
         p = np.maximum(upper - lower, 1e-12)
-        du, dl = upper * (1 - upper) / p, lower * (1 - lower) / p
+        du, dl = weight * upper * (1 - upper) / p, weight * lower * (1 - lower) / p
         d_score = du - dl  # of the negative log-likelihood
         d_theta = np.array([dl[grades == j + 1].sum() - du[grades == j].sum() for j in range(n_grades)])
         tail = np.cumsum(d_theta[::-1])[::-1]
@@ -184,30 +222,27 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[int, ...] = (4, 10), evidence: float = 15.0, max_features: int = 50_000, max_rows: int = 200_000) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[int, ...] = (4, 10), evidence: float = 15.0, max_features: int = 8192, max_rows: int = 200_000) -> Ordinal:
     """The model of the labelled documents."""
-    rows = stored(labelled(docs, labels, id_col, text_col), "labelled")
+    told = stored(label_sample(labels, max_rows), "labels")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(told), "doc_id")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_grades = len(cuts) + 1
     nothing = Ordinal(np.empty(0, np.int64), np.empty(0), np.full(n_grades, 50.0))
     if not n.get(True) or not n.get(False):
         return nothing
-    features, marks = pick_features(stored(feature_counts(rows), "features"), n[False], n[True], evidence, max_features)
-    total = n[True] + n[False]
-    if total > max_rows:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / total))
-    found = kept_counts(rows, features).collect()
-    if not found:
+    features = pick_features(stored(feature_counts(rows), "features"), n[False], n[True], evidence, max_features)
+    found = kept_counts(rows, features).toArrow()
+    if not found.num_rows:
         return nothing
-    lengths = [len(r["features"]) for r in found]
+    pairs = [np.frombuffer(x, "<i4").reshape(-1, 2) for x in found["pairs"].to_pylist()]
+    lengths = np.array([len(x) for x in pairs])
     starts = np.concatenate(([0], np.cumsum(lengths)))
-    flat = np.array([f for r in found for f in r["features"]], np.int64)
-    counts = np.array([c for r in found for c in r["counts"]], float)
-    toxic = np.array([r["toxic"] for r in found])
-    words = marks[flat] if len(flat) else np.empty(0, bool)
-    hits = np.bincount(np.repeat(np.arange(len(found)), lengths), counts * words, len(found))
+    flat, counts = np.concatenate(pairs).T.astype(np.int64)
+    toxic, weight = found["toxic"].to_numpy(), found["n"].to_numpy().astype(float)
+    hits = np.bincount(np.repeat(np.arange(len(pairs)), lengths), counts, len(pairs))
     grades = np.where(toxic, 1 + np.searchsorted(np.array(cuts), hits, side="right"), 0)
-    weights, thresholds = fit_ordinal(starts, flat, np.log1p(counts), grades, len(features), n_grades)
+    weights, thresholds = fit_ordinal(starts, flat, np.log1p(counts), grades, weight, len(features), n_grades)
     return Ordinal(features, weights, thresholds)
 
 
@@ -219,11 +254,11 @@ def score(docs: DataFrame, model: Ordinal, *, id_col: str = "doc_id", text_col:
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches):
-        m, coder = held.value, Coder()
-        weight = dict(zip(m.features.tolist(), m.weights.tolist(), strict=True))
+        m = held.value
+        finder, weights = Finder(m.features), m.weights.tolist()
         for b in small_batches(batches):
-            found = [[(weight[f], c) for f, c in coder.counts(t).items() if f in weight] for t in b.column(1).to_pylist()]
-            sums = np.array([sum(w * np.log1p(c) for w, c in x) for x in found], float)
+            found = [finder.counts(t) for t in b.column(1).to_pylist()]
+            sums = np.array([sum(weights[k] * math.log1p(c) for k, c in x.items()) for x in found], float)
             p = m.at_least(sums)
             grade = (p >= 0.5).sum(1)
             yield batch(SCHEMA, [b.column(0), [len(x) for x in found], p[:, 0], p.sum(1), grade, grade > 0])
