@@ -183,11 +183,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """``docs`` without the rejected rows, all columns as they were.
 
-    Labelled documents are measured first to fit the cutoffs, then one pass measures and filters.
+    One pass measures all documents for the cutoffs and writes a narrow table, which is joined to the labels;
+    a second pass measures again and filters, so that no text is shuffled or written for it.
     """
-    labelled = docs.select(F.col(id_col).alias("doc_id"), stratum(stratum_col).alias("stratum"), F.col(text_col).alias("text")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    found = labelled.select("doc_id", "stratum", measures(F.col("text")).alias("m")).select("doc_id", "stratum", "m.*")
-    cuts = fit_cutoffs(found.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))), labels, alpha=alpha, delta=delta)
+    found = docs.select(F.col(id_col).alias("doc_id"), stratum(stratum_col).alias("stratum"), measures(F.col(text_col)).alias("m"))
+    found = found.select("doc_id", "stratum", "m.bins", base_failed(F.col("m.n_words"), F.col("m.n_repeat_words")).alias("base_failed"))
+    cuts = fit_cutoffs(stored(found, "quality"), labels, alpha=alpha, delta=delta)
     m = "_quality"
     while m in docs.columns:
         m = "_" + m
