@@ -33,6 +33,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,7 @@ def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         best[_runs(width <= s, COUNTS[s])[:n]] = s
     best[raw] = 0
     fits = np.concatenate((ids, np.zeros(60, np.uint64)))
-    step = np.asarray(COUNTS)[best].tolist()
+    step = np.asarray(COUNTS, np.uint8)[best].tobytes()
     starts, i = [], 0
     while i < n:
         starts.append(i)
@@ -207,59 +208,118 @@ class ShardReader:
             start += n
 
 
-def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 700_000) -> Callable[[list[bytes]], list[np.ndarray]]:
-    """A function from texts to id arrays. ``limit`` bounds the table of pieces; a full table starts anew.
+class _Numbers(dict):
+    """Numbers pieces in order of first sight and remembers the new ones.
+
+    The first ones, which are mostly the frequent ones, are in this small table itself, which stays in
+    the processor's cache; ``every`` has all.
+    """
+
+    def __init__(self, first: int = 16_384) -> None:
+        self.first = first
+        self.every: dict[bytes, int] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        n = self.every.get(piece)
+        if n is None:
+            n = self.every[piece] = len(self.every)
+            self.new.append(piece)
+            if n < self.first:
+                self[piece] = n
+        return n
+
+
+class _Table:
+    """Ids of numbered pieces, one after the other in ``flat``."""
+
+    def __init__(self) -> None:
+        self.number = _Numbers()
+        self.flat = np.empty(0, np.uint32)
+        self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        """The ids of ``pieces``, which have numbers already; piece k's end at ``ends[k]``."""
+        k = np.fromiter(map(self.number.every.__getitem__, pieces), np.int64, len(pieces))
+        if len(self.number.every) > len(self.begin):
+            more = np.zeros(len(self.number.every) - len(self.begin), np.int64)
+            self.begin, self.length = np.concatenate((self.begin, more)), np.concatenate((self.length, more))
+        self.length[k] = np.diff(ends, prepend=0)
+        self.begin[k] = len(self.flat) + ends - self.length[k]
+        self.flat = np.concatenate((self.flat, ids.astype(np.uint32)))
+
+    def ids(self, k: np.ndarray) -> np.ndarray:
+        n = self.length[k]
+        ends = np.cumsum(n)
+        kind = np.int32 if len(self.flat) < 1 << 30 and (not len(ends) or ends[-1] < 1 << 30) else np.int64
+        place = np.repeat((self.begin[k] - (ends - n)).astype(kind), n)
+        place += np.arange(len(place), dtype=kind)
+        return self.flat[place]
+
+
+def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 400_000) -> Callable[[list[bytes]], list[np.ndarray]]:
+    """A function from texts to id arrays, with a table of pieces whose last two generations of ``limit`` are kept.
 
     With ``spaced``, the tokenizer must lower-case, drop white space, keep letters apart from other
     characters and end each word's last token with ``</w>``, as the vocabulary file says it does.
     Then cutting at blanks, line ends and between an ASCII letter and ``.`` or ``,`` and lower-casing
-    A-Z changes no id (texts with ``<|`` are left as they are, for the tokens written so), and new
-    pieces of letters alone are encoded as one line, which is cut after each word end.
+    A-Z changes no id (texts with ``<|`` are left as they are, for the tokens written so). Of the new
+    pieces, words of a-z go to the tokenizer's model as they are, and other words of letters alone are
+    encoded as one line, which is cut after each word end.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_file(tokenizer_path)
     plain = lambda texts: [e.ids for e in tok.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)]
     if not spaced:
         return lambda texts: [np.asarray(ids, np.uint32) for ids in plain(texts)]
+    word_ids = tok.model.tokenize  # what is left to do for a word of lower-case ASCII letters
     vocabulary = tok.get_vocab()
     word_end = np.zeros(max(vocabulary.values()) + 1, bool)
     word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    number: dict[bytes, int] = {}
-    flat, starts = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
-
-    def learn(new: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-        flat[0] = np.concatenate((flat[0], ids.astype(np.uint32)))
-        starts[0] = np.concatenate((starts[0], starts[0][-1] + ends))
-
-    def encode(texts: list[bytes]) -> list[np.ndarray]:
-        if len(number) > limit:
-            number.clear()
-            flat[0], starts[0] = np.empty(0, np.uint32), np.zeros(1, np.int64)
-        pieces = [(t if b"<|" in t else _CUT.sub(b" ", t.lower())).replace(b"\n", b" ").split(b" ") for t in texts]
-        new = set().union(*pieces).difference(number)
+    tables = [_Table(), _Table()]  # this generation and the last
+
+    def learn(new: list[bytes]) -> None:
+        now, past = tables
+        old = [p for p in new if p in past.number.every]
+        if old:
+            k = np.fromiter(map(past.number.every.__getitem__, old), np.int64, len(old))
+            now.add(old, past.ids(k), np.cumsum(past.length[k]))
+            new = [p for p in new if p not in past.number.every]
+        bare = [p for p in new if p.isalpha() and p.islower()]
+        if bare:
+            found = [[t.id for t in word_ids(p.decode())] for p in bare]
+            now.add(bare, np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+            new = list(set(new).difference(bare))
         words = [p for p in new if (p.isalpha() if p.isascii() else p.decode("utf-8").isalpha())]
         if words:
             ids = np.asarray(plain([b" ".join(words)])[0])
             ends = np.flatnonzero(word_end[ids]) + 1
             if len(ends) == len(words):
-                learn(words, ids, ends)
-                new.difference_update(words)
+                now.add(words, ids, ends)
+                new = list(set(new).difference(words))
         if new:
-            found = plain(new := list(new))
-            learn(new, np.fromiter((i for f in found for i in f), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
-        out = []
-        for ps in pieces:
-            k = np.fromiter(map(number.__getitem__, ps), np.int64, len(ps))
-            n = starts[0][k + 1] - starts[0][k]
-            ends = np.cumsum(n)
-            out.append(flat[0][np.arange(ends[-1]) + np.repeat(starts[0][k] - (ends - n), n)])
-        return out
+            found = plain(new)
+            now.add(new, np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+
+    def encode(texts: list[bytes]) -> list[np.ndarray]:
+        if len(tables[0].number.every) > limit:
+            tables[:] = _Table(), tables[0]
+        numbers = tables[0].number
+        coded = []
+        for t in texts:
+            pieces = (t.replace(b"\n", b" ") if b"<|" in t else _CUT.sub(b" ", t.translate(_LOWER))).split(b" ")
+            coded.append(np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces)))
+        if numbers.new:
+            learn(numbers.new)
+            numbers.new = []
+        return [tables[0].ids(k) for k in coded]
 
     return encode
 
 
 _CUT = re.compile(rb"(?<=[a-z])(?=[.,])")
+#: A-Z to a-z and a line end to a blank.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 10 else b for b in range(256))
 
 _HELD: dict[tuple[str, bool], Callable] = {}
 
