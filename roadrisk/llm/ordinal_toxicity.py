@@ -8,17 +8,18 @@ longer ones, each with log(1 + count). Grades 0 .. J share one weight vector w:
 and the expected severity is the sum of these probabilities.
 
 Labels say toxic or not. The grade of a toxic text comes from the strength of its evidence: the number
-of its occurrences of features that mark toxic texts, 1 below ``cuts[0]``, 2 below ``cuts[1]``, and so on.
+of its occurrences of features that mark toxic texts (toxic texts have them ``MARKING`` times as
+often as clean ones or more), 1 below ``cuts[0]``, 2 below ``cuts[1]``, and so on.
 
 Fitting, in three steps:
-1. Spark counts, for every feature, the clean and toxic labelled texts that have it.
-2. Features that most often stand in toxic texts are kept by the likelihood ratio of these counts, at
-   least ``evidence`` and at most ``max_features`` (a histogram of the ratios gives the bound, whatever
-   the number of words). Texts without one look alike and are fitted as one row.
-3. Weights and thresholds are fitted on the kept features of the labelled texts.
+1. Spark counts, for every feature, the clean and toxic ones of all labelled texts that have it.
+2. Features are kept by the likelihood ratio of these counts, whichever side they speak for, at least
+   ``evidence`` and at most ``max_features``, ties by the feature's number (histograms give the bound,
+   whatever the number of words). Texts without one look alike and are fitted as one row.
+3. Weights and thresholds are fitted on the kept features of the labelled texts, at most about
+   ``max_rows`` of them (a documented bound; if there are more, they are taken by the hash of their ids).
 
-At most about ``max_rows`` labelled texts take part in fitting (a documented bound; if there are more,
-they are taken by the hash of their ids). Every text is scored.
+Every text is scored.
 
 Defined results: a null or empty text has no features; without toxic or without clean labels nothing
 is toxic; a text with several labels counts as toxic if one says so; null labels are left out;
@@ -33,6 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from .common import batch, small_batches, stored
 
 PREFIX = 5
+MARKING = 9  # a ratio of shares, so that the sizes of the two classes don't matter
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—"
 
 
@@ -98,16 +101,14 @@ class Finder:
         return out
 
 
-def label_sample(labels: DataFrame, max_rows: int) -> DataFrame:
-    """(doc_id, toxic) of the labelled documents; of more than ``max_rows``, about that many by the hash of their ids.
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, toxic of all labelled documents.
 
-    The bound is what lets the sample be broadcast, so that no text is shuffled for a label.
+    The labels are written without what the fit doesn't need: while they are few they are broadcast and no
+    text is shuffled for them; a table too large for that is joined by a shuffle.
     """
-    told = labels.where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
-    total = told.count()
-    if total > max_rows:
-        told = told.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / total))
-    return told
+    told = stored(labels.where("toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic")), "labels")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(told, "doc_id")
 
 
 def feature_counts(rows: DataFrame, limit: int = 400_000) -> DataFrame:
@@ -136,24 +137,36 @@ def feature_counts(rows: DataFrame, limit: int = 400_000) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(task, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
-def pick_features(counts: DataFrame, n_clean: int, n_toxic: int, evidence: float, max_features: int) -> np.ndarray:
-    """Numbers of the features that mark toxic texts: over half of their texts are toxic, and the ratio says so."""
+def pick_features(counts: DataFrame, n_clean: int, n_toxic: int, evidence: float, max_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the kept features, and whether each marks toxic texts."""
     share = n_toxic / (n_clean + n_toxic)
     n = F.col("clean") + F.col("toxic")
 
     def part(count, expected):
         return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
 
-    rated = counts.withColumn("ratio", 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share))))
-    rated = rated.where((F.col("toxic") > F.col("clean")) & (F.col("ratio") >= evidence))
-    bins = sorted(((r["bin"], r["count"]) for r in rated.groupBy(F.floor(F.log("ratio") * 20).alias("bin")).count().collect()), reverse=True)
-    least, total = evidence, 0
-    for b, c in bins:  # at most some hundred bins: from the strongest down as long as there is room
-        total += c
-        if total > max_features:
-            least = float(np.exp((b + 1) / 20))
+    rated = counts.withColumn("ratio", 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share)))).where(F.col("ratio") >= evidence)
+    rest = rated.select("feature", (F.col("toxic") * F.lit(n_clean) >= F.col("clean") * F.lit(MARKING * n_toxic)).alias("marks"), F.log("ratio").alias("_log"))
+    kept, room = [], max_features
+    # from the strongest down as long as there is room; of the bin that overflows, by finer bins, then by the number
+    for rank in (-F.floor(F.col("_log") * 20), -F.floor(F.col("_log") * 20_000), F.shiftright("feature", 52)):
+        bins = sorted((r["rank"], r["count"]) for r in rest.groupBy(rank.alias("rank")).count().collect())
+        last = None
+        for b, c in bins:
+            if c > room:
+                last = b
+                break
+            room -= c
+        if last is None:
+            kept.append(rest)
+            rest = None
             break
-    return np.array(sorted(r["feature"] for r in rated.where(F.col("ratio") >= least).select("feature").collect()), np.int64)
+        kept.append(rest.where(rank < last))
+        rest = rest.where(rank == last)
+    if rest is not None and room:
+        kept.append(rest.orderBy("feature").limit(room))
+    found = sorted((r["feature"], r["marks"]) for k in kept for r in k.select("feature", "marks").collect())
+    return np.array([f for f, _ in found], np.int64), np.array([m for _, m in found], bool)
 
 
 def kept_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
@@ -176,6 +189,18 @@ def kept_counts(rows: DataFrame, features: np.ndarray) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(task, "toxic boolean, pairs binary, n long").groupBy("toxic", "pairs").agg(F.sum("n").alias("n"))
 
 
+def pair_view(pairs: pa.Array) -> np.ndarray:
+    """The (place, count) rows of all ``pairs`` of an Arrow chunk, without a Python object for each."""
+    if not len(pairs):
+        return np.empty((0, 2), "<i4")
+    wide = "<i8" if pa.types.is_large_binary(pairs.type) else "<i4"
+    _, ends, data = pairs.buffers()
+    at = np.frombuffer(ends, wide, len(pairs) + 1, pairs.offset * np.dtype(wide).itemsize)
+    if data is None or at[0] == at[-1]:
+        return np.empty((0, 2), "<i4")
+    return np.frombuffer(data, "<i4", int(at[-1] - at[0]) // 4, int(at[0])).reshape(-1, 2)
+
+
 class Ordinal:
     """Weights of the kept features and the ordered thresholds."""
 
@@ -187,60 +212,114 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -50, 50)))
 
 
-def fit_ordinal(starts: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int, penalty: float = 0.01, steps: int = 2000, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of least penalised negative log-likelihood, by Adagrad over all rows.
+def fit_ordinal(starts: np.ndarray, features: np.ndarray, values: np.ndarray, grades: np.ndarray, weight: np.ndarray, n_features: int, n_grades: int, penalty: float = 0.01, steps: int = 2000, kept: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of least penalised negative log-likelihood, by L-BFGS over all rows until no part of the gradient is above a millionth a text.
 
     Row i has the features ``starts[i]`` to ``starts[i + 1]`` and stands for ``weight[i]`` texts. Thresholds are a first one and logarithms of the gaps, so they stay in order.
     """
-    rows = np.repeat(np.arange(len(grades)), np.diff(starts))
-    w = np.zeros(n_features)
-    share = np.array([max(weight[grades >= j].sum() / weight.sum(), 1e-6) for j in range(1, n_grades + 1)])
+    total = weight.sum()
+    share = np.array([max(weight[grades >= j].sum() / total, 1e-6) for j in range(1, n_grades + 1)])
     theta = np.log((1 - share) / share)
-    free = np.concatenate((theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))))
-    past_w, past_free = np.full(n_features, 1e-8), np.full(n_grades, 1e-8)
-    for _ in range(steps):
+    x = np.concatenate((np.zeros(n_features), theta[:1], np.log(np.maximum(np.diff(theta), 1e-3))))
+    parts = list(_row_parts(starts))
+
+    def loss(x):
+        w, free = x[:n_features], x[n_features:]
         theta = np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
-        score = np.bincount(rows, values * w[features], len(grades))
-        # F(t) = P(grade < j); a grade's probability is the difference of two of them
         edges = np.concatenate(([-np.inf], theta, [np.inf]))
-        upper, lower = _sigmoid(edges[grades + 1] - score), _sigmoid(edges[grades] - score)
-        p = np.maximum(upper - lower, 1e-12)
-        du, dl = weight * upper * (1 - upper) / p, weight * lower * (1 - lower) / p
-        d_score = du - dl  # of the negative log-likelihood
-        d_theta = np.array([dl[grades == j + 1].sum() - du[grades == j].sum() for j in range(n_grades)])
+        value, d_w, d_theta = penalty / 2 * (w @ w), penalty * w, np.zeros(n_grades)
+        for low, high in parts:  # a part's arrays stay small, whatever the number of rows
+            at, to = starts[low], starts[high]
+            g, f, v, k = grades[low:high], features[at:to], values[at:to], weight[low:high]
+            score = _row_sums(starts[low : high + 1] - at, v * w[f])
+            # F(t) = P(grade < j); a grade's probability is the difference of two of them
+            upper, lower = _sigmoid(edges[g + 1] - score), _sigmoid(edges[g] - score)
+            p = np.maximum(upper - lower, 1e-12)
+            du, dl = k * upper * (1 - upper) / p, k * lower * (1 - lower) / p
+            value -= (k * np.log(p)).sum()
+            d_theta += np.bincount(g, dl, n_grades + 1)[1:] - np.bincount(g, du, n_grades + 1)[:-1]
+            d_w = d_w + np.bincount(f, v * np.repeat(du - dl, np.diff(starts[low : high + 1])), n_features)
         tail = np.cumsum(d_theta[::-1])[::-1]
-        d_free = np.concatenate((tail[:1], tail[1:] * np.exp(free[1:])))
-        d_w = np.bincount(features, values * d_score[rows], n_features) + penalty * w
-        past_w += d_w**2
-        past_free += d_free**2
-        w -= rate * d_w / np.sqrt(past_w)
-        free -= rate * d_free / np.sqrt(past_free)
-    return w, np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+        return value, np.concatenate((d_w, tail[:1], tail[1:] * np.exp(free[1:])))
+
+    # curvature at the start, by feature: frequent and rare features get steps of their own size
+    scale = np.full(len(x), total * share[0] * (1 - share[0]) + penalty)
+    scale[:n_features] = penalty
+    for low, high in parts:
+        at, to = starts[low], starts[high]
+        k = np.repeat(weight[low:high] * share[0] * (1 - share[0]), np.diff(starts[low : high + 1]))
+        scale[:n_features] += np.bincount(features[at:to], k * values[at:to].astype(float) ** 2, n_features)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    value, slope = loss(x)
+    for _ in range(steps):
+        if np.abs(slope).max() <= 1e-6 * total:
+            break
+        d, used = -slope, []
+        for s, y in reversed(past):
+            used.append((s @ d) / (s @ y))
+            d = d - used[-1] * y
+        d = d / scale * ((past[-1][0] @ past[-1][1]) / (past[-1][1] @ (past[-1][1] / scale)) if past else 1.0)
+        for s, y in past:
+            d = d + (used.pop() - (y @ d) / (s @ y)) * s
+        down, step = slope @ d, 1.0
+        while True:
+            new = x + step * d
+            new_value, new_slope = loss(new)
+            if new_value <= value + 1e-4 * step * down or step < 1e-10:
+                break
+            step /= 2
+        if not new_value < value:  # no lower in floating point
+            break
+        if (new - x) @ (new_slope - slope) > 0:
+            past = [*past, (new - x, new_slope - slope)][-kept:]
+        x, value, slope = new, new_value, new_slope
+    free = x[n_features:]
+    return x[:n_features], np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+
+
+def _row_parts(starts: np.ndarray, size: int = 250_000):
+    """Ranges of rows with about ``size`` features each."""
+    low, n = 0, len(starts) - 1
+    while low < n:
+        high = min(n, low + size, max(low + 1, int(np.searchsorted(starts, starts[low] + size))))
+        yield low, high
+        low = high
+
+
+def _row_sums(starts: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of each row's values, 0 for a row of none."""
+    out, some = np.zeros(len(starts) - 1), np.diff(starts) > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, starts[:-1][some])
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[int, ...] = (4, 10), evidence: float = 15.0, max_features: int = 8192, max_rows: int = 200_000) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cuts: tuple[int, ...] = (4, 10), evidence: float = 15.0, max_features: int = 50_000, max_rows: int = 200_000) -> Ordinal:
     """The model of the labelled documents."""
-    told = stored(label_sample(labels, max_rows), "labels")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(told), "doc_id")
+    rows = labelled(docs, labels, id_col, text_col)
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_grades = len(cuts) + 1
     nothing = Ordinal(np.empty(0, np.int64), np.empty(0), np.full(n_grades, 50.0))
     if not n.get(True) or not n.get(False):
         return nothing
-    features = pick_features(stored(feature_counts(rows), "features"), n[False], n[True], evidence, max_features)
+    features, marks = pick_features(stored(feature_counts(rows), "features"), n[False], n[True], evidence, max_features)
+    if (total := n[True] + n[False]) > max_rows:
+        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * max_rows / total))
     found = kept_counts(rows, features).toArrow()
     if not found.num_rows:
         return nothing
-    pairs = [np.frombuffer(x, "<i4").reshape(-1, 2) for x in found["pairs"].to_pylist()]
-    lengths = np.array([len(x) for x in pairs])
+    chunks = found["pairs"].chunks
+    lengths = np.concatenate([pc.binary_length(c).to_numpy(zero_copy_only=False) for c in chunks]) // 8
+    pairs = np.concatenate([pair_view(c) for c in chunks])
     starts = np.concatenate(([0], np.cumsum(lengths)))
-    flat, counts = np.concatenate(pairs).T.astype(np.int64)
+    flat, counts = pairs[:, 0].copy(), pairs[:, 1].astype(np.float32)
     toxic, weight = found["toxic"].to_numpy(), found["n"].to_numpy().astype(float)
-    hits = np.bincount(np.repeat(np.arange(len(pairs)), lengths), counts, len(pairs))
+    del found, chunks, pairs
+    hits = _row_sums(starts, counts * marks[flat])
     grades = np.where(toxic, 1 + np.searchsorted(np.array(cuts), hits, side="right"), 0)
     weights, thresholds = fit_ordinal(starts, flat, np.log1p(counts), grades, weight, len(features), n_grades)
     return Ordinal(features, weights, thresholds)

@@ -246,6 +246,22 @@ def test_ordinal_fit_finds_order_and_weights():
     assert np.allclose(twice[0], again[0]) and np.allclose(twice[1], again[1])
 
 
+def test_features_of_both_sides_and_few_toxic_labels(session):
+    # 300 toxic of 10,000 texts: a word of 40 toxic and 60 clean texts marks toxic ones, one of 5,000 clean and 20 toxic speaks for clean ones
+    rows = [(1, 60, 40), (2, 5000, 20), (3, 970, 30)] + [(f, 0, 9) for f in range(2000, 1000, -1)]
+    counts = session.createDataFrame(rows, "feature long, clean long, toxic long")
+    features, marks = ordinal_toxicity.pick_features(counts, 9700, 300, 15.0, 50_000)
+    assert features.tolist() == [1, 2, *range(1001, 2001)] and marks.tolist() == [True, False] + [True] * 1000
+    features, _ = ordinal_toxicity.pick_features(counts, 9700, 300, 15.0, 500)  # equal ratios: the smallest numbers
+    assert features.tolist() == [1, 2, *range(1001, 1499)]
+
+
+def test_features_are_counted_on_all_labels(session):
+    _, docs, labels = toxic_case(session)
+    every, sample = (ordinal_toxicity.fit(docs, labels, max_rows=n) for n in (10_000, 100))
+    assert len(every.features) and every.features.tolist() == sample.features.tolist()
+
+
 def test_probabilities_are_ordered():
     m = ordinal_toxicity.Ordinal(np.empty(0), np.empty(0), np.array([0.0, 1.0, 5.0]))
     p = m.at_least(np.linspace(-9, 9, 50))
