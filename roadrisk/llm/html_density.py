@@ -2,7 +2,8 @@
 
 A page becomes a tree of elements. Elements that are never article text by their tag, role or class
 (menus, page headers and footers, side columns, notices, adverts, forms, scripts, comments of
-readers) are cut off. For every node that is left, with C characters, T tags below it, LC characters
+readers) are cut off, but for headings, forms and wrappers that hold most of the page's text, and parts
+of an article that are named by their topic and aren't mostly links. For every node that is left, with C characters, T tags below it, LC characters
 and LT tags of links, the density is
 
     C / T * log( C/LC * T/LT ) / log( ln( C/(C-LC) * LC + LCb/Cb * C + e ) )
@@ -10,7 +11,7 @@ and LT tags of links, the density is
 with the body's LCb and Cb, zero counts as 1 and the last divisor at least 1. A node's density sum
 adds up its children's densities. The node of the largest sum is the core, and the smallest density
 on the path from the body to it is the threshold. The core is widened to its enclosing article (else
-the nearest block container), and blocks beside its path that reach the threshold and aren't mostly
+the nearest block container) and the articles beside it that reach the threshold; without one, blocks beside its path that reach the threshold and aren't mostly
 links are text as well, as is a page title ``h1`` beside it.
 
 Character references are decoded, white space inside a block (``br`` included) is one blank, blocks
@@ -58,6 +59,11 @@ MARKS = frozenset(
 )
 #: Of these, the ones that cut even an ``article`` element off.
 OTHER_VOICES = frozenset("comment comments commentlist disqus respond reply replies discussion ad ads advert advertisement sponsored promo related recommended".split())
+#: Of these, the ones that also name what an article is about: there they cut only what is mostly links.
+TOPICS = frozenset("discussion related recommend recommended recommendations legal copyright notice notices navigation search share sharing social register promotion sponsor".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: The mark of what an attribute hides or gives a role, which no name is.
+HIDDEN = "!hidden"
 CONTAINERS = frozenset("article main section div body td center blockquote form fieldset details root".split())
 #: A start tag ends an open element of the second set, up to one of the third.
 _CLOSES = {
@@ -85,18 +91,18 @@ class Node:
 
 
 def _marks(attributes: str) -> set[str]:
-    """Words of class and id; roles and hiding as words of MARKS."""
+    """Words of class and id; roles and hiding as HIDDEN."""
     found: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             found.update(x.lower() for x in _NAMES.findall(value))
         elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true":
-            found.add("hidden")
+            found.add(HIDDEN)
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            found.add("hidden")
+            found.add(HIDDEN)
     if re.search(r"(?:^|\s)hidden(?:\s|/|$)", attributes):
-        found.add("hidden")
+        found.add(HIDDEN)
     return found
 
 
@@ -179,11 +185,30 @@ def tree(page: str) -> list[Node]:
     return nodes
 
 
+def _plain_chars(nodes: list[Node]) -> tuple[dict[int, int], dict[int, int], int]:
+    """Characters outside and inside of links below each node, and the page's outside of links, without what is cut by tag or hidden."""
+    out, plain, links, linked = set(), {}, {}, set()
+    for n in nodes:
+        up = id(n.parent)
+        if n.cut or HIDDEN in n.marks and not n.holds or up in out:
+            out.add(id(n))
+        if n.tag == "a" or up in linked:
+            linked.add(id(n))
+        own = 0 if id(n) in out else sum(len("".join(p.split())) for p in n.parts if isinstance(p, str))
+        plain[id(n)], links[id(n)] = (0, own) if id(n) in linked else (own, 0)
+    for n in reversed(nodes):
+        if n.parent is not None:
+            plain[id(n.parent)] += plain[id(n)]
+            links[id(n.parent)] += links[id(n)]
+    return plain, links, plain[id(nodes[0])]
+
+
 def _cut_off(nodes: list[Node]) -> None:
     """Marks the elements that are no article text."""
     for n in reversed(nodes):
         if n.parent is not None and (n.holds or n.tag in ("article", "main") and not n.marks & OTHER_VOICES):
             n.parent.holds = True
+    plain, links, total = _plain_chars(nodes)
     inside: dict[int, bool] = {}
     for n in nodes:
         up = n.parent
@@ -194,8 +219,15 @@ def _cut_off(nodes: list[Node]) -> None:
             n.cut = False
         elif n.tag == "article":
             n.cut = bool(n.marks & OTHER_VOICES)
-        elif n.tag == "form" or n.marks & MARKS:
+        elif HIDDEN in n.marks:
             n.cut = n.cut or not n.holds
+        elif n.tag == "form" or n.marks & MARKS and n.tag not in HEADINGS:
+            own, named = plain[id(n)], n.marks & MARKS
+            if named & OTHER_VOICES - TOPICS:
+                kept = own == total > 0  # nothing else is left
+            else:  # a wrapper, or a part of an article that is named by its topic
+                kept = 2 * own >= total > 0 or inside[id(n)] and n.tag != "form" and named <= TOPICS and links[id(n)] < own
+            n.cut = n.cut or not n.holds and not kept
         elif n.tag == "header" or "header" in n.marks and n.tag not in ("h1", "h2", "h3"):
             n.cut = not inside[id(n)] and not n.holds
 
@@ -254,7 +286,14 @@ def _chosen(nodes: list[Node], body: Node) -> set[int]:
             article = n
         n = n.parent
     if article is not None:
-        return {id(article)}
+        found, n = {id(article)}, article
+        while n is not body:
+            for beside in n.parent.parts:
+                if isinstance(beside, Node) and beside.tag == "article" and not beside.cut and beside.chars:
+                    if beside.density >= threshold and 2 * beside.link_chars < beside.chars:
+                        found.add(id(beside))
+            n = n.parent
+        return found
     found, n = {id(core)}, core
     titled = False
     while n is not body:

@@ -297,6 +297,24 @@ def test_main_text(page):
     assert html_density.main_text(page) == EXPECTED
 
 
+NAMED = f"<h2 id='related-work'>Related work</h2><section id=discussion><p>{'We discuss it here at length. ' * 3}</p></section><h2 id='legal-issues'>Legal issues</h2><p class=notice>Mind the gap, says the notice."
+MORE, MORE_TEXT = "<p>One more paragraph of the first article, of about the same length as others." * 6, "\nOne more paragraph of the first article, of about the same length as others." * 6
+NAMED_TEXT = f"Related work\n{('We discuss it here at length. ' * 3).strip()}\nLegal issues\nMind the gap, says the notice."
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        (f"<body><div class='layout with-sidebar'><div>{ARTICLE}</div><div class=sidebar>{'side ' * 9}</div></div></body>", EXPECTED),
+        (f"<body><form action=/x><div>{ARTICLE}</div></form></body>", EXPECTED),
+        (f"<body><article>{ARTICLE}{NAMED}<div class=related><a href=a>Other page</a></div><div id=comments><p>{'a reader says ' * 9}</div></article></body>", f"{EXPECTED}\n{NAMED_TEXT}"),
+        (f"<body><article>{ARTICLE}{MORE}</article><article><p>{'A second article of many words. ' * 9}</article><article class=comment>{'no ' * 99}</article></body>", f"{EXPECTED}{MORE_TEXT}\n{('A second article of many words. ' * 9).strip()}"),
+    ],
+)
+def test_names_do_not_cut_the_article(page, expected):
+    assert html_density.main_text(page) == expected
+
+
 def test_main_text_of_odd_pages():
     m = html_density.main_text
     assert m(None) == m("") == m("<nav><a href=x>y</a></nav>") == m("<p") == m("<!-- open") == ""
