@@ -21,6 +21,11 @@ from .test_texts import bench_case, plain_hits, plain_measures
 # ---------------------------------------------------------------- language model
 
 
+def test_words_with_and_without_digits_have_classes_of_their_own():
+    n = 1 << 30
+    assert hmm_lm.shape(b"b7ation", n) != hmm_lm.shape(b"ration", n) == hmm_lm.shape(b"nation", n)
+
+
 def plain_recursions(m, texts):
     k, c = m.emit.shape[1], len(m.emit)
     first, moves, emitted, logs = np.zeros(k), np.zeros((k, k)), np.zeros((c, k)), []
