@@ -100,19 +100,19 @@ def choropleth_layer(spark, sf_dir):
     return D.choropleth_layer(banded, BAND_COLORS_FILTER)
 
 
-_SPLIT_SQL = ("SELECT crash_id, CRASH_TYPE, row_number() OVER (PARTITION BY CRASH_TYPE ORDER BY "
+SPLIT_SQL = ("SELECT crash_id, CRASH_TYPE, row_number() OVER (PARTITION BY CRASH_TYPE ORDER BY "
               f"{_MD5}, crash_id) AS rn, count(*) OVER (PARTITION BY CRASH_TYPE) AS nc FROM features")
 
 
 @register("stratified_split", fsql(
-    f"SELECT crash_id, CRASH_TYPE, rn <= round(nc * 0.2) AS is_test FROM ({_SPLIT_SQL})"))
+    f"SELECT crash_id, CRASH_TYPE, rn <= round(nc * 0.2) AS is_test FROM ({SPLIT_SQL})"))
 def stratified_split(spark, sf_dir):
     """SA2 + ML20: exact stratified 80/20 split (per class round(0.2 n) test rows, seed 42)."""
     return SA.stratified_split(_features(spark, sf_dir), "CRASH_TYPE", "crash_id").select("crash_id", "CRASH_TYPE", "is_test")
 
 
 @register("stratified_folds", fsql(
-    f"SELECT crash_id, CRASH_TYPE, CAST((rn - 1) % 5 AS INT) AS fold FROM ({_SPLIT_SQL})"))
+    f"SELECT crash_id, CRASH_TYPE, CAST((rn - 1) % 5 AS INT) AS fold FROM ({SPLIT_SQL})"))
 def stratified_folds(spark, sf_dir):
     """SA3: stratified 5-fold assignment in hash order."""
     return SA.stratified_folds(_features(spark, sf_dir), "CRASH_TYPE", "crash_id").select("crash_id", "CRASH_TYPE", "fold")

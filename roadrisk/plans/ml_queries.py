@@ -8,10 +8,10 @@ from ..operators import evaluate as EV
 from ..operators import ml as ML
 from ..operators.explain import attribution_share, global_importance, lime_local, linear_contributions, shapley_mc
 from ..operators.profile import group_ranges
-from ..operators.sampling import stratified_folds, stratified_split
+from ..operators.sampling import stratified_folds
 from ..schemas import FEATURE_COLUMNS, TARGET
 from . import stages as S
-from .feature_queries import _features, fsql
+from .feature_queries import fsql
 from .registry import register, rounded
 
 
@@ -20,7 +20,7 @@ from .registry import register, rounded
 def impute_median(spark, sf_dir):
     """ML3: exact medians used to fill nulls (linear interpolation)."""
     from ..operators.profile import medians
-    return rounded(medians(_features(spark, sf_dir), FEATURE_COLUMNS, "med_"))
+    return rounded(medians(S.features(spark, sf_dir), FEATURE_COLUMNS, "med_"))
 
 
 @register("impute_fill", fsql(
@@ -28,7 +28,7 @@ def impute_median(spark, sf_dir):
     + " FROM features"))
 def impute_fill(spark, sf_dir):
     """ML3: nulls filled with the exact medians, all features."""
-    f = _features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
+    f = S.features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
     return rounded(ML.median_impute(f, FEATURE_COLUMNS))
 
 
@@ -38,7 +38,7 @@ def impute_fill(spark, sf_dir):
         for c in FEATURE_COLUMNS) + " FROM features"))
 def standardize(spark, sf_dir):
     """ML4: (x - mean) / population std (zero std -> 1)."""
-    f = _features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
+    f = S.features(spark, sf_dir).select("crash_id", *FEATURE_COLUMNS)
     return rounded(ML.standardize(f, FEATURE_COLUMNS))
 
 
@@ -47,11 +47,11 @@ def standardize(spark, sf_dir):
     "FROM features GROUP BY CRASH_TYPE"))
 def class_weights(spark, sf_dir):
     """ML6: balanced class weights n / (k * n_class)."""
-    return rounded(ML.class_weights(_features(spark, sf_dir), TARGET))
+    return rounded(ML.class_weights(S.features(spark, sf_dir), TARGET))
 
 
 def _split(spark, sf_dir):
-    s = stratified_split(_features(spark, sf_dir), TARGET, "crash_id")
+    s = S.split(spark, sf_dir)
     return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
 
 
@@ -222,7 +222,7 @@ def prepare_data_q(spark, sf_dir):
     import uuid
     from ..session import ensure_checkpoint_dir
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/prepared/{uuid.uuid4().hex[:12]}"
-    paths = ML.prepare_data(_features(spark, sf_dir), out, TARGET, "crash_id")
+    paths = ML.prepare_data(S.features(spark, sf_dir), out, TARGET, "crash_id")
     tr = spark.read.parquet(paths["train"]).withColumn("split", F.lit("train"))
     te = spark.read.parquet(paths["test"]).withColumn("split", F.lit("test"))
     return tr.unionByName(te).groupBy("split", "CRASH_TYPE").agg(F.count(F.lit(1)).alias("n"))

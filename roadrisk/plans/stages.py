@@ -66,6 +66,19 @@ def areas_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(F.broadcast(r), a[key] == r["community_area_number"], "left")
 
 
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model feature table, written once per source."""
+    from ..operators.features import feature_table
+    return ingest(spark, f"{sf_dir}/orders.parquet", "features", lambda: feature_table(raw(spark, sf_dir)))
+
+
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table with its stratified test flag, written once per source."""
+    from ..operators.sampling import stratified_split
+    from ..schemas import TARGET
+    return ingest(spark, f"{sf_dir}/orders.parquet", "split", lambda: stratified_split(features(spark, sf_dir), TARGET, "crash_id"))
+
+
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Crash severity rows with DBSCAN hotspot labels (per community area), written once per source."""
     from ..operators.dbscan import dbscan

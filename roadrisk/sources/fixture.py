@@ -17,7 +17,10 @@ null (k % 109), null injury count (k % 113), a point outside every area
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,9 +130,11 @@ def load_crashes(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
 def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
     """Write ``build()`` once to ``<checkpoint dir>/ingest/<name>-<key>`` and read it back.
 
-    The key covers the path, the number and size of its files and the latest
-    modification below it, so a changed source is ingested again. The write is
-    atomic per job (``_SUCCESS`` marker).
+    The key covers the path, the number and size of its files, the latest
+    modification below it and this package's own code with its parameters, so a
+    changed source or a changed operator is ingested again. The table is written under a new
+    name and renamed when complete; of two sessions that write at once, one renames
+    and the other reads what is there.
     """
     from ..session import ensure_checkpoint_dir
 
@@ -142,18 +147,30 @@ def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
     while files.hasNext():
         latest = max(latest, files.next().getModificationTime())
     where = fs.getFileStatus(src_path).getPath().toString()
-    key = hashlib.md5(f"{where}|{held.getLength()}|{held.getFileCount()}|{latest}".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"{where}|{held.getLength()}|{held.getFileCount()}|{latest}|{_code_version()}".encode()).hexdigest()[:16]
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest/{name}-{key}"
-    out_path = jvm.org.apache.hadoop.fs.Path(out + "/_SUCCESS")
-    if not out_path.getFileSystem(conf).exists(out_path):
+    done, out_path = (jvm.org.apache.hadoop.fs.Path(p) for p in (out + "/_SUCCESS", out))
+    shared = done.getFileSystem(conf)
+    if not shared.exists(done):
         df = build()
         # at least one file per core so every later scan is parallel (a small
         # single-file source would otherwise pin all queries to one task)
         n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-        df.repartition(n).write.mode("overwrite").parquet(out)
+        new = f"{out}-{uuid.uuid4().hex[:12]}"
+        df.repartition(n).write.parquet(new)
+        if not shared.exists(done) and not shared.rename(jvm.org.apache.hadoop.fs.Path(new), out_path):
+            return spark.read.parquet(new)
     return spark.read.parquet(out)
 
 
+@functools.cache
+def _code_version() -> str:
+    """Checksum of the package's modules (text operators aside): tables written by other code are not read."""
+    root = Path(__file__).resolve().parents[1]
+    files = sorted(f for f in root.rglob("*.py") if "llm" not in f.relative_to(root).parts)
+    return hashlib.md5(b"".join(f.read_bytes() for f in files)).hexdigest()
+
+
 def load_areas(spark: SparkSession) -> DataFrame:
     """77 rectangular community areas in the raw boundary layout.
 
