@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import ensemble, evaluate, extra_trees, leafwise, selection
 from ..operators import ml as ML
+from ..operators.explain import attribution_share, global_importance
+from ..operators.lime import lime_local
 from ..operators.neighbours import nearest, smote
+from ..operators.sampling import example_rows, exact_sample, stratified_folds
+from ..operators.tree_shap import shapley
+from ..sources.fixture import ingest
 from ..schemas import FEATURE_COLUMNS, TARGET
 from . import stages as S
 from .dashboard_queries import SPLIT_SQL
@@ -58,3 +64,108 @@ def smote_q(spark, sf_dir):
     """ML7/SE3: training rows and synthetic rows of the smaller class, up to parity."""
     from ..operators.dbscan import _checkpoint
     return rounded(smote(_checkpoint(_train_scaled(spark, sf_dir)), TARGET, "crash_id", FEATURE_COLUMNS), 6)
+
+
+#: Sizes of the registered fits; the operators' defaults are the original's (400 trees, 500 rounds). README: what this changes.
+TREES, ROUNDS, CV_TREES, CV_ROUNDS, MAX_DEPTH = 400, 20, 50, 10, 10
+
+
+def _training(spark, sf_dir, trees: int = TREES, rounds: int = ROUNDS) -> selection.Training:
+    """Training rows in five stratified folds, stored."""
+    rows = ingest(spark, f"{sf_dir}/orders.parquet", "folds", lambda: stratified_folds(
+        S.split(spark, sf_dir).filter(~F.col("is_test")).drop("rn", "is_test"), TARGET, "crash_id"))
+    return selection.Training(rows, "crash_id", TARGET, FEATURE_COLUMNS, 5, {"trees": trees, "rounds": rounds, "max_depth": MAX_DEPTH})
+
+
+def _test(spark, sf_dir):
+    return S.split(spark, sf_dir).filter(F.col("is_test"))
+
+
+def _fitted(spark, sf_dir, name: str, fit) -> ensemble.Ensemble:
+    """A model of all training rows: fitted once per source, then read from its table of nodes."""
+    def build():
+        t = _training(spark, sf_dir)
+        return ensemble.node_table(fit(t)[0], spark)
+    return ensemble.of_table(ingest(spark, f"{sf_dir}/orders.parquet", name, build))
+
+
+def _leafwise(spark, sf_dir) -> ensemble.Ensemble:
+    return _fitted(spark, sf_dir, f"leafwise-{ROUNDS}", lambda t: leafwise.fit_leafwise(t.blocks, t.bins, rounds=ROUNDS))
+
+
+def _metrics(spark, sf_dir, model: ensemble.Ensemble, name: str):
+    t = _training(spark, sf_dir)
+    pred = ensemble.predicted(t.coded(_test(spark, sf_dir)), model, FEATURE_COLUMNS)
+    return evaluate.classification_metrics(pred, "label", "prediction").withColumn("model", F.lit(name))
+
+
+@register("train_extra_trees")
+def train_extra_trees(spark, sf_dir):
+    """ML9: 400 extremely randomised trees with balanced weights -> test metrics."""
+    model = _fitted(spark, sf_dir, f"extra-{TREES}-{MAX_DEPTH}", lambda t: extra_trees.fit_extra_trees(t.blocks, len(t.classes), t.bins, trees=TREES, max_depth=MAX_DEPTH))
+    return _metrics(spark, sf_dir, model, "ExtraTrees")
+
+
+@register("train_leafwise")
+def train_leafwise(spark, sf_dir):
+    """ML11: leaf-wise boosted trees of 63 leaves -> test metrics."""
+    return _metrics(spark, sf_dir, _leafwise(spark, sf_dir), "LightGBM")
+
+
+@register("train_depthwise")
+def train_depthwise(spark, sf_dir):
+    """ML10: boosted trees of depth 6 with second-order gains and row and column sampling -> test metrics."""
+    model = _fitted(spark, sf_dir, f"depthwise-{ROUNDS}", lambda t: leafwise.fit_depthwise(t.blocks, t.bins, rounds=ROUNDS))
+    return _metrics(spark, sf_dir, model, "XGBoost")
+
+
+@register("leafwise_importance")
+def leafwise_importance(spark, sf_dir):
+    """ML19/WI6: share of the total gain by feature of the leaf-wise model, largest first."""
+    share = _leafwise(spark, sf_dir).importance(len(FEATURE_COLUMNS))
+    return spark.createDataFrame(sorted(zip(FEATURE_COLUMNS, map(float, share)), key=lambda r: (-r[1], r[0]))[:20], "feature string, importance double")
+
+
+@register("attribution_shapley")
+def attribution_shapley(spark, sf_dir):
+    """EX1/EX2: exact path-dependent Shapley values of the leaf-wise model on up to 5,000 test rows -> top-20 shares."""
+    rows = exact_sample(_test(spark, sf_dir), 5000, "crash_id")
+    return attribution_share(global_importance(shapley(rows, _leafwise(spark, sf_dir), FEATURE_COLUMNS, "crash_id")))
+
+
+@register("attribution_tree_local")
+def attribution_tree_local(spark, sf_dir):
+    """EX4: exact attributions of the tree model to the predicted class of the example rows (picked before they are explained)."""
+    model = _leafwise(spark, sf_dir)
+    rows = example_rows(_test(spark, sf_dir), "crash_id")
+    told = ensemble.predicted(rows, model, FEATURE_COLUMNS).select("crash_id", "position", "prediction")
+    toward = F.when(F.col("prediction") == 1, F.col("value")).otherwise(-F.col("value"))  # log odds of class 1
+    return shapley(rows, model, FEATURE_COLUMNS, "crash_id").join(F.broadcast(told), "crash_id").withColumn("value", toward)  # three rows
+
+
+@register("lime_local")
+def lime_local_q(spark, sf_dir):
+    """EX5: quartile-binned local surrogate (5,000 draws, 10 features) of the tree model for the example rows of the test set."""
+    model = _leafwise(spark, sf_dir)
+    train = S.split(spark, sf_dir).filter(~F.col("is_test"))
+    rows = example_rows(_test(spark, sf_dir), "crash_id").select("crash_id", *FEATURE_COLUMNS)
+    return lime_local(lambda df: F.element_at(ensemble.probability(df, model, FEATURE_COLUMNS), 2), rows, train, FEATURE_COLUMNS, "crash_id")
+
+
+def _cv_scores(spark, sf_dir):
+    """Fold scores of all models, stored once per source."""
+    return ingest(spark, f"{sf_dir}/orders.parquet", f"cv-{CV_TREES}-{CV_ROUNDS}", lambda: selection.cross_validate(_training(spark, sf_dir, CV_TREES, CV_ROUNDS)))
+
+
+@register("cv_summary")
+def cv_summary(spark, sf_dir):
+    """ML12/AG20/SE4: five-fold stratified CV of all five models; errors as rows."""
+    return selection.summary(_cv_scores(spark, sf_dir))
+
+
+@register("best_model")
+def best_model(spark, sf_dir):
+    """ML13/WI5/FI18: the best model by mean macro F1 among those without error, refitted on all training rows -> test metrics."""
+    name = selection.best_of(selection.summary(_cv_scores(spark, sf_dir)))
+    pred = selection.refit(_training(spark, sf_dir, CV_TREES, CV_ROUNDS), name, _test(spark, sf_dir))
+    return evaluate.classification_metrics(pred, "label", "prediction").withColumn("model", F.lit(name))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SENT: set[str] = set()
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Return the active session or build a local one with sane analytics defaults.
@@ -56,3 +61,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="roadrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, as ``--py-files`` would.
+
+    Functions that run in Python workers and use modules of this package need it there.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SENT:
+        return
+    root = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = Path(tempfile.mkdtemp(prefix="roadrisk-code-")) / "roadrisk_code.zip"
+    path.write_bytes(held.getvalue())
+    sc.addPyFile(str(path))
+    _SENT.add(sc.applicationId)
