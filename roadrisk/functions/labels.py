@@ -101,6 +101,10 @@ FEATURE_VOCAB = {
     "CRASH_TIME_OF_DAY": ["Morning", "Afternoon", "Evening", "Night"],
 }
 
+# ---- fixed values: day and month lists of the scoring form ----
+FORM_DAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+FORM_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+
 # ---- fixed values: risk-factor rule thresholds and texts ----
 RISKY_CAUSES = ["DRINKING", "OVERSPEEDING", "DISTRACTION", "TEXTING"]
 GOOD_SURFACES = ["DRY", "UNKNOWN"]
@@ -163,6 +167,12 @@ def vocab_encode(c: str, vocab=None) -> Column:
     return (F.array_position(F.array(*[F.lit(v) for v in vocab]), F.col(c)) - 1).cast("int")
 
 
+def form_code(c, names: list[str]) -> Column:
+    """1-based place of a name in one of the form's lists; null for other names."""
+    at = F.array_position(F.array(*[F.lit(n) for n in names]), col_(c)).cast("int")
+    return F.when(at > 0, at)
+
+
 def risk_factors(speed="POSTED_SPEED_LIMIT", weather="WEATHER_CONDITION", lighting="LIGHTING_CONDITION",
                  surface="ROADWAY_SURFACE_COND", cause="PRIM_CONTRIBUTORY_CAUSE", units="NUM_UNITS",
                  hour="CRASH_HOUR") -> Column:

@@ -9,14 +9,16 @@ filtered subset). Only bounded outputs (one stats row, a capped point sample,
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import any_of, null_false
-from ..functions.labels import (CLASS_COLOR, CLASS_SIZE, CRASH_TYPE_NAMES, LIGHTING_NAMES, SURFACE_NAMES, WEATHER_NAMES,
+from ..functions.labels import (BAND_COLORS_FILTER, CLASS_COLOR, CLASS_SIZE, CRASH_TYPE_NAMES, LIGHTING_NAMES, SURFACE_NAMES, WEATHER_NAMES,
                                 date_label, severity_class)
+from ..session import ensure_checkpoint_dir
 from .sampling import exact_sample
 
 # ---- fixed values: severity categories of the filter panel ----
@@ -52,8 +54,11 @@ def _active(sel, full) -> bool:
     return bool(sel) and list(sel) != list(full)
 
 
-def filter_predicate(df: DataFrame, f: CrashFilter) -> Column:
-    """One boolean column for the whole request (null -> not selected)."""
+def filter_predicate(df: DataFrame, f: CrashFilter, years: Column | None = None) -> Column:
+    """One boolean column for the whole request (null -> not selected).
+
+    ``years`` is a column with the sorted distinct years of the table, needed when the request names years.
+    """
     preds = []
     if _active(f.hours, range(24)):
         preds.append(F.col("crash_hour").isin(list(f.hours)))
@@ -62,10 +67,8 @@ def filter_predicate(df: DataFrame, f: CrashFilter) -> Column:
     if _active(f.months, range(1, 13)):
         preds.append(F.col("crash_month").isin(list(f.months)))
     if f.years:
-        # full domain = the sorted distinct years present (a tiny aggregate)
-        years = [r[0] for r in df.select("crash_year").distinct().orderBy("crash_year").collect()]
-        if list(f.years) != years:
-            preds.append(F.col("crash_year").isin(list(f.years)))
+        named = F.array(*[F.lit(int(y)) for y in f.years])
+        preds.append((years.cast("array<int>") == named) | null_false(F.col("crash_year").isin(list(f.years))))
     if _active(f.weather, WEATHER_NAMES.keys()):
         preds.append(F.col("WEATHER_CONDITION").isin(list(f.weather)))
     if _active(f.lighting, LIGHTING_NAMES.keys()):
@@ -85,8 +88,28 @@ def filter_predicate(df: DataFrame, f: CrashFilter) -> Column:
     return out
 
 
+def with_selected(df: DataFrame, f: CrashFilter, out: str = "selected") -> DataFrame:
+    """``df`` with the request's flag.
+
+    Years in their full domain mean no filter; that domain is a one-row aggregate of the year column
+    alone, attached by a broadcast join, so nothing is collected. A table with a null year has no full domain.
+    """
+    if not f.years:
+        return df.withColumn(out, filter_predicate(df, f))
+    domain = df.agg(F.sort_array(F.collect_set("crash_year")).alias("_years"), F.count_if(F.col("crash_year").isNull()).alias("_none"))
+    domain = domain.select(F.when(F.col("_none") == 0, F.col("_years")).otherwise(F.array()).alias("_years"), F.lit(1).alias("_one"))
+    joined = df.withColumn("_one", F.lit(1)).join(F.broadcast(domain), "_one")  # one row
+    return joined.withColumn(out, filter_predicate(df, f, F.col("_years"))).drop("_years", "_one")
+
+
 def apply_filters(df: DataFrame, f: CrashFilter) -> DataFrame:
-    return df.filter(filter_predicate(df, f))
+    return with_selected(df, f, "_selected").filter("_selected").drop("_selected")
+
+
+def reset() -> CrashFilter:
+    """The request after a reset: every panel at its full domain, which filters nothing."""
+    return CrashFilter(hours=list(range(24)), days=list(range(7)), months=list(range(1, 13)), weather=list(WEATHER_NAMES), lighting=list(LIGHTING_NAMES),
+                       surface=list(SURFACE_NAMES), crash_types=list(CRASH_TYPE_NAMES), severity=list(SEVERITY_LEVELS))
 
 
 def filter_statistics(df: DataFrame, f: CrashFilter) -> DataFrame:
@@ -95,7 +118,11 @@ def filter_statistics(df: DataFrame, f: CrashFilter) -> DataFrame:
     Mean risk is that of ``mean_weighted_severity`` where the table has it, else it comes from the
     injury counts; an injury column that is absent counts 0.
     """
-    sel = filter_predicate(df, f)
+    return statistics_of(with_selected(df, f, "_selected"), F.col("_selected"))
+
+
+def statistics_of(df: DataFrame, sel: Column) -> DataFrame:
+    """The statistics of rows whose flag ``sel`` is set, against all rows."""
 
     def s(c, cond=None):
         if c not in df.columns:
@@ -150,6 +177,38 @@ def choropleth_layer(banded_areas: DataFrame, colors: dict, band: str = "risk_ca
     )
 
 
-def dashboard(df: DataFrame, f: CrashFilter, key: str = "crash_id", max_points: int = 5000) -> dict[str, DataFrame]:
-    """One dashboard request: the filtered table's statistics and point layer."""
-    return {"statistics": filter_statistics(df, f), "points": points_layer(apply_filters(df, f), key, max_points)}
+#: What statistics and point layer read of a crash.
+_SELECTION = ("lon", "lat", "fatal", "serious", "moderate", "minor", "none", "mean_weighted_severity", "crash_month", "crash_day_of_week", "crash_hour")
+
+
+def dashboard(df: DataFrame, f: CrashFilter, areas: DataFrame | None = None, clusters: DataFrame | None = None, cluster_risk: DataFrame | None = None, colors: dict | None = None,
+              layers: tuple[str, ...] = ("statistics", "points", "areas", "clusters"), key: str = "crash_id", max_points: int = 5000) -> dict[str, DataFrame]:
+    """One dashboard request: the asked ones of statistics, point layer, area layer and cluster layer.
+
+    The crashes are read once: the request's flag and the few columns that its outputs need are written to
+    the shared folder, and statistics and points read that. Areas (banded) and clusters (centroids with
+    their risk) do not depend on the filter.
+    """
+    out: dict[str, DataFrame] = {}
+    if "statistics" in layers or "points" in layers:
+        flagged = with_selected(df, f)
+        path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/requests/{uuid.uuid4().hex}"
+        narrow = flagged.select(key, *[c for c in _SELECTION if c in df.columns], "selected")
+        narrow.write.parquet(path)
+        stored = df.sparkSession.read.schema(narrow.schema).parquet(path)
+        if "statistics" in layers:
+            out["statistics"] = statistics_of(stored, F.col("selected"))
+        if "points" in layers:
+            out["points"] = points_layer(stored.filter("selected"), key, max_points)
+    if "areas" in layers and areas is not None:
+        out["areas"] = choropleth_layer(areas, colors or BAND_COLORS_FILTER)
+    if "clusters" in layers and clusters is not None:
+        out["clusters"] = cluster_layer(clusters, cluster_risk)
+    return out
+
+
+def cluster_layer(centroids: DataFrame, risk: DataFrame) -> DataFrame:
+    """Cluster markers: centroids with their risk, size by the root of the number of crashes."""
+    told = risk.select("cluster_id", "total_crashes", "weighted_score")
+    return centroids.join(told, "cluster_id", "left").select(
+        "cluster_id", "centroid_lon", "centroid_lat", "total_crashes", "weighted_score", (F.sqrt("total_crashes") * 2).alias("marker_size"))

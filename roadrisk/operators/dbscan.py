@@ -107,6 +107,40 @@ class Grid:
         return df.withColumn(out_x, F.expr("pmod(_i, _n)")).drop("_n", "_r", "_lo", "_hi", "_i")
 
 
+def eps_neighbours(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: str = "lon", group_col: str | None = "community_area_number", eps_m: float = 250.0) -> DataFrame:
+    """(id, neighbours): how many points of its group lie within eps metres of each point, itself included.
+
+    Equal coordinates are one weighted point. Every point probes the cells within reach; of each cell's
+    micro boxes those surely within eps count as a whole, and only undecided ones compare points, so a hot
+    spot of any number of points costs each probe its boxes, not its points.
+    """
+    grid = Grid(eps_m)
+    g = F.coalesce(F.col(group_col).cast("long"), F.lit(NULL_GROUP)) if group_col else F.lit(0).cast("long")
+    base = points.select(F.col(id_col).alias("_id"), g.alias("g"), F.col(lat).cast("double").alias("la"), F.col(lon).cast("double").alias("lo"))
+    base = base.filter(F.col("la").isNotNull() & F.col("lo").isNotNull())
+    wp = _celled(base.groupBy("g", "la", "lo").agg(F.count(F.lit(1)).alias("w")), grid)
+    pts = _checkpoint(wp)
+    boxes = _boxes(pts, 0)
+    probe = pts.select("g", "la", "lo", "x", F.col("cy").alias("pcy"))
+    probe = grid.neighbours(probe, "la", "x", "x", "pcy", "cx", "cy")
+    as_box = {"pla0": F.col("la"), "pla1": F.col("la"), "px0": F.col("x"), "px1": F.col("x")}
+    hit = probe.join(boxes.select(*[F.col(c).alias("q" + c if c in BOX else c) for c in boxes.columns]), ["g", "cx", "cy"])
+    hit = hit.withColumns(as_box).filter(_box_lower("p", "q") <= eps_m).withColumn("sure", _box_upper("p", "q") <= eps_m * (1 - 1e-9))
+    inside = pts.select("g", "cx", "cy", *_box_index(0), F.col("w").alias("qw"), F.col("la").alias("qla"), F.col("lo").alias("qlo"))
+    near = F.expr(_hav_sql("la", "lo", "qla", "qlo")) <= eps_m
+    seen = hit.filter("sure").select("g", "la", "lo", F.col("w").alias("qw")).unionByName(
+        hit.filter("not sure").drop("w").join(inside, ["g", "cx", "cy", "bx", "by"]).filter(near).select("g", "la", "lo", "qw"))
+    counts = seen.groupBy("g", "la", "lo").agg(F.sum("qw").alias("neighbours"))
+    return base.join(counts, ["g", "la", "lo"]).select(F.col("_id").alias(id_col), "neighbours")
+
+
+def _celled(wp: DataFrame, grid: Grid) -> DataFrame:
+    """Weighted points with their cell; x is the longitude from 0 to 360, (ux, uy) the place within the cell from 0 to 1."""
+    wp = wp.withColumns({"x": F.expr("pmod(lo + 180.0, 360.0)"), "cy": F.expr(grid.row("la"))})
+    wp = wp.withColumn("_u", F.expr(f"x * {grid.columns('cy')} / 360.0")).withColumn("cx", F.expr(f"least(CAST(floor(_u) AS BIGINT), {grid.columns('cy')} - 1)"))
+    return wp.withColumns({"ux": F.col("_u") - F.col("cx"), "uy": F.expr(f"la / {grid.dlat!r} - cy")}).drop("_u")
+
+
 def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: str = "lon",
            group_col: str | None = "community_area_number", eps_m: float = 250.0, min_samples: int = 12,
            axis_order: str = "latlon") -> DataFrame:
@@ -129,10 +163,8 @@ def dbscan(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: s
     wp = base.groupBy("g", "la", "lo").agg(F.min("_id").alias("pid"), F.count(F.lit(1)).alias("w"))
     ids = base.join(wp.select("g", "la", "lo", "pid"), ["g", "la", "lo"])  # every row -> its pid
 
-    # 2. cells; x is the longitude from 0 to 360, (ux, uy) the place within the cell from 0 to 1
-    wp = wp.withColumns({"x": F.expr("pmod(lo + 180.0, 360.0)"), "cy": F.expr(grid.row("la"))})
-    wp = wp.withColumn("_u", F.expr(f"x * {grid.columns('cy')} / 360.0")).withColumn("cx", F.expr(f"least(CAST(floor(_u) AS BIGINT), {grid.columns('cy')} - 1)"))
-    wp = wp.withColumns({"ux": F.col("_u") - F.col("cx"), "uy": F.expr(f"la / {grid.dlat!r} - cy")}).drop("_u")
+    # 2. cells
+    wp = _celled(wp, grid)
     cells = wp.groupBy("g", "cx", "cy").agg(F.sum("w").alias("cn"))
     pts = _checkpoint(wp.join(cells, ["g", "cx", "cy"]).withColumn("dense", F.col("cn") >= min_samples).drop("cn"))
     boxes = _checkpoint(_boxes(pts.filter("dense"), 0))

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dbscan import _checkpoint
-from .evaluate import classification_metrics
 
 
 def _attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -95,21 +94,26 @@ def fit_predict(train: DataFrame, test: DataFrame, features: list[str], label: s
 def fit_pipeline(train: DataFrame, features: list[str], label: str, model: str = "LogisticRegression", **kw):
     """One ``PipelineModel`` from raw feature rows to ``prediction`` and ``predicted_label``.
 
-    Medians (of Spark's imputer, relative error 0), scaling, assembly, the classifier and the label names
-    are its stages, so it scores rows that were prepared nowhere else. The label index is fitted before
-    and is not a stage: rows to score have no label.
+    Its first stage fills in and scales with the exact medians, means and population deviations of the
+    training rows, as ``median_impute`` and ``standardize`` do, so it scores rows that were prepared
+    nowhere else exactly as the evaluated model does. The label index is fitted before and is not a
+    stage: rows to score have no label.
     """
     from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import Imputer, IndexToString, StandardScaler
+    from pyspark.ml.feature import IndexToString
+
+    from .profile import medians
     train = _checkpoint(train.withColumns({c: F.col(c).cast("double") for c in features}))
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
     rows = with_class_weight(indexer.transform(train), "label")
-    filled = [f"_filled_{c}" for c in features]
+    middle = medians(train, features).first()
+    filled = {c: f"coalesce(CAST({c} AS DOUBLE), CAST('{middle[f'_med_{c}']!r}' AS DOUBLE))" for c in features}
+    stats = train.select(*[F.expr(filled[c]).alias(c) for c in features]).agg(
+        *[F.avg(c).alias(f"mu_{c}") for c in features], *[F.stddev_pop(c).alias(f"sd_{c}") for c in features]).first()
+    scaled = ", ".join(f"({filled[c]} - CAST('{stats[f'mu_{c}']!r}' AS DOUBLE)) / CAST('{(stats[f'sd_{c}'] or 1.0)!r}' AS DOUBLE) AS _scaled_{c}" for c in features)
     stages = [
-        SQLTransformer(statement="SELECT *, " + ", ".join(f"CAST({c} AS DOUBLE) AS _raw_{c}" for c in features) + " FROM __THIS__"),
-        Imputer(strategy="median", inputCols=[f"_raw_{c}" for c in features], outputCols=filled, relativeError=0.0),
-        VectorAssembler(inputCols=filled, outputCol="_assembled", handleInvalid="keep"),
-        StandardScaler(inputCol="_assembled", outputCol="features", withMean=True, withStd=True),
+        SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"),
+        VectorAssembler(inputCols=[f"_scaled_{c}" for c in features], outputCol="features", handleInvalid="keep"),
         make_classifier(model, n_rows=train.count() if model == "LogisticRegression" else None, **kw),
     ]
     fitted = Pipeline(stages=stages).fit(rows)
@@ -117,38 +121,6 @@ def fit_pipeline(train: DataFrame, features: list[str], label: str, model: str =
     return PipelineModel(stages=[*fitted.stages, names])
 
 
-def cross_validate(df: DataFrame, features: list[str], label: str, models: list[str], k: int = 5, **kw) -> DataFrame:
-    """Per model: mean and population std of macro-F1 and balanced accuracy over ``fold`` 0..k-1.
-
-    A model that fails is reported with its error instead of metrics.
-    """
-    spark = df.sparkSession
-    rows = []
-    for name in models:
-        scores = []
-        try:
-            for f in range(k):
-                pred, _, _ = fit_predict(df.filter(F.col("fold") != f), df.filter(F.col("fold") == f), features, label,
-                                         name, **kw)
-                m = classification_metrics(pred, "label", "prediction").first()
-                scores.append((m["macro_f1"], m["balanced_accuracy"]))
-            rows.append((name, scores, None))
-        except Exception as e:  # noqa: BLE001 - error-tolerant CV, reported as a row
-            rows.append((name, [], f"{type(e).__name__}: {e}"[:500]))
-    flat = [(n, i, s[0], s[1], err) for n, sc, err in rows for i, s in enumerate(sc or [(None, None)])]
-    scores = spark.createDataFrame(flat, "model string, fold int, macro_f1 double, bal_acc double, error string")
-    return scores.groupBy("model").agg(
-        F.avg("macro_f1").alias("macro_f1_mean"), F.stddev_pop("macro_f1").alias("macro_f1_std"),
-        F.avg("bal_acc").alias("bal_acc_mean"), F.stddev_pop("bal_acc").alias("bal_acc_std"),
-        F.max("error").alias("error"))
-
-
-def best_model(cv: DataFrame, default: str = "LogisticRegression") -> str:
-    """Highest mean macro-F1 among models without error (ties by name); default when none."""
-    r = cv.filter(F.col("error").isNull()).orderBy(F.col("macro_f1_mean").desc(), "model").select("model").first()
-    return r["model"] if r else default
-
-
 def feature_importance(fitted, features: list[str], top: int = 20) -> list[tuple[str, float]]:
     """(feature, importance) of a tree model, largest first (a 20-feature vector; driver-side)."""
     imp = fitted.featureImportances.toArray().tolist()
@@ -201,12 +173,11 @@ def write_metrics(spark, metrics: dict, path: str) -> None:
 
 
 def read_metrics(spark, path: str) -> DataFrame:
-    """Metrics record; every missing field (or a missing file) falls back to the defaults."""
+    """Metrics record; every missing field (or a missing file) falls back to the defaults, any other failure is an error."""
     schema = "best_model string, test_balanced_accuracy double, test_macro_f1 double"
-    try:
-        m = spark.read.schema(schema).json(path)
-    except Exception:  # noqa: BLE001 - missing file -> defaults
-        m = spark.createDataFrame([], schema)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    m = spark.read.schema(schema).json(path) if there else spark.createDataFrame([], schema)
     d = DEFAULT_METRICS
     agg = m.agg(*[F.first(c, ignorenulls=True).alias(c) for c in d])
     return agg.select(*[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in d.items()])

@@ -28,6 +28,37 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return row.unpivot(ids=[], values=cols, variableColumnName="column", valueColumnName="null_count")
 
 
+def table_profile(df: DataFrame, head: int = 5) -> DataFrame:
+    """One row for each column: position, type, rows, nulls, least and greatest value as text, estimated distinct values, first values.
+
+    All columns' statistics are one aggregate over one scan; they merge, so nothing grows with the rows.
+    ``head`` values come from a limit, which reads no more than it needs. Columns without an order
+    (maps) have no extremes.
+    """
+    cols = df.columns
+    text = lambda c: F.col(c).cast("string")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    plain = [c for c in cols if kinds[c].typeName() not in ("map", "variant")]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for k, c in enumerate(cols):
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{k}"))
+        if c in plain:
+            aggs += [F.min(c).cast("string").alias(f"min_{k}"), F.max(c).cast("string").alias(f"max_{k}"), F.approx_count_distinct(c).alias(f"distinct_{k}")]
+    row = df.agg(*aggs)
+    first = df.limit(head).agg(*[F.collect_list(F.coalesce(text(c), F.lit("null"))).alias(f"head_{k}") for k, c in enumerate(cols)])
+    both = row.withColumn("_one", F.lit(1)).join(first.withColumn("_one", F.lit(1)), "_one")  # two one-row tables
+    none = F.lit(None)
+    per = [F.struct(F.lit(k).alias("position"), F.lit(c).alias("column"), F.lit(kinds[c].simpleString()).alias("type"), F.col("n").alias("n_rows"), F.col(f"null_{k}").alias("n_null"),
+                    *[(F.col(f"{name}_{k}") if c in plain else none.cast(t)).alias(out) for name, out, t in (("min", "least", "string"), ("max", "greatest", "string"), ("distinct", "distinct_estimate", "long"))],
+                    F.col(f"head_{k}").alias("head")) for k, c in enumerate(cols)]
+    return both.select(F.explode(F.array(*per)).alias("p")).select("p.*")
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """One row: number of rows and of columns."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
+
+
 def coordinate_bounds(df: DataFrame, lat: str = "LATITUDE", lon: str = "LONGITUDE") -> DataFrame:
     return df.agg(F.min(lat).alias("lat_min"), F.max(lat).alias("lat_max"),
                   F.min(lon).alias("lon_min"), F.max(lon).alias("lon_max"))

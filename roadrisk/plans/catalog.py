@@ -6,7 +6,7 @@ from . import geo_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 _MODULES = [
-    "feature_queries", "dashboard_queries", "cluster_queries", "ml_queries", "io_queries", "table_queries", "model_queries",
+    "feature_queries", "dashboard_queries", "cluster_queries", "ml_queries", "io_queries", "table_queries", "model_queries", "request_queries",
 ]
 for _m in _MODULES:
     try:

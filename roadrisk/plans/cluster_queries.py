@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import dashboard as D
 from ..operators import risk as R
 from . import stages as S
 from .registry import register, rounded, sev_sql, sql
@@ -123,12 +124,7 @@ def largest_clusters(spark, sf_dir):
 def cluster_layer(spark, sf_dir):
     """SP11 + JO4 + SC15: cluster markers: centroid left-joined to cluster risk, size sqrt(n)*2."""
     c = S.clustered(spark, sf_dir)
-    cent = R.cluster_centroids(c)
-    risk = R.cluster_risk(c).select("cluster_id", "total_crashes", "weighted_score")
-    out = cent.join(risk, "cluster_id", "left").select(
-        "cluster_id", "centroid_lon", "centroid_lat", "total_crashes", "weighted_score",
-        (F.sqrt("total_crashes") * 2).alias("marker_size"))
-    return rounded(out)
+    return rounded(D.cluster_layer(R.cluster_centroids(c), R.cluster_risk(c)))
 
 
 @register("centroid_head", dsql(

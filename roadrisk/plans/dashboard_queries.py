@@ -18,13 +18,13 @@ REQUEST = D.CrashFilter(hours=list(range(7, 19)), days=[0, 1, 2, 3, 4], weather=
 SEVERITY_REQUEST = D.CrashFilter(severity=["Fatal", "Injury"])
 RISK_REQUEST = D.CrashFilter(months=[1, 2, 3, 4, 5, 6], risk_range=(0.5, 2.0))
 
-_REQ_SQL = ("coalesce(crash_hour IN (7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18), false) "
+REQ_SQL = ("coalesce(crash_hour IN (7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18), false) "
             "AND coalesce(crash_day_of_week IN (0, 1, 2, 3, 4), false) "
             "AND coalesce(WEATHER_CONDITION IN ('RAIN', 'CLEAR', 'SLEET/HAIL'), false)")
 _SEV_SQL = ("(coalesce(fatal > 0, false) OR (coalesce(serious > 0, false) OR coalesce(moderate > 0, false)))")
 
 
-@register("filter_crashes", sql(f"SELECT crash_id FROM dash WHERE {_REQ_SQL}"))
+@register("filter_crashes", sql(f"SELECT crash_id FROM dash WHERE {REQ_SQL}"))
 def filter_crashes(spark, sf_dir):
     """FI9-FI11 + FI14: temporal / environment filters (full-domain selections elided)."""
     return D.apply_filters(S.dashboard_crashes(spark, sf_dir), REQUEST).select("crash_id")
@@ -55,38 +55,38 @@ def filter_risk_range(spark, sf_dir):
     "(3 * fatal_filtered + 2 * sf + mf) / greatest(filtered_count, 1) AS mean_risk_filtered, "
     "(3 * fatal_total + 2 * st + mt) / greatest(total_count, 1) AS mean_risk_total, "
     "sf + mf AS injury_filtered, st + mt AS injury_total FROM ("
-    f"SELECT count_if({_REQ_SQL}) AS filtered_count, count(*) AS total_count, "
-    f"CAST(coalesce(sum(CASE WHEN {_REQ_SQL} THEN fatal END), 0) AS BIGINT) AS fatal_filtered, "
+    f"SELECT count_if({REQ_SQL}) AS filtered_count, count(*) AS total_count, "
+    f"CAST(coalesce(sum(CASE WHEN {REQ_SQL} THEN fatal END), 0) AS BIGINT) AS fatal_filtered, "
     "CAST(coalesce(sum(fatal), 0) AS BIGINT) AS fatal_total, "
-    f"CAST(coalesce(sum(CASE WHEN {_REQ_SQL} THEN serious END), 0) AS BIGINT) AS sf, "
-    f"CAST(coalesce(sum(CASE WHEN {_REQ_SQL} THEN moderate END), 0) AS BIGINT) AS mf, "
+    f"CAST(coalesce(sum(CASE WHEN {REQ_SQL} THEN serious END), 0) AS BIGINT) AS sf, "
+    f"CAST(coalesce(sum(CASE WHEN {REQ_SQL} THEN moderate END), 0) AS BIGINT) AS mf, "
     "CAST(coalesce(sum(serious), 0) AS BIGINT) AS st, CAST(coalesce(sum(moderate), 0) AS BIGINT) AS mt FROM dash))"))
 def filter_statistics(spark, sf_dir):
     """AG11 + AP4: filtered-versus-total statistics (one conditional aggregation)."""
     return rounded(D.filter_statistics(S.dashboard_crashes(spark, sf_dir), REQUEST))
 
 
-_MD5 = "md5(concat_ws('-', '42', CAST(crash_id AS VARCHAR)))"
-_CLS = ("CASE WHEN coalesce(fatal > 0, false) THEN 'Fatal' WHEN coalesce(serious > 0, false) OR "
+MD5 = "md5(concat_ws('-', '42', CAST(crash_id AS VARCHAR)))"
+CLASS_SQL = ("CASE WHEN coalesce(fatal > 0, false) THEN 'Fatal' WHEN coalesce(serious > 0, false) OR "
         "coalesce(moderate > 0, false) THEN 'Injury' ELSE 'Property' END")
 
 
-def _cmap(d: dict, quote: bool) -> str:
+def class_map(d: dict, quote: bool) -> str:
     return "CASE cls " + " ".join(f"WHEN {q(k)} THEN {q(v) if quote else v}" for k, v in d.items()) + " END"
 
 
-@register("sample_points", sql(f"SELECT crash_id FROM dash ORDER BY {_MD5}, crash_id LIMIT 5000"))
+@register("sample_points", sql(f"SELECT crash_id FROM dash ORDER BY {MD5}, crash_id LIMIT 5000"))
 def sample_points(spark, sf_dir):
     """SA1: exact seeded sample of 5000 points (hash order; all rows when fewer)."""
     return SA.exact_sample(S.dashboard_crashes(spark, sf_dir), 5000, "crash_id").select("crash_id")
 
 
 @register("points_layer", sql(
-    f"SELECT crash_id, round(lon, 9) AS lon, round(lat, 9) AS lat, cls AS severity, {_cmap(CLASS_COLOR, True)} AS color, "
-    f"{_cmap(CLASS_SIZE, False)} AS size, coalesce(CASE WHEN crash_month BETWEEN 1 AND 12 AND crash_day_of_week BETWEEN 0 AND 6 "
+    f"SELECT crash_id, round(lon, 9) AS lon, round(lat, 9) AS lat, cls AS severity, {class_map(CLASS_COLOR, True)} AS color, "
+    f"{class_map(CLASS_SIZE, False)} AS size, coalesce(CASE WHEN crash_month BETWEEN 1 AND 12 AND crash_day_of_week BETWEEN 0 AND 6 "
     f"AND crash_hour IS NOT NULL THEN {list(MONTH_NAMES)}[crash_month] || ' ' || {list(DAY_NAMES)}[crash_day_of_week + 1] || ' ' || "
     "lpad(CAST(crash_hour AS VARCHAR), 2, '0') || ':00' END, 'Invalid Date') AS date_label "
-    f"FROM (SELECT *, {_CLS} AS cls FROM (SELECT * FROM dash ORDER BY {_MD5}, crash_id LIMIT 5000))"))
+    f"FROM (SELECT *, {CLASS_SQL} AS cls FROM (SELECT * FROM dash ORDER BY {MD5}, crash_id LIMIT 5000))"))
 def points_layer(spark, sf_dir):
     """SP10 + SC11-SC13: crash point layer (sample, class, colour, size, date label)."""
     return rounded(D.points_layer(S.dashboard_crashes(spark, sf_dir)))
@@ -101,7 +101,7 @@ def choropleth_layer(spark, sf_dir):
 
 
 SPLIT_SQL = ("SELECT crash_id, CRASH_TYPE, row_number() OVER (PARTITION BY CRASH_TYPE ORDER BY "
-              f"{_MD5}, crash_id) AS rn, count(*) OVER (PARTITION BY CRASH_TYPE) AS nc FROM features")
+              f"{MD5}, crash_id) AS rn, count(*) OVER (PARTITION BY CRASH_TYPE) AS nc FROM features")
 
 
 @register("stratified_split", fsql(
@@ -119,7 +119,7 @@ def stratified_folds(spark, sf_dir):
 
 
 @register("example_rows", fsql(
-    f"SELECT crash_id, position FROM (SELECT crash_id, row_number() OVER (ORDER BY {_MD5}, crash_id) - 1 AS position "
+    f"SELECT crash_id, position FROM (SELECT crash_id, row_number() OVER (ORDER BY {MD5}, crash_id) - 1 AS position "
     "FROM features) WHERE position IN (10, 100, 250)"))
 def example_rows(spark, sf_dir):
     """SA4: rows at positions 10/100/250 of the hash order (fallback to row 0)."""
