@@ -7,6 +7,7 @@ instead of one job per column.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,13 +98,19 @@ def _value_positions(long: DataFrame) -> DataFrame:
     """
     def running(batches):
         """Adds the running sum of n within each run of equal ``column`` of a sorted partition."""
-        column, total = None, 0
+        column, carried = None, 0
         for b in batches:
-            names, counts = b.column("column").to_pylist(), b.column("n").to_pylist()
-            ends = []
-            for name, n in zip(names, counts):
-                column, total = name, (total if name == column else 0) + n
-                ends.append(total)
+            if not b.num_rows:
+                continue
+            names = b.column("column").dictionary_encode()
+            codes, counts = names.indices.to_numpy(), b.column("n").to_numpy()
+            heads = np.flatnonzero(np.diff(codes, prepend=-1))
+            ends = np.cumsum(counts)
+            before = ends[heads] - counts[heads]
+            if names.dictionary[int(codes[0])].as_py() == column:
+                before[0] -= carried
+            ends = ends - np.repeat(before, np.diff(heads, append=len(codes)))
+            column, carried = names.dictionary[int(codes[-1])].as_py(), int(ends[-1])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int64())], names=[*b.schema.names, "_end"])
 
     freq = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))

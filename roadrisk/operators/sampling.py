@@ -27,9 +27,11 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_key(key, seed), F.col(key)).limit(n)
 
 
-def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn") -> DataFrame:
+def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn", size: str | None = None) -> DataFrame:
     """1-based row number within ``part_cols`` groups in ``order_cols`` order, with one shuffle of the rows.
 
+    ``size`` names a column for the number of rows of each group, which the same small table tells.
+
     After the range partitioning and local sort, ``monotonically_increasing_id`` holds the partition
     (upper bits) and the row within it (lower 33 bits); a table with one row per partition and group
     tells where each group begins there and how many of its rows lie in earlier partitions.
@@ -39,22 +41,22 @@ def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list
     part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     starts = r.groupBy(part.alias("_part"), *part_cols).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
     prior = Window.partitionBy(*part_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("_part", *part_cols, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) - F.col("_first") + 1).alias("_off"))
+    whole = F.sum("_n").over(Window.partitionBy(*part_cols)).alias("_size")
+    starts = starts.select("_part", *part_cols, (F.coalesce(F.sum("_n").over(prior), F.lit(0)) - F.col("_first") + 1).alias("_off"), whole)
     if starts.count() <= BROADCAST_ROWS:  # partitions x groups, counted
         starts = F.broadcast(starts)
     match = F.col("_part") == part
     for c in part_cols:
         match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    j = r.join(starts.select("_part", "_off", *[F.col(c).alias(f"_k_{c}") for c in part_cols]), match)
-    return j.withColumn(out, (row + F.col("_off")).cast("long")).drop("_id", "_part", "_off", *[f"_k_{c}" for c in part_cols])
+    j = r.join(starts.select("_part", "_off", "_size", *[F.col(c).alias(f"_k_{c}") for c in part_cols]), match)
+    j = j.withColumn(size, F.col("_size")) if size else j
+    return j.withColumn(out, (row + F.col("_off")).cast("long")).drop("_id", "_size", "_part", "_off", *[f"_k_{c}" for c in part_cols])
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: per class exactly round(test_size * n_class) rows (hash order) are test."""
     h = hash_key(key, seed)
-    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)])
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    ranked = ranked.join(sizes, label)
+    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)], size="_nc").filter(F.col(label).isNotNull())
     return ranked.withColumn("is_test", F.col("rn") <= F.round(F.col("_nc") * test_size)).drop("_h", "_nc")
 
 

@@ -136,7 +136,7 @@ def severity_describe(spark, sf_dir):
     "WHERE mean_weighted_severity IS NOT NULL"))
 def risk_thresholds(spark, sf_dir):
     """AG16: p50/p75/p90 of the area scores (linear interpolation)."""
-    return rounded(R.quantile_thresholds(S.community(spark, sf_dir)))
+    return rounded(R.quantile_thresholds(S.stored_community(spark, sf_dir)))
 
 
 _TH = ("th AS (SELECT quantile_cont(mean_weighted_severity, 0.5) AS p50, quantile_cont(mean_weighted_severity, 0.75) AS p75, "
@@ -151,7 +151,7 @@ def _band_sql(zero: bool) -> str:
 
 def _banded(spark, sf_dir, zero=False):
     ar = S.areas_with_risk(spark, sf_dir)
-    th = R.quantile_thresholds(S.community(spark, sf_dir))
+    th = R.quantile_thresholds(S.stored_community(spark, sf_dir))
     return R.with_risk_band(ar, "mean_weighted_severity", thresholds=th, zero_is_no_data=zero)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as EV
 from ..operators import ml as ML
-from ..operators.explain import attribution_share, global_importance, linear_contributions
+from ..operators.explain import attribution_share, linear_contributions, linear_importance
 from ..operators.profile import group_ranges
 from ..schemas import FEATURE_COLUMNS, TARGET
 from . import stages as S
@@ -109,8 +109,7 @@ def score_batch(spark, sf_dir):
 def attribution_global(spark, sf_dir):
     """EX1/EX2/EX3/AG19/WI7: exact linear attributions -> top-20 mean |value| with % share and measures."""
     pred, fitted, _ = _logreg(spark, sf_dir)
-    contrib = linear_contributions(pred, fitted.coefficients.toArray().tolist(), FEATURE_COLUMNS, "crash_id")
-    return attribution_share(global_importance(contrib))
+    return attribution_share(linear_importance(pred, fitted.coefficients.toArray().tolist(), FEATURE_COLUMNS))
 
 
 @register("attribution_local")
@@ -118,8 +117,9 @@ def attribution_local(spark, sf_dir):
     """EX4: per-feature attributions to the predicted class of the example rows (positions 10/100/250 of the test set)."""
     from ..operators.sampling import example_rows
     pred, fitted, _ = _logreg(spark, sf_dir)
-    contrib = linear_contributions(pred, fitted.coefficients.toArray().tolist(), FEATURE_COLUMNS, "crash_id")
-    ex = example_rows(pred.select("crash_id", "prediction"), "crash_id")
+    ex = example_rows(pred.select("crash_id", "prediction"), "crash_id")  # three rows at most
+    rows = pred.join(F.broadcast(ex.select("crash_id")), "crash_id")
+    contrib = linear_contributions(pred, fitted.coefficients.toArray().tolist(), FEATURE_COLUMNS, "crash_id", rows=rows)
     # contributions are to class 1's log odds; for a row predicted as class 0 they count the other way
     toward = F.when(F.col("prediction") == 1, F.col("value")).otherwise(-F.col("value"))
     return contrib.join(F.broadcast(ex), "crash_id").withColumn("value", toward)

@@ -56,13 +56,18 @@ def community(spark: SparkSession, sf_dir: str) -> DataFrame:
     return community_risk(severity(spark, sf_dir))
 
 
+def stored_community(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area risk table, written once per source: bands and thresholds read its 77 rows several times."""
+    return ingest(spark, f"{sf_dir}/orders.parquet", "community", lambda: community(spark, sf_dir), n_files=1)
+
+
 def areas_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area table left-joined to the risk table on differently named keys."""
     from ..operators.spatial import find_area_key
     a = areas(spark).select("community_area_number", "community", "rings", "geom_type").withColumnRenamed(
         "community_area_number", "area_num_1")
     key = find_area_key(a.columns)  # the boundary table's own key name
-    r = community(spark, sf_dir)  # 77 rows (spine-bounded): broadcast
+    r = stored_community(spark, sf_dir)  # 77 rows (spine-bounded): broadcast
     return a.join(F.broadcast(r), a[key] == r["community_area_number"], "left")
 
 

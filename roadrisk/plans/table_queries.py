@@ -238,3 +238,22 @@ def several_part_join(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     pts = c.select("c_custkey", F.expr(_PX).cast("double").alias("lon"), F.expr(_PY).cast("double").alias("lat"))
     return spatial_join(pts, _boundaries(spark, sf_dir)).select("c_custkey", "community_area_number")
+
+
+@register("polygon_layer", """
+WITH a AS (SELECT c_nationkey AS k, count(*) AS n, avg(c_acctbal) AS score FROM customer GROUP BY c_nationkey),
+j AS (SELECT n_nationkey AS k, n_name, coalesce(n, 0) AS n, score FROM nation LEFT JOIN a ON a.k = n_nationkey),
+q AS (SELECT quantile_cont(score, 0.5) AS p50, quantile_cont(score, 0.75) AS p75, quantile_cont(score, 0.9) AS p90 FROM j)
+SELECT CAST(k AS BIGINT) AS area_num_1, n_name AS community, CASE WHEN score IS NULL THEN 'No Data' WHEN score >= p90 THEN 'Critical' WHEN score >= p75 THEN 'High' WHEN score >= p50 THEN 'Medium' ELSE 'Low' END AS risk_category,
+  n AS total_crashes, CASE k % 3 WHEN 0 THEN 7 ELSE 5 END AS n_points, CAST(k % 5 * 10 AS DOUBLE) AS first_lon FROM j, q WHERE k % 3 <> 2""")
+def polygon_layer(spark, sf_dir):
+    """FI17/SP9: area layer over areas of both types: those of several parts are left out of it, their scores still set the bands."""
+    from ..functions.labels import BAND_COLORS_FILTER
+    from ..operators import risk as R
+    from ..operators.dashboard import choropleth_layer
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy(F.col("c_nationkey").cast("long").alias("community_area_number")).agg(
+        F.count(F.lit(1)).alias("total_crashes"), F.avg("c_acctbal").alias("mean_weighted_severity"))
+    areas = _boundaries(spark, sf_dir).join(c, "community_area_number", "left").fillna(0, subset=["total_crashes"]).withColumn("fatal", F.lit(0))
+    named = areas.drop("community").withColumnsRenamed({"community_area_number": "area_num_1", "community_area_name": "community"})
+    layer = choropleth_layer(R.with_risk_band(named), BAND_COLORS_FILTER)
+    return layer.select("area_num_1", "community", "risk_category", "total_crashes", F.size("lons").alias("n_points"), F.col("lons")[0].alias("first_lon"))

@@ -127,7 +127,7 @@ def load_crashes(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     return ingest(spark, src, "crashes", lambda: crashes_from_orders(spark.read.parquet(src)))
 
 
-def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
+def ingest(spark: SparkSession, src: str, name: str, build, n_files: int | None = None) -> DataFrame:
     """Write ``build()`` once to ``<checkpoint dir>/ingest/<name>-<key>`` and read it back.
 
     The key covers the path, the number and size of its files, the latest
@@ -155,7 +155,7 @@ def ingest(spark: SparkSession, src: str, name: str, build) -> DataFrame:
         df = build()
         # at least one file per core so every later scan is parallel (a small
         # single-file source would otherwise pin all queries to one task)
-        n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+        n = n_files or max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
         new = f"{out}-{uuid.uuid4().hex[:12]}"
         df.repartition(n).write.parquet(new)
         if not shared.exists(done) and not shared.rename(jvm.org.apache.hadoop.fs.Path(new), out_path):
