@@ -16,6 +16,10 @@ repeat, so each task keeps a bounded table of words.
 Decoding joins the pieces' bytes and drops the blank in front. It gives back every text as UTF-8,
 but for U+2581 itself, which the model reads as a blank, and what its normalisation changes.
 
+The scores are the model's own. In a merge model they are minus the rank of the merge, so the segmentation
+of the best sum is *not* what the model's own encoder gives by merging; README has figures. Both decode to
+the same text.
+
 Equal scores are ordered by the search: longer last pieces first, then earlier parts. Defined
 results: a null or empty text has no pieces, the score 0 and one segmentation, and decodes to the
 empty text; repeated rows each get a row; extra columns are left out; empty tables work.
@@ -29,6 +33,7 @@ import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import chain
+from operator import add
 
 import ahocorasick
 import numpy as np
@@ -38,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, small_batches
+from .simple8b import _Numbers as Numbers
 
 BLANK = "▁"
 #: A word ends before a blank, and between a Latin letter or digit and an ASCII mark.
@@ -46,6 +52,8 @@ _BESIDE = f"[^{_LATIN}{BLANK}]*[{_LATIN}]*"
 _WORD = re.compile(f"(?=[\\s\\S]){BLANK}*{_BESIDE}(?:[^\\x00-\\x7F{_LATIN}{BLANK}]{_BESIDE})*")
 _ACROSS = re.compile(f"[^{BLANK}]{BLANK}|[{_LATIN}](?![{_LATIN}])[\\x00-\\x7F]", re.S)
 Path = tuple[float, tuple[int, ...]]
+#: Score and ids of the best segmentation, and what the second best loses.
+Known = tuple[float, tuple[int, ...], float]
 
 
 class Pieces:
@@ -59,6 +67,7 @@ class Pieces:
         self.single: set[str] = set()
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_ids = [0] * 256
+        self.lengths, self.scores = np.zeros(n, np.int64), np.zeros(n)
         low = 0.0
         for i in range(n):
             piece = self.sp.id_to_piece(i)
@@ -67,8 +76,9 @@ class Pieces:
                 self.byte_ids[value] = i
                 self.bytes_of[i] = bytes([value])
             elif not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_unused(i)):
-                score = self.sp.get_score(i)
-                self.automaton.add_word(piece, (len(piece), score, (i,)))
+                score = self.scores[i] = self.sp.get_score(i)
+                self.lengths[i] = len(piece)
+                self.automaton.add_word(piece, i)
                 if len(piece) == 1:
                     self.single.add(piece)
                 self.pairs.update(map("".join, itertools.pairwise(piece)))
@@ -77,6 +87,11 @@ class Pieces:
                     low = min(low, score)
         self.automaton.make_automaton()
         self.unknown = low - penalty
+        used = self.single.union(*self.pairs)
+        #: A character of no piece, between texts that are searched as one.
+        self.apart = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in used)
+        self.longest = int(self.lengths.max())
+        self._edge = [(int(k), float(s), (i,)) for i, (k, s) in enumerate(zip(self.lengths, self.scores, strict=True))]
         #: No piece crosses an end of a word.
         self.by_words = not any(map(_ACROSS.match, self.pairs))
 
@@ -86,6 +101,8 @@ class Pieces:
 
     def parts(self, word: str) -> list[str]:
         """``word`` cut where no piece crosses."""
+        if self.pairs.issuperset(map(add, word, word[1:])):
+            return [word]
         out, start = [], 0
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in self.pairs:
@@ -97,7 +114,8 @@ class Pieces:
     def edges(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """By end place: (start, score, ids) of the edges that end there, the longest first."""
         into: list[list] = [[] for _ in range(len(text) + 1)]
-        for last, (length, score, ids) in self.automaton.iter(text):
+        for last, piece in self.automaton.iter(text):
+            length, score, ids = self._edge[piece]
             into[last + 1].append((last + 1 - length, score, ids))
         for j, found in enumerate(into):
             if j and (not found or found[-1][0] != j - 1):
@@ -125,39 +143,64 @@ class Pieces:
                 turn -= 1
                 heappush(heap, (-best[i] - s, turn, i, s, (ids, rest)))
 
-    def first_two(self, text: str) -> tuple[float, tuple[int, ...], float]:
-        """(score, ids) of the best segmentation and what the second best loses (infinite without one).
+    def first_two(self, text: str) -> Known:
+        """(score, ids) of the best segmentation and what the second best loses (infinite without one)."""
+        two = list(itertools.islice(self.paths(text), 2))
+        return (*two[0], two[0][0] - two[1][0] if len(two) > 1 else np.inf)
+
+    def first_twos(self, texts: list[str]) -> list[Known]:
+        """``first_two`` of many texts at once.
 
         The second best leaves the best path by some edge; the best path through an edge is the sum of the
-        Viterbi scores before and after it and its own.
+        Viterbi scores before and after it and its own. Texts of one length share arrays by (end, length of
+        the piece, text), and both passes go through them place by place, for all these texts together. Texts with
+        bytes in them, and the few of a rare length, are searched on their own.
         """
-        n, low = len(text), -np.inf
-        if self.single.issuperset(text):
-            edges = [(last + 1 - length, last + 1, score, ids) for last, (length, score, ids) in self.automaton.iter(text)]
-        else:
-            edges = [(i, j, score, ids) for j, found in enumerate(self.edges(text)) for i, score, ids in found]
-        before, after, by = [0.0] + [low] * n, [low] * n + [0.0], [None] * (n + 1)
-        for e in edges:  # by rising ends, the longest first
-            i, j, s, _ = e
-            s += before[i]
-            if s > before[j]:
-                before[j] = s
-                by[j] = e
-        second = low
-        j, ids, path = n, [], set()
-        while j:
-            e = by[j]
-            path.add(e)
-            ids.append(e[3])
-            j = e[0]
-        for e in reversed(edges):
-            i, j, s, _ = e
-            s += after[j]
-            if s > after[i]:
-                after[i] = s
-            if s + before[i] > second and e not in path:
-                second = s + before[i]
-        return before[n], tuple(chain.from_iterable(reversed(ids))), before[n] - second
+        known: dict[str, Known] = {}
+        for size, some in itertools.groupby(sorted(filter(self.single.issuperset, texts), key=len), len):
+            alike = list(some)
+            step = max(1, 150_000 // (size * min(size, self.longest) + 1))
+            for at in range(0, len(alike) if size and len(alike) >= 8 else 0, step):
+                known.update(zip(alike[at : at + step], self._lattices(alike[at : at + step], size), strict=True))
+        return [known[t] if t in known else self.first_two(t) for t in texts]
+
+    def _lattices(self, texts: list[str], n: int) -> list[Known]:
+        """``first_two`` of texts of ``n`` characters that are all pieces."""
+        width, many = min(n, self.longest), len(texts)
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(self.apart.join(texts))), np.int64).reshape(-1, 2)
+        text, end = np.divmod(found[:, 0], n + 1)
+        piece = found[:, 1]
+        score, ids = np.full((n, width, many), -np.inf), np.zeros((n, width, many), np.int32)
+        place = (end * width + self.lengths[piece] - 1) * many + text  # an edge by its last character, its length and its text
+        score.reshape(-1)[place], ids.reshape(-1)[place] = self.scores[piece], piece
+        before, after = np.zeros((n + 1, many)), np.full((n + 1, many), -np.inf)
+        after[n] = 0.0
+        taken = np.empty((n + 1, many), np.int64)
+        for j in range(1, n + 1):
+            k = min(j, width)
+            s = score[j - 1, k - 1 :: -1] + before[j - k : j]  # the longest first
+            taken[j] = k - s.argmax(axis=0)
+            before[j] = s.max(axis=0)
+        for j in range(n, 0, -1):
+            k = min(j, width)
+            score[j - 1, :k] += after[j]
+            np.maximum(after[j - k : j], score[j - 1, k - 1 :: -1], out=after[j - k : j])
+            score[j - 1, k - 1 :: -1] += before[j - k : j]
+        # score is now that of the best path through each edge
+        every = np.arange(many)
+        at, who, steps = np.full(many, n), every, []
+        while len(who):
+            size = taken[at, who]
+            steps.append((who, ids[at - 1, size - 1, who]))
+            score[at - 1, size - 1, who] = -np.inf
+            at = at - size
+            who, at = who[at > 0], at[at > 0]
+        best = before[n]
+        loss = best - score.max(axis=(0, 1))
+        who, chosen = (np.concatenate(x[::-1]) for x in zip(*steps, strict=True))
+        order = np.argsort(who, kind="stable")  # of each text, its pieces from first to last
+        chosen, ends = chosen[order].tolist(), np.cumsum(np.bincount(who, minlength=many)).tolist()
+        return [(b, tuple(chosen[i:j]), x) for b, x, i, j in zip(best.tolist(), loss.tolist(), [0, *ends], ends)]
 
     def word_paths(self, word: str, n: int) -> list[Path]:
         """The ``n`` best segmentations of a word."""
@@ -195,36 +238,43 @@ class Encoder:
 
     def __init__(self, model_path: str, limit: int = 400_000):
         self.pieces, self.limit = Pieces(model_path), limit
-        self.parts: dict[str, tuple[float, tuple[int, ...], float]] = {}
+        self.parts: dict[str, Known] = {}
         self.older = self.parts
         self.ranked: dict[str, list[Path]] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.names: list[str] = []
         self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.scores, self.losses = np.empty(0), np.empty(0)
 
     def learn(self, words: list[str]) -> None:
+        """Takes in words that have numbers already, in the order of these."""
+        cut = [self.pieces.parts(w) for w in words]
+        table, older = self.parts, self.older
+        new = set(chain.from_iterable(cut)).difference(table)
+        held = new.intersection(older)
+        table.update((p, older[p]) for p in held)
+        fresh = sorted(new.difference(held))
+        table.update(zip(fresh, self.pieces.first_twos(fresh), strict=True))
         ids, lengths, scores, losses = [], [], [], []
-        for w in words:
-            n, score, loss = 0, 0.0, np.inf
-            for p in self.pieces.parts(w):
-                known = self.parts.get(p)
-                if known is None:
-                    known = self.older.get(p)
-                    if known is None:
-                        known = self.pieces.first_two(p)
-                    self.parts[p] = known
-                score += known[0]
-                ids.extend(known[1])
-                n += len(known[1])
-                loss = min(loss, known[2])
-            lengths.append(n)
+        for parts in cut:
+            if len(parts) == 1:
+                score, found, loss = table[parts[0]]
+                ids.extend(found)
+                lengths.append(len(found))
+            else:
+                n, score, loss = 0, 0.0, np.inf
+                for p in parts:
+                    known = table[p]
+                    score += known[0]
+                    ids.extend(known[1])
+                    n += len(known[1])
+                    loss = min(loss, known[2])
+                lengths.append(n)
             scores.append(score)
             losses.append(loss)
-        self.number.update(zip(words, range(len(self.names), len(self.names) + len(words)), strict=True))
         self.names += words
         self.flat = np.concatenate((self.flat, np.array(ids, np.uint32)))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(lengths)))
@@ -232,21 +282,24 @@ class Encoder:
 
     def encode(self, texts: list[str], n: int) -> list[list[tuple[float, np.ndarray]]]:
         """For each text, the (score, ids) of its ``n`` best segmentations (fewer if there are no more)."""
-        if len(self.number) > self.limit:
+        if len(self.names) > self.limit:
             self._clear()
         if len(self.parts) > self.limit // 2:  # of parts, the last two generations are kept
             self.older, self.parts = self.parts, {}
         if len(self.ranked) > self.limit // 10:
             self.ranked.clear()
-        split = [self.pieces.words(t) for t in texts]
-        if new := list(set().union(*split).difference(self.number)):
-            self.learn(sorted(new))
-        return [self._best(words, n) for words in split]
-
-    def _best(self, words: list[str], n: int) -> list[tuple[float, np.ndarray]]:
-        if not words:
+        coded = []
+        for t in texts:
+            words = self.pieces.words(t)
+            coded.append(np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)))
+        if self.number.new:
+            self.learn(self.number.new)
+            self.number.new = []
+        return [self._best(k, n) for k in coded]
+
+    def _best(self, k: np.ndarray, n: int) -> list[tuple[float, np.ndarray]]:
+        if not len(k):
             return [(0.0, np.empty(0, np.uint32))]
-        k = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         lengths = self.starts[k + 1] - self.starts[k]
         ends = np.cumsum(lengths)
         ids = self.flat[np.arange(ends[-1]) + np.repeat(self.starts[k] - (ends - lengths), lengths)]
@@ -258,9 +311,10 @@ class Encoder:
         at = [int(i) for i in least if losses[i] < np.inf]
         lists = []
         for i in at:
-            x = self.ranked.get(words[i])
+            word = self.names[k[i]]
+            x = self.ranked.get(word)
             if x is None or len(x) < n:
-                x = self.ranked[words[i]] = self.pieces.word_paths(words[i], n)
+                x = self.ranked[word] = self.pieces.word_paths(word, n)
             lists.append(x[:n])
         out = []
         for ranks in best_sums([[p[0] for p in x] for x in lists], n):
