@@ -20,9 +20,11 @@ text with a word is one shingle. Two texts are linked if their sets have a Jacca
    verified, ruled out or within one component, and the classes are those of all candidate pairs,
    without a pair for each two members of a group.
 
+6. Within each component, every text's links are counted exactly, block by block (``link_counts``).
+
 The result has one row per document: ``class_id`` (the smallest doc_id of its component), the number
-of documents of the class, and ``n_links``: how many other different texts the document's text was
-verified against and found linked with (a text of a class of several texts has one at least).
+of documents of the class, and ``n_links``: how many other different texts are linked with the document's.
+Links join texts of one component, so none is missing but those of pairs that no band brought together.
 
 Defined results: null, empty and blank texts have no shingles: copies of such a text are one class
 (null apart from empty) without links; a null doc_id gets a class id like any other (null only if
@@ -41,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from .common import batch, bucketed, lower_words, small_batches, stored, text_bytes
+from .link_counts import component_links
 
 SIGNATURES = pa.schema([("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -67,17 +70,16 @@ def jaccard(a: set, b: set) -> float:
     return both / (len(a) + len(b) - both) if a or b else 0.0
 
 
-def signatures(texts: list[bytes], n: int, bands: int, rows: int, seed: int = 7) -> list[np.ndarray]:
-    """The band hashes of each text; none for a text without words."""
-    words = [lower_words(t) for t in texts]
+def shingle_codes(texts: list[bytes], n: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """64-bit codes of the shingles of each text, in their order; none for a text without words."""
     number: dict[bytes, int] = {}
-    coded = [np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)) for ws in words]
+    coded = [np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int64, len(ws)) for ws in map(lower_words, texts)]
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))
-    rng = np.random.default_rng(seed)
     place = rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shingles, full = [], []
+    out = []
     for c in coded:
         if not len(c):
+            out.append(np.empty(0, np.uint64))
             continue
         k = min(n, len(c))
         h = hashes[c]
@@ -85,8 +87,17 @@ def signatures(texts: list[bytes], n: int, bands: int, rows: int, seed: int = 7)
         s ^= s >> np.uint64(31)
         s *= _SPREAD
         s ^= s >> np.uint64(29)
-        shingles.append(s)
+        out.append(s)
+    return out
+
+
+def signatures(texts: list[bytes], n: int, bands: int, rows: int, seed: int = 7) -> list[np.ndarray]:
+    """The band hashes of each text; none for a text without words."""
+    rng = np.random.default_rng(seed)
+    each = shingle_codes(texts, n, rng)
+    shingles = [s for s in each if len(s)]
     out: list[np.ndarray] = []
+    full: list[np.ndarray] = []
     if shingles:
         starts = np.cumsum([0, *map(len, shingles[:-1])])
         every = np.concatenate(shingles)
@@ -100,8 +111,8 @@ def signatures(texts: list[bytes], n: int, bands: int, rows: int, seed: int = 7)
             band[b] ^= band[b] >> np.uint64(32)
         full = list(band.T.astype(np.int64))
     at = iter(full)
-    for c in coded:
-        out.append(next(at) if len(c) else np.empty(0, np.int64))
+    for s in each:
+        out.append(next(at) if len(s) else np.empty(0, np.int64))
     return out
 
 
@@ -151,8 +162,8 @@ def shared_shingles(texts: DataFrame, n: int) -> DataFrame:
     return sizes.join(alone, "node", "left").select("node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
-def link_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9999, max_hashes: int = 192) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(nodes, labels, links): node, first doc_id, copies; node, label of linked nodes; verified links."""
+def link_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9999, max_hashes: int = 192) -> tuple[DataFrame, DataFrame]:
+    """(unique, labels): node, first_id, copies, text; node, label of linked nodes."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), node(text_col).alias("node"), text_bytes(text_col).alias("text"))
 
@@ -162,7 +173,6 @@ def link_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     # one row for each text; as the table is bucketed by node, texts are looked up without a second shuffle
     unique = bucketed(base.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("text").alias("text")), "node")
-    nodes = unique.select("node", "first_id", "copies")
     signed = unique.select("node", "text").mapInArrow(sign, "node binary, bands array<long>")
     signed = stored(signed.select("node", F.explode("bands").alias("bucket")), "bands")
 
@@ -201,14 +211,18 @@ def link_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = stored(connected_components(links, "a", "b"), "labels")
-    return nodes, labels, links
-
-
-def similar_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """node, class_id, class_size, n_links of every different text."""
-    nodes, labels, links = link_texts(docs, id_col=id_col, text_col=text_col, **options)
-    degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    told = nodes.join(labels, "node", "left").join(degrees, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return unique, labels
+
+
+def similar_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, count_links: bool = True, **options) -> DataFrame:
+    """node, class_id, class_size, n_links (null unless asked for) of every different text."""
+    unique, labels = link_texts(docs, id_col=id_col, text_col=text_col, n=n, threshold=threshold, **options)
+    told = unique.select("node", "first_id", "copies").join(labels, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"))
+    if count_links:
+        code = lambda texts: shingle_codes(texts, n, np.random.default_rng(11))
+        told = told.join(component_links(unique, labels, code, threshold), "node", "left").fillna(0, subset=["n_links"])
+    else:
+        told = told.withColumn("n_links", F.lit(None).cast("long"))
     told = stored(told, "nodes")
     classes = told.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("kept"))
     return told.join(classes, "label").select("node", "class_id", "class_size", "n_links", (F.col("kept.node") == F.col("node")).alias("holds_kept"), "first_id")
@@ -226,7 +240,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     kept_node, kept_id = "_kept_node", "_kept_id"
     while kept_node in docs.columns or kept_id in docs.columns:
         kept_node, kept_id = "_" + kept_node, "_" + kept_id
-    classes = similar_classes(docs, id_col=id_col, text_col=text_col, **options)
+    classes = similar_classes(docs, id_col=id_col, text_col=text_col, count_links=False, **options)
     kept = stored(classes.where("holds_kept").select(F.col("node").alias(kept_node), F.col("first_id").alias(kept_id)), "kept")
     one = docs.join(kept, (node(text_col) == F.col(kept_node)) & F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)))
     # rows that repeat both id and text are left only

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from roadrisk.llm import decontam, hmm_lm, ngram_join, ordinal_toxicity, pii_anchor, risk_thresholds, warc_index
+from roadrisk.llm import decontam, hmm_lm, link_counts, ngram_join, ordinal_toxicity, pii_anchor, risk_thresholds, warc_index
 from roadrisk.operators.components import connected_components
 
 from .conftest import WORDS, prose
@@ -163,16 +163,44 @@ def test_classes_and_links(session, no_docs):
     expected = {c: min(i for i, x in zip(ids, classes, strict=True) if x == c) for c in set(classes)}
     assert {i: expected[c] for i, c in zip(ids, classes, strict=True)} == {i: r["class_id"] for i, r in found.items()}
     sizes = Counter(r["class_id"] for r in found.values())
-    partners = {i for a, b in plain_links(texts) for i in (a, b) if (texts[a] or "") != (texts[b] or "")}
+    partners = {}  # different texts that each text is linked with
+    for a, b in plain_links(texts):
+        if texts[a] != texts[b]:
+            partners.setdefault(texts[a], set()).add(texts[b])
+            partners.setdefault(texts[b], set()).add(texts[a])
     for k, (i, t) in enumerate(zip(ids, texts, strict=True)):
         assert found[i]["class_size"] == sizes[found[i]["class_id"]]
-        assert (found[i]["n_links"] > 0) == (k in partners)
+        assert found[i]["n_links"] == len(partners.get(t, ()))
     assert ngram_join.ngram_join(no_docs).count() == 0
     kept = ngram_join.keep_one(docs.withColumn("_kept_node", docs["node"]))
     assert kept.columns == ["doc_id", "text", "node", "bucket", "_kept_node"]
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(expected.values())
 
 
+@pytest.mark.parametrize("most", [512, 7])
+def test_links_of_blocks(session, monkeypatch, most):
+    """The same counts in one block and in many."""
+    monkeypatch.setattr(link_counts, "MOST_TEXTS", most)
+    texts = sorted({t for t in near_copies() if t and len(t) > 100})
+    links = Counter(i for a, b in plain_links(texts) for i in (a, b))
+    rows = session.createDataFrame([(f"{k}".encode(), t.encode()) for k, t in enumerate(texts)], "node binary, text binary")
+    labels = rows.selectExpr("node", "cast('all' as binary) label")
+    code = lambda ts: ngram_join.shingle_codes(ts, 5, np.random.default_rng(1))
+    got = {int(r["node"]): r["n_links"] for r in link_counts.component_links(rows, labels, code, 0.8).collect()}
+    assert got == {k: links[k] for k in range(len(texts))}
+
+
+@pytest.mark.parametrize("columns", [3, 4096])
+def test_overlaps_of_sets(monkeypatch, columns):
+    monkeypatch.setattr(link_counts, "COLUMNS", columns)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))).astype(np.uint64) for _ in range(23)]
+    want = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    assert link_counts.overlaps(sets, None).tolist() == want
+    assert link_counts.overlaps(sets[:9], sets[9:]).tolist() == [r[9:] for r in want[:9]]
+    assert link_counts.overlaps([sets[0]], [np.asarray([99], np.uint64)]).tolist() == [[0]]
+
+
 def test_join_of_odd_rows(odd_docs):
     rows = ngram_join.ngram_join(odd_docs).collect()
     assert len(rows) == odd_docs.count()
