@@ -1,17 +1,18 @@
 """Personal data by anchor expansion.
 
-One Aho-Corasick pass finds anchors: at-signs, plus signs, digits, ``://`` and cues of identifiers
-(``iban``, ``password``, ``token``, ``AKIA``, ``account``). A deterministic parser per kind expands
-each anchor to the left and right and validates it:
+One Aho-Corasick pass over the text with A-Z lower-cased finds anchors: at-signs, plus signs, digits, ``://``
+and cues of identifiers (``CUES``: ``iban``, ``password``, ``api_key``, key prefixes, private key headers ...).
+A deterministic parser per kind expands each anchor to the left and right and validates it:
 
 * ``email``  ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+`` around an at-sign
 * ``ip``     four dotted numbers of at most 255 from a digit
 * ``card``   14 to 19 digits with single blanks or hyphens between, passing Luhn
 * ``phone``  ``\\+[0-9][\\x20().0-9-]+[0-9]`` with 10 to 15 digits from a plus sign
 * ``url``    scheme letters to the left of ``://`` and the authority and path to the right
-* ``iban``   two letters, two check digits and 11 to 30 characters after the cue, mod 97 = 1
+* ``iban``   two letters, two check digits and the rest, mod 97 = 1: of the country's length, single blanks between, at
+  its first digit (with no letter or digit before); of any length from 15 to 34 after the cue, if the country is not known
 * ``account`` 6 to 17 digits after an account cue
-* ``secret`` the value after ``password=`` or ``token =``, and AKIA key ids of 20 characters
+* ``secret`` the value after ``password=``, ``token: `` and the like, keys of known prefixes, private keys
 
 Per kind, spans are leftmost and do not overlap: a parser starts at or after the end of the last
 match of its kind, and a match that fails validation is dropped without another try. Offsets are
@@ -44,17 +45,31 @@ _IP = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[A-Za-z0-9\[][^\s\"'<>]*")
-_IBAN = re.compile(r"[^A-Za-z0-9\n]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"(?:\x20(?:no|number|nr)\b)?[.:#=\x20]{1,4}([0-9]{6,17})(?![0-9])")
-_SECRET = re.compile(r"\x20?[=:]\x20?[\"']?([A-Za-z0-9+/_.-]{8,})[\"']?")
-_AKIA = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"[^A-Za-z0-9\n]{0,4}(?=[A-Z]{2}[0-9]{2})")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_ACCOUNT = re.compile(r"(?:\x20(?i:no|number|nr)\b)?[.:#=\x20]{1,4}([0-9]{6,17})(?![0-9])")
+_SECRET = re.compile(r"[\"']?\x20?[=:]\x20?[\"']?([A-Za-z0-9+/_.-]{8,})[\"']?")
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+# ---- fixed values: lengths of account numbers by country, shapes of keys with a known prefix ----
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18,
+    "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23,
+    "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27,
+    "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27,
+    "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+KEYS = {
+    "akia": r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", "asia": r"ASIA[A-Z0-9]{16}(?![A-Za-z0-9])", "aiza": r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])",
+    "ghp_": r"ghp_[A-Za-z0-9]{36}(?![A-Za-z0-9])", "xox": r"xox[abprs]-[A-Za-z0-9-]{10,}", "sk_live_": r"sk_live_[A-Za-z0-9]{16,}",
+    "-----begin": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----)?",
+}
+_KEYS = {cue: re.compile(rule) for cue, rule in KEYS.items()}
 
-#: Cue texts and the parser that they start; matched as written here.
+#: Cue texts (of any case) and the parser that they start.
 CUES = {
-    "iban": "iban", "Iban": "iban", "IBAN": "iban",
-    "account": "account", "Account": "account", "ACCOUNT": "account", "acct": "account", "Acct": "account",
-    "password": "secret", "Password": "secret", "PASSWORD": "secret", "token": "secret", "Token": "secret", "TOKEN": "secret",
-    "AKIA": "akia",
+    "iban": "iban", "account": "account", "acct": "account", "password": "secret", "passwd": "secret", "pwd": "secret", "token": "secret", "secret": "secret",
+    "api_key": "secret", "api-key": "secret", "apikey": "secret", "access_key": "secret", **{cue: "key" for cue in KEYS},
 }
 
 
@@ -66,7 +81,7 @@ def anchors() -> ahocorasick.Automaton:
     a.add_word("+", "plus")
     a.add_word("://", "scheme")
     for cue, parser in CUES.items():
-        a.add_word(cue, parser)
+        a.add_word(cue, cue if parser == "key" else parser)
     a.make_automaton()
     return a
 
@@ -79,9 +94,34 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_at(text: str, start: int) -> int:
+    """The end of a valid account number of a known country that starts at ``start``; 0 without one."""
+    n = IBAN_LENGTHS.get(text[start : start + 2], 0)
+    at = start
+    while n and at < len(text):
+        c = text[at]
+        if c in _IBAN_CHARS:
+            n -= 1
+        elif c != " " or text[at - 1] == " ":
+            return 0
+        at += 1
+    return at if at > start and not n and text[at : at + 1] not in _ALNUM and iban_ok(text[start:at]) else 0
+
+
+_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_ALNUM = _IBAN_CHARS | frozenset("abcdefghijklmnopqrstuvwxyz")
+
+
+def trimmed_url(url: str) -> str:
+    """``url`` without the marks of the sentence around it: a closing bracket stays if it was opened inside."""
+    while url and (url[-1] in ".,;:!?" or (url[-1] in ")]" and url.count(url[-1]) > url.count("([" [")]".index(url[-1])]))):
+        url = url[:-1]
+    return url
+
+
 def iban_ok(value: str) -> bool:
     v = value.replace(" ", "")
-    return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+    return v[2:4].isdigit() and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
 
 
 def find_spans(text: str, a: ahocorasick.Automaton) -> list[tuple[int, str, int]]:
@@ -95,8 +135,10 @@ def find_spans(text: str, a: ahocorasick.Automaton) -> list[tuple[int, str, int]
         if good:
             out.append((start, kind, end))
 
-    for end, what in a.iter(text):
+    for end, what in a.iter(text.lower() if text.isascii() else text.translate(_LOWER)):
         if what == "digit":
+            if end >= 2 and end - 2 >= past["iban"] and text[end - 2 : end] in IBAN_LENGTHS and (end == 2 or text[end - 3] not in _ALNUM) and (stop := iban_at(text, end - 2)):
+                take("iban", end - 2, stop)
             if end >= past["card"] and (m := _CARD.match(text, end)):
                 digits = re.sub(r"[\x20-]", "", m.group())
                 take("card", end, m.end(), 14 <= len(digits) <= 19 and luhn(digits))
@@ -121,19 +163,20 @@ def find_spans(text: str, a: ahocorasick.Automaton) -> list[tuple[int, str, int]
             while start < end - 2 and not text[start].isalpha():
                 start += 1
             if start < end - 2 and (m := _URL_REST.match(text, end + 1)):
-                stop = end + 1 + len(m.group().rstrip(".,;:!?)]"))
+                stop = end + 1 + len(trimmed_url(m.group()))
                 if stop > end + 1:
                     take("url", start, stop)
-        elif what == "iban":
-            if end >= past["iban"] and (m := _IBAN.match(text, end + 1)) and iban_ok(m.group(1)):
-                take("iban", *m.span(1))
+        elif what == "iban":  # of a country that is not known: the digits of the others find them
+            start = m.end() if (m := _IBAN_START.match(text, end + 1)) else end
+            if start >= past["iban"] and text[start : start + 2] not in IBAN_LENGTHS and (m := _IBAN.match(text, start)) and iban_ok(m.group()):
+                take("iban", *m.span())
         elif what == "account":
             if end >= past["account"] and (m := _ACCOUNT.match(text, end + 1)):
                 take("account", *m.span(1))
         elif what == "secret":
             if end >= past["secret"] and (m := _SECRET.match(text, end + 1)):
                 take("secret", *m.span(1))
-        elif end - 3 >= past["secret"] and (m := _AKIA.match(text, end - 3)):
+        elif end + 1 - len(what) >= past["secret"] and (m := _KEYS[what].match(text, end + 1 - len(what))):
             take("secret", *m.span())
     out.sort(key=lambda s: (s[0], _ORDER[s[1]]))
     return out
