@@ -1,17 +1,21 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule is a number in [0, 1] of a document (share of symbols, upper case, repeated lines ...);
-a document is rejected by a rule if its number lies above the cutoff of its stratum (language).
-Cutoffs come from labelled good documents: for a stratum with n good documents, k of which a cutoff
+Each rule is a number in [0, 1] of a document (share of symbols, upper case, repeated lines ...). One half of
+the labelled documents (by a hash of their id) tells how much evidence a rule's number is against a
+document: the logarithm of how much likelier bad documents reach it than good ones, never falling and never
+below 0. A document's score is the sum over the rules, scaled to bins 0 .. 100; it is rejected if its score lies above the
+cutoff of its stratum (language).
+
+Cutoffs come from the other half, the holdout: for a stratum with n good documents, k of which a cutoff
 would reject, the false rejection rate is above ``alpha`` with p-value P(Bin(n, alpha) <= k), the
 exact binomial bound. Cutoffs are tested from the mildest to the strictest (a fixed sequence, which
-stops at the first that can't be certified). The level ``delta`` is divided by the number of strata
-times rules (Bonferroni), and ``alpha`` by the number of rules, so that with probability at least
-1 - delta, in every stratum at once, all rules together reject at most ``alpha`` of good documents.
-A stratum with too few labels gets no cutoff and loses nothing to the method.
+stops at the first that can't be certified), and the level ``delta`` is divided by the number of strata
+(Bonferroni), so that with probability at least 1 - delta the rules together reject at most ``alpha`` of the good
+documents in every stratum at once. One score for all rules needs one test in each stratum, with the whole ``alpha``: some
+220 good holdout documents of a stratum are enough for a cutoff. A stratum with fewer gets none and loses nothing to the method.
 
-Counts, bins and cutoffs cover all labelled rows: Spark counts good documents per stratum, rule and
-bin, and only that table (strata x rules x 101 rows at most) reaches the driver.
+Counts, bins and cutoffs cover all labelled rows: Spark counts documents by rule and bin, then good holdout documents
+by stratum and score, and only these tables (7 x 101 x 2 rows, strata x 101 rows at most) reach the driver.
 
 Defined results: a null or empty text has no words and so fails the base rule; a null language is a
 stratum of its own; a document with several labels counts as good only if all say so; a label of
@@ -21,6 +25,7 @@ null is left out; repeated documents each get a row; extra columns are left out.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -122,50 +127,79 @@ def certified_cutoff(above: list[int], n: int, alpha: float, level: float) -> in
     """
     cut = BINS
     for c in range(BINS - 1, -1, -1):
-        if binomial_cdf(above[c], n, alpha) > level:
+        # more than n alpha + 1 rejections are over any level below a half, whatever the tail
+        if above[c] > n * alpha + 1 or binomial_cdf(above[c], n, alpha) > level:
             break
         cut = c
     return cut
 
 
-def cutoffs(good_bins: dict[tuple[str, int], dict[int, int]], strata: list[str], alpha: float, delta: float) -> dict[str, list[int]]:
-    """The cutoff bin of every stratum and rule from counts of good documents by bin."""
-    level = delta / max(1, len(strata) * len(RULES))
+def cutoffs(good_bins: dict[tuple[str, int], dict[int, int]], strata: list[str], alpha: float, delta: float, rules: int = len(RULES)) -> dict[str, list[int]]:
+    """The cutoff bin of every stratum and of each of ``rules`` numbers from counts of good documents by bin; both levels are shared out."""
+    level = delta / max(1, len(strata) * rules)
     out = {}
     for s in strata:
         cuts = []
-        for r in range(len(RULES)):
+        for r in range(rules):
             counts = good_bins.get((s, r), {})
             above = [sum(v for b, v in counts.items() if b > c) for c in range(BINS)]
-            cuts.append(certified_cutoff(above, sum(counts.values()), alpha / len(RULES), level))
+            cuts.append(certified_cutoff(above, sum(counts.values()), alpha / rules, level))
         out[s] = cuts
     return out
 
 
-def fit_cutoffs(measured: DataFrame, labels: DataFrame, *, alpha: float = 0.02, delta: float = 0.05) -> dict[str, list[int]]:
-    """Cutoffs per stratum from a frame (doc_id, stratum, bins, base_failed) and labels (doc_id, quality).
+def rule_weights(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Evidence of each rule's bins (rules x bins) from counts of good and bad documents."""
+    tail = lambda c: np.cumsum(c[:, ::-1], axis=1)[:, ::-1]
+    reached, above = tail(bad) / np.maximum(bad.sum(axis=1, keepdims=True), 1), (tail(good) + 1) / (good.sum(axis=1, keepdims=True) + 1)
+    with np.errstate(divide="ignore"):
+        evidence = np.maximum(np.log(reached / above), 0)
+    return np.maximum.accumulate(evidence, axis=1)
 
-    Documents that the base rule rejects are not part of the holdout: the method doesn't decide them.
-    """
-    good = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
-    counts = (
-        measured.where(~F.col("base_failed")).select("doc_id", "stratum", "bins").join(good, "doc_id", "left_semi")
-        .select("stratum", F.posexplode("bins").alias("rule", "bin")).groupBy("stratum", "rule", "bin").count().collect()
-    )
-    by: dict[tuple[str, int], dict[int, int]] = {}
-    for r in counts:
-        by.setdefault((r["stratum"], r["rule"]), {})[r["bin"]] = r["count"]
-    return cutoffs(by, sorted({s for s, _ in by}), alpha, delta)
 
+@dataclass(frozen=True)
+class Verdicts:
+    """Evidence by rule and bin, and the cutoff score of each stratum."""
+
+    weights: np.ndarray
+    cuts: dict[str, int]
+
+    def score(self, bins: Column) -> Column:
+        """The score bin of a document with these rule bins."""
+        top = float(self.weights.max(axis=1, initial=0).sum())
+        if not top:
+            return F.lit(0)
+        total = sum((F.get(F.lit(w.tolist()), bins[r]) for r, w in enumerate(self.weights)), start=F.lit(0.0))
+        return F.least(F.ceil(total * (BINS / top)).cast("int"), F.lit(BINS))
 
-def rejected(cuts: dict[str, list[int]], in_stratum: Column, bins: Column) -> Column:
-    """The method's verdict: a bin over its stratum's cutoff."""
-    verdict = F.lit(False)
-    for s, c in cuts.items():
-        for r, v in enumerate(c):
-            if v < BINS:
-                verdict = verdict | ((in_stratum == s) & (bins[r] > v))
-    return verdict
+    def rejected(self, in_stratum: Column, bins: Column) -> Column:
+        """The method's verdict: a score over the stratum's cutoff."""
+        cuts = {s: c for s, c in self.cuts.items() if c < BINS}
+        if not cuts:
+            return F.lit(False)
+        named = F.create_map(*[F.lit(x) for kv in cuts.items() for x in kv])
+        return self.score(bins) > F.coalesce(F.try_element_at(named, in_stratum), F.lit(BINS))
+
+
+def fit(measured: DataFrame, labels: DataFrame, *, alpha: float = 0.02, delta: float = 0.05) -> Verdicts:
+    """Weights and cutoffs from a frame (doc_id, stratum, bins, base_failed) and labels (doc_id, quality).
+
+    Documents that the base rule rejects take no part: the method doesn't decide them.
+    """
+    told = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    half = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2
+    known = measured.where(~F.col("base_failed")).select("doc_id", "stratum", "bins").join(told, "doc_id").withColumn("holdout", half == 1)
+    known = stored(known, "labelled")
+    counts = np.zeros((2, len(RULES), BINS + 1))
+    for r in known.where(~F.col("holdout")).select("good", F.posexplode("bins").alias("rule", "bin")).groupBy("good", "rule", "bin").count().collect():
+        counts[int(r["good"] == 1), r["rule"], r["bin"]] += r["count"]
+    weights = rule_weights(counts[1], counts[0])
+    by: dict[tuple[str, int], dict[int, int]] = {}
+    scored = known.where("holdout and good = 1").select("stratum", Verdicts(weights, {}).score(F.col("bins")).alias("score"))
+    for r in scored.groupBy("stratum", "score").count().collect():
+        by.setdefault((r["stratum"], 0), {})[r["score"]] = r["count"]
+    found = cutoffs(by, sorted({s for s, _ in by}), alpha, delta, rules=1)
+    return Verdicts(weights, {s: c for s, (c,) in found.items()})
 
 
 def stratum(col: str) -> Column:
@@ -176,8 +210,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """doc_id, stratum, counts, bins, base_failed and kept of every document."""
     found = docs.select(F.col(id_col).alias("doc_id"), stratum(stratum_col).alias("stratum"), measures(F.col(text_col)).alias("m")).select("doc_id", "stratum", "m.*")
     found = stored(found.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))), "quality")
-    cuts = fit_cutoffs(found, labels, alpha=alpha, delta=delta)
-    return found.withColumn("kept", ~F.col("base_failed") & ~rejected(cuts, F.col("stratum"), F.col("bins")))
+    verdicts = fit(found, labels, alpha=alpha, delta=delta)
+    return found.withColumn("kept", ~F.col("base_failed") & ~verdicts.rejected(F.col("stratum"), F.col("bins")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
@@ -188,10 +222,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     """
     found = docs.select(F.col(id_col).alias("doc_id"), stratum(stratum_col).alias("stratum"), measures(F.col(text_col)).alias("m"))
     found = found.select("doc_id", "stratum", "m.bins", base_failed(F.col("m.n_words"), F.col("m.n_repeat_words")).alias("base_failed"))
-    cuts = fit_cutoffs(stored(found, "quality"), labels, alpha=alpha, delta=delta)
+    verdicts = fit(stored(found, "quality"), labels, alpha=alpha, delta=delta)
     m = "_quality"
     while m in docs.columns:
         m = "_" + m
     whole = docs.withColumn(m, measures(F.col(text_col)))
-    good = ~base_failed(F.col(m).n_words, F.col(m).n_repeat_words) & ~rejected(cuts, stratum(stratum_col), F.col(m).bins)
+    good = ~base_failed(F.col(m).n_words, F.col(m).n_repeat_words) & ~verdicts.rejected(stratum(stratum_col), F.col(m).bins)
     return whole.where(good).select(*docs.columns)
