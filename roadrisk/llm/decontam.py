@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -147,12 +148,25 @@ def _united(base: DataFrame, parts: list) -> DataFrame:
     return joined.mapInArrow(spans, DDL)
 
 
+_AUTOMATA: dict[str, object] = {}
+
+
+def _held_automaton(name: str, held, width: int):
+    """The automaton of a broadcast, built once for each Python worker; the last few are kept."""
+    if name not in _AUTOMATA:
+        while len(_AUTOMATA) >= 4:
+            del _AUTOMATA[next(iter(_AUTOMATA))]
+        _AUTOMATA[name] = automaton(held.value, width)
+    return _AUTOMATA[name]
+
+
 def _has_window(held, width: int):
     """Whether texts have a window of the items in the broadcast ``held``."""
+    name = uuid.uuid4().hex
 
     @F.arrow_udf("boolean")
     def run(texts: pa.Array) -> pa.Array:
-        a = automaton(held.value, width)
+        a = _held_automaton(name, held, width)
         return pa.array([bool(scan(t, a)[2]) for at in range(0, len(texts), 512) for t in texts.slice(at, 512).to_pylist()], pa.bool_())
 
     return run
