@@ -24,6 +24,7 @@ import base64
 import bisect
 import hashlib
 import json
+import math
 import struct
 import uuid
 import zlib
@@ -95,6 +96,9 @@ def _gzip(data: bytes) -> bytes:
     return c.compress(data) + c.flush()
 
 
+#: Bytes of archives for each reading task, and of neighbouring records that stay together.
+_READ_BYTES, _STRETCH_BYTES = 4 << 20, 1 << 20
+
 CAPTURES = "key string, page_id long, row long, archive string, offset long, length long"
 CAPTURE_SCHEMA = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("row", pa.int64()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
@@ -266,8 +270,11 @@ def look_up(wanted: DataFrame, shards: list[tuple]) -> DataFrame:
     return ordered.mapInArrow(task, FOUND)
 
 
-def read_records(found: DataFrame) -> DataFrame:
-    """Each found capture's record, by one range read: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+def read_records(found: DataFrame, n_bytes: int) -> DataFrame:
+    """Each found capture's record, by one range read: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    ``n_bytes`` of records, as they lie in the archives, decide into how many tasks the reads are dealt.
+    """
     out = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
     def number(x: str | None) -> int | None:
@@ -290,8 +297,8 @@ def read_records(found: DataFrame) -> DataFrame:
                 yield batch(out, zip(*rows, strict=True))
 
     # found captures of one archive lie in many index ranges: deal them out by archive and stretch, then read ahead
-    stretch = (F.col("offset") / (8 << 20)).cast("long")
-    ordered = found.where("archive is not null").select("archive", "offset", "length").repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    stretch = (F.col("offset") / _STRETCH_BYTES).cast("long")
+    ordered = found.where("archive is not null").select("archive", "offset", "length").repartition(max(1, math.ceil(n_bytes / _READ_BYTES)), "archive", stretch).sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(task, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
@@ -306,4 +313,5 @@ def archive(spark: SparkSession, pages: DataFrame, *, min_bytes: int = 0, block_
 def round_trip(pages: DataFrame, *, min_bytes: int = 0, block_lines: int = 1000, **columns) -> DataFrame:
     """Archives ``pages``, looks every page up in the index and reads its record back."""
     captures, shards = archive(pages.sparkSession, pages, min_bytes=min_bytes, block_lines=block_lines, **columns)
-    return read_records(look_up(captures, shards))
+    n_bytes = captures.agg(F.sum("length")).first()[0] or 0
+    return read_records(look_up(captures, shards), n_bytes)
