@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.core import safe_ratio, sum0, weighted_severity
+from ..functions.core import sum0, weighted_severity
 from ..functions.labels import BAND_ORDER, risk_band
 from ..schemas import SEVERITY_COLUMNS, require_columns
 
@@ -82,7 +82,7 @@ def cluster_centroids(clustered: DataFrame, cluster_col: str = "cluster_id", x:
     )
 
 
-def quantile_thresholds(df: DataFrame, score: str = "mean_weighted_severity", zero_is_no_data: bool = False) -> DataFrame:
+def quantile_thresholds(df: DataFrame, score: str = "mean_weighted_severity") -> DataFrame:
     """One row: exact linear-interpolation quantiles p50/p75/p90 of the non-null scores."""
     from .profile import percentiles
     q = percentiles(df, score, [0.5, 0.75, 0.9], ["p50", "p75", "p90"])
@@ -112,7 +112,3 @@ def top_k(df: DataFrame, by: str, k: int = 10, ascending: bool = False, tie: str
     ties = [tie] if isinstance(tie, str) else list(tie or [])
     o = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
     return df.orderBy(o, *[F.col(t).asc() for t in ties]).limit(k)
-
-
-def safe_share(part: Column, total: Column) -> Column:
-    return safe_ratio(part, total)

@@ -169,3 +169,10 @@ def best_model(spark, sf_dir):
     name = selection.best_of(selection.summary(_cv_scores(spark, sf_dir)))
     pred = selection.refit(_training(spark, sf_dir, CV_TREES, CV_ROUNDS), name, _test(spark, sf_dir))
     return evaluate.classification_metrics(pred, "label", "prediction").withColumn("model", F.lit(name))
+
+
+@register("logreg_smote_metrics")
+def logreg_smote_metrics(spark, sf_dir):
+    """ML7/ML8: logistic regression on training rows balanced by synthetic ones, without class weights -> test metrics."""
+    pred = selection.refit(_training(spark, sf_dir), "LogReg+SMOTE", _test(spark, sf_dir))
+    return evaluate.classification_metrics(pred, "label", "prediction")

@@ -99,6 +99,16 @@ def areas_without_fatal(spark, sf_dir):
     return R.community_risk(some).filter(F.col("total_crashes") == 0).select("community_area_number")
 
 
+_REORDERED = D.CrashFilter(lighting=list(reversed(L.LIGHTING_NAMES)), months=[2, 1])
+
+
+@register("filter_reordered", sql(
+    f"SELECT crash_id FROM dash WHERE coalesce(LIGHTING_CONDITION IN ({', '.join(q(v) for v in L.LIGHTING_NAMES)}), false) AND coalesce(crash_month IN (1, 2), false)"))
+def filter_reordered(spark, sf_dir):
+    """FI14: a full list in another order does filter: values that it does not name, and nulls, are left out."""
+    return D.apply_filters(S.dashboard_crashes(spark, sf_dir), _REORDERED).select("crash_id")
+
+
 # ---- published result sets ----
 
 

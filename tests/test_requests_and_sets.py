@@ -152,3 +152,34 @@ def test_form_lists(spark):
     assert [r["c"] for r in codes.collect()] == [1, 3, -1]
     names = spark.range(0, 9).select(L.display_name(L.DAMAGE_NAMES, F.col("id").cast("int")).alias("n"))
     assert [r["n"] for r in names.collect()][1] == "$1-500" and [r["n"] for r in names.collect()][7:] == ["Unknown", None]
+
+
+def test_literal_names(spark):
+    """Pairs written out here, not taken from the module's maps."""
+    pairs = [
+        (L.WEATHER_NAMES, "FREEZING RAIN/DRIZZLE", "Freezing Rain"), (L.WEATHER_NAMES, "SEVERE CROSS WIND GATE", "Severe Wind"), (L.WEATHER_NAMES, "CLOUDY/OVERCAST", "Cloudy"),
+        (L.LIGHTING_NAMES, "DARKNESS", "Darkness - No Lights"), (L.LIGHTING_NAMES, "DARKNESS, LIGHTED ROAD", "Darkness - Street Lights"),
+        (L.SURFACE_NAMES, "SNOW OR SLUSH", "Snow/Slush"), (L.SURFACE_NAMES, "DRY", "Dry Surface"), (L.CRASH_TYPE_NAMES, "PEDALCYCLIST", "Cyclist"),
+        (L.CRASH_TYPE_NAMES, "PARKED MOTOR VEHICLE", "Parked Vehicle"), (L.DAMAGE_NAMES, 6, "$10,001+"),
+    ]
+    row = spark.range(1).select(*[L.display_name(m, F.lit(k)).alias(f"c{i}") for i, (m, k, _) in enumerate(pairs)]).first()
+    assert list(row) == [v for _, _, v in pairs]
+    codes = [("WEATHER_CONDITION", "HAIL", 8), ("LIGHTING_CONDITION", "DAWN", 4), ("PRIM_CONTRIBUTORY_CAUSE", "TEXTING", 15), ("SEC_CONTRIBUTORY_CAUSE", "TEXTING", 14), ("TRAFFICWAY_TYPE", "RAMP", 10),
+             ("FIRST_CRASH_TYPE", "TRAIN", 17), ("DEVICE_CONDITION", "FUNCTIONING PROPERLY", 2), ("INTERSECTION_RELATED_I", "N", 2), ("ROAD_DEFECT", "DEFECT", 1), ("CRASH_TIME_OF_DAY", "Night", 3)]
+    row = spark.range(1).select(*[F.lit(v).alias(c) for c, v, _ in codes]).select(*[L.vocab_encode(c).alias(c) for c, _, _ in codes]).first()
+    assert list(row) == [n for _, _, n in codes]
+
+
+def test_location_clusters_are_nearest(spark):
+    from roadrisk.operators.ml import location_cluster
+    rng = np.random.default_rng(6)
+    xy = rng.normal(size=(400, 2)) + rng.integers(0, 5, (400, 2)) * 10
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(xy)], "id long, LATITUDE double, LONGITUDE double")
+    out, model = location_cluster(df)
+    centres = np.stack(model.stages[-1].clusterCenters())
+    rows = {r["id"]: r["LOCATION_CLUSTER"] for r in out.collect()}
+    d = ((xy[:, None] - centres[None]) ** 2).sum(2)
+    assert len(centres) == 20 and len(rows) == 400
+    assert all(d[i, c] <= d[i].min() + 1e-9 for i, c in rows.items())
+    again, _ = location_cluster(df)
+    assert {r["id"]: r["LOCATION_CLUSTER"] for r in again.collect()} == rows
