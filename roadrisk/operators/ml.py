@@ -22,20 +22,27 @@ def _attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
     return df.withColumn("_one", F.lit(1)).join(F.broadcast(row.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
-def median_impute(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None) -> DataFrame:
-    """Fill nulls with the exact median (linear interpolation) of each column."""
+def median_impute(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the exact median (linear interpolation) of each column.
+
+    ``stats`` is a ready row of medians, for several tables that share it.
+    """
     from .profile import medians
     src = stats_from if stats_from is not None else df
-    out = _attach_row(df, medians(src, cols))  # all columns' exact medians in one pass
+    out = _attach_row(df, stats if stats is not None else medians(src, cols))  # all columns' exact medians in one pass
     return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols}).drop(
         *[f"_med_{c}" for c in cols])
 
 
-def standardize(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None) -> DataFrame:
-    """(x - mean) / population std; a zero std divides by 1."""
+def scaling(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One row: mean and population deviation of each column."""
+    return df.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
+
+
+def standardize(df: DataFrame, cols: list[str], stats_from: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """(x - mean) / population std; a zero std divides by 1. ``stats`` is a ready row of ``scaling``."""
     src = stats_from if stats_from is not None else df
-    st = src.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
-    out = _attach_row(df, st)
+    out = _attach_row(df, stats if stats is not None else scaling(src, cols))
     sd = lambda c: F.when(F.col(f"_sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}"))
     return out.withColumns({c: (F.col(c) - F.col(f"_mu_{c}")) / sd(c) for c in cols}).drop(
         *[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
@@ -54,10 +61,16 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
 
 
 def prepare(train: DataFrame, others: list[DataFrame], features: list[str], label: str):
-    """Median impute + standardise with train statistics, index the label, assemble vectors."""
+    """Median impute + standardise with train statistics, index the label, assemble vectors.
+
+    Both statistics are one row each, made once and kept for all tables.
+    """
+    from .profile import medians
     train = _checkpoint(train)  # statistics and both imputations read it
-    imp = [median_impute(d, features, stats_from=train) for d in [train, *others]]
-    scaled = [standardize(d, features, stats_from=imp[0]) for d in imp]
+    middle = _checkpoint(medians(train, features))
+    imp = [median_impute(d, features, stats=middle) for d in [train, *others]]
+    spread = _checkpoint(scaling(imp[0], features))
+    scaled = [standardize(d, features, stats=spread) for d in imp]
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     ready = [asm.transform(indexer.transform(d)) for d in scaled]
