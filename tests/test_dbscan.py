@@ -151,3 +151,23 @@ def test_hot_neighbouring_boxes_are_not_compared_point_by_point(spark):
         rows = [(i, la, lo, 1) for i, (la, lo) in enumerate(a + b)]
         df = spark.createDataFrame(rows, "crash_id long, lat double, lon double, community_area_number int")
         assert dbscan(df).select("cluster_id").distinct().count() == clusters
+
+
+def test_dense_area_compares_touching_boxes_only(spark, monkeypatch):
+    """A field that is dense throughout is one component by its touching boxes: no further pair of cells is opened."""
+    from roadrisk.operators import dbscan as module
+
+    rng = np.random.default_rng(9)
+    rows = [(i, 41.0 + float(a) * 0.02, -87.0 + float(b) * 0.02, 1) for i, (a, b) in enumerate(rng.random((6000, 2)))]
+    df = spark.createDataFrame(rows, "crash_id long, lat double, lon double, community_area_number int")
+    sizes, plain = [], module._checkpoint
+
+    def kept(d):
+        out = plain(d)
+        if "sure" in out.columns:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "_checkpoint", kept)
+    assert [tuple(r) for r in dbscan(df).select("cluster_id", "core_label").distinct().collect()] == [(0, 0)]
+    assert not any(sizes)
