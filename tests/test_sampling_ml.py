@@ -1,6 +1,7 @@
 """Split/fold invariants, exact sample size, evaluation tables and the attribution-share golden."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import numpy as np
+import functions as F
 
 from roadrisk.operators import evaluate as EV
 from roadrisk.operators.explain import attribution_share
@@ -78,3 +79,32 @@ def test_attribution_share_golden(spark):
         assert got[f]["percent_contribution"] == pct, f
     assert got["ROAD_DEFECT"]["preventive_measure"].startswith("Promptly repair")
     assert got["DAMAGE"]["preventive_measure"].startswith("Investigate")
+
+
+def test_ingest_runs_its_input_once(spark, tmp_path):
+    """The number of files comes from the source's size: no shuffle of the built table runs before the write does."""
+    from roadrisk.sources.fixture import ingest
+
+    spark.range(10).write.parquet(f"{tmp_path}/src.parquet")
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    got = ingest(spark, f"{tmp_path}/src.parquet", "once", lambda: spark.range(1000).mapInArrow(counted, "id long").groupBy("id").count())
+    assert got.count() == 1000 and rows.value == 1000
+
+
+def test_fold_statistics_are_made_once(spark, monkeypatch):
+    """A fold's medians serve its training rows and the rows held out."""
+    from roadrisk.operators import selection
+
+    df = spark.createDataFrame([(i, "ab"[i % 2], float(i % 7) if i % 5 else None, i % 3) for i in range(60)], "id long, y string, x double, fold int")
+    t, asked, plain = selection.Training(df, "id", "y", ["x"], 3), [], selection.medians
+    monkeypatch.setattr(selection, "medians", lambda *a: asked.append(1) or plain(*a))
+    train, test = t.scaled(1)
+    assert len(asked) == 1 and train.count() == 40 and test.count() == 20
+    v = np.asarray([r["x"] for r in train.collect()])
+    assert abs(v.mean()) < 1e-9 and abs(v.std() - 1) < 1e-9 and test.filter("x is null").count() == 0
