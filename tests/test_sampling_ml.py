@@ -1,7 +1,7 @@
 """Split/fold invariants, exact sample size, evaluation tables and the attribution-share golden."""
 
-from pyspark.sql import numpy as np
-import functions as F
+import numpy as np
+from pyspark.sql import functions as F
 
 from roadrisk.operators import evaluate as EV
 from roadrisk.operators.explain import attribution_share
