@@ -125,7 +125,22 @@ def load_crashes(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     src = f"{sf_dir}/orders.parquet"
     if not materialize:
         return crashes_from_orders(spark.read.parquet(src))
-    return ingest(spark, src, "crashes", lambda: crashes_from_orders(spark.read.parquet(src)))
+    def build() -> DataFrame:
+        # the few columns of the source are dealt out, not the wide rows made of them
+        orders = spark.read.parquet(src).select("o_orderkey", "o_custkey", "o_orderdate")
+        return crashes_from_orders(orders.repartition(_file_count(spark, source_bytes(spark, src))))
+
+    return ingest(spark, src, "crashes", build, n_files=0)
+
+
+def source_bytes(spark: SparkSession, src: str) -> int:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(src)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def _file_count(spark: SparkSession, held: int) -> int:
+    """At least one file per core so every later scan is parallel, more for a larger source."""
+    return max(spark.sparkContext.defaultParallelism, -(-held // FILE_BYTES))
 
 
 def ingest(spark: SparkSession, src: str, name: str, build, n_files: int | None = None) -> DataFrame:
@@ -135,7 +150,9 @@ def ingest(spark: SparkSession, src: str, name: str, build, n_files: int | None
     modification below it and this package's own code with its parameters, so a
     changed source or a changed operator is ingested again. The table is written under a new
     name and renamed when complete; of two sessions that write at once, one renames
-    and the other reads what is there.
+    and the other reads what is there. A table of a source of at most ``FILE_BYTES`` is dealt into a file
+    for each core; rows of a larger one are not shuffled again, they are written in the partitions that
+    ``build`` leaves. ``n_files`` sets the number of files, 0 that of the partitions.
     """
     from ..session import ensure_checkpoint_dir
 
@@ -154,12 +171,11 @@ def ingest(spark: SparkSession, src: str, name: str, build, n_files: int | None
     shared = done.getFileSystem(conf)
     if not shared.exists(done):
         df = build()
-        # at least one file per core so every later scan is parallel (a small
-        # single-file source would otherwise pin all queries to one task), more for a larger
-        # source; asking ``df.rdd`` for its partitions would run every shuffle before the write does
-        n = n_files or max(spark.sparkContext.defaultParallelism, -(-held.getLength() // FILE_BYTES))
+        # asking ``df.rdd`` for its partitions would run every shuffle before the write does
+        if n_files is None:
+            n_files = _file_count(spark, held.getLength()) if held.getLength() <= FILE_BYTES else 0
         new = f"{out}-{uuid.uuid4().hex[:12]}"
-        df.repartition(n).write.parquet(new)
+        (df.repartition(n_files) if n_files else df).write.parquet(new)
         if not shared.exists(done) and not shared.rename(jvm.org.apache.hadoop.fs.Path(new), out_path):
             return spark.read.parquet(new)
     return spark.read.parquet(out)

@@ -108,3 +108,23 @@ def test_fold_statistics_are_made_once(spark, monkeypatch):
     assert len(asked) == 1 and train.count() == 40 and test.count() == 20
     v = np.asarray([r["x"] for r in train.collect()])
     assert abs(v.mean()) < 1e-9 and abs(v.std() - 1) < 1e-9 and test.filter("x is null").count() == 0
+
+
+def test_ingest_of_a_large_source_shuffles_no_built_rows(spark, tmp_path, monkeypatch):
+    """A table of a source above FILE_BYTES is written in the partitions it has; the crash table deals out its source's few columns."""
+    import datetime
+    import glob
+
+    from roadrisk.session import ensure_checkpoint_dir
+    from roadrisk.sources import fixture
+
+    monkeypatch.setattr(fixture, "FILE_BYTES", 256)
+    spark.range(100).selectExpr("id AS o_orderkey", "id AS o_custkey").withColumn("o_orderdate", F.lit(datetime.datetime(2024, 3, 1))).write.parquet(f"{tmp_path}/orders.parquet")
+    got = fixture.ingest(spark, f"{tmp_path}/orders.parquet", "wide", lambda: spark.range(0, 1000, 1, 3))
+    assert got.count() == 1000 and len(got.inputFiles()) == 3
+    dealt = []
+    monkeypatch.setattr(fixture, "crashes_from_orders", lambda orders, plain=fixture.crashes_from_orders: dealt.append(orders) or plain(orders))
+    crashes = fixture.load_crashes(spark, str(tmp_path))
+    assert crashes.count() == 100 and crashes.columns == fixture.crashes_from_orders(dealt[0]).columns
+    assert dealt[0].columns == ["o_orderkey", "o_custkey", "o_orderdate"] and dealt[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert glob.glob(f"{ensure_checkpoint_dir(spark)}".removeprefix("file:") + "/ingest/wide-*")
