@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import send_package
-from .profile import quantiles
+from .dbscan import _checkpoint
+from .profile import frequencies, quantiles_of, unpivoted
 
 CHUNK = 1000
 
@@ -44,12 +45,16 @@ class Quartiles:
 
 
 def fit_quartiles(train: DataFrame, features: list[str]) -> Quartiles:
-    long = train.select(*[F.col(c).cast("double").alias(c) for c in features]).unpivot(ids=[], values=features, variableColumnName="column", valueColumnName="v").filter(F.col("v").isNotNull())
     names = ["q1", "q2", "q3"]
-    q = quantiles(long, [0.25, 0.5, 0.75], names)
+    counted = _checkpoint(frequencies(unpivoted(train, features)))  # one pass over the rows; all below reads the counts
+    q = _checkpoint(quantiles_of(counted, [0.25, 0.5, 0.75], names))
     bin_ = F.size(F.filter(F.array_distinct(F.array(*names)), lambda c: c < F.col("v")))  # how many quartiles lie below
-    stats = long.join(F.broadcast(q), "column").withColumn("bin", bin_).groupBy("column", "bin").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd"), F.min("v").alias("low"), F.max("v").alias("high"))
+    placed = _checkpoint(counted.join(F.broadcast(q), "column").select("column", "v", "n", bin_.alias("bin")))
+    mean = F.when(F.min("v") == F.max("v"), F.min("v")).otherwise(F.sum(F.col("v") * F.col("n")) / F.sum("n"))  # one value: exactly that
+    means = placed.groupBy("column", "bin").agg(mean.alias("mean"))  # a row for each bin
+    off = F.col("v") - F.col("mean")
+    stats = placed.join(F.broadcast(means), ["column", "bin"]).groupBy("column", "bin").agg(
+        F.sum("n").alias("n"), F.first("mean").alias("mean"), F.sqrt(F.sum(off * off * F.col("n")) / F.sum("n")).alias("sd"), F.min("v").alias("low"), F.max("v").alias("high"))
     cuts = {r["column"]: np.unique([r[n] for n in names]) for r in q.collect()}
     held = {(r["column"], r["bin"]): r for r in stats.collect()}
     out: list[list[np.ndarray]] = [[] for _ in range(6)]
