@@ -40,12 +40,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_M
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, send_package
 from .components import connected_components
+from .nearby import neighbour_counter
 
 NULL_GROUP = -(2 ** 62)
 MICRO = 8
 POINT_PAIRS = 4096  # box pairs of at most so many point pairs compare points
+TILE = 4  # side of a tile of ``eps_neighbours``, in eps
+PART = 250_000  # points that one task of a tile counts for at most, nearly
 
 
 def _hav_sql(la1: str, lo1: str, la2: str, lo2: str) -> str:
@@ -86,11 +89,12 @@ def dense_rank_distributed(df: DataFrame, order_cols: list, out: str = "rank", p
 class Grid:
     """Latitude rows of one height, each cut into equal cells of at most the same width on the ground."""
 
-    def __init__(self, eps_m: float):
+    def __init__(self, eps_m: float, side_m: float | None = None):
         self.eps_m = eps_m
         half = math.sin(min(math.pi / 2, eps_m / (2 * EARTH_RADIUS_M)))
         self.q = half * half  # haversine of eps
-        self.side = 2 * half / math.sqrt(2) * (1 - 1e-6)  # radians
+        # radians; without ``side_m`` so small that any two points of a cell are within eps
+        self.side = 2 * half / math.sqrt(2) * (1 - 1e-6) if side_m is None else min(math.pi, side_m / EARTH_RADIUS_M)
         self.dlat = math.degrees(self.side)
         self.rows = math.ceil(math.degrees(eps_m / EARTH_RADIUS_M) / self.dlat)
         self.first, self.last = math.floor(-90 / self.dlat), math.floor(90 / self.dlat)
@@ -117,31 +121,39 @@ class Grid:
         df = df.withColumn("_i", F.explode(F.expr("sequence(if(_hi - _lo + 1 >= _n, 0L, _lo), if(_hi - _lo + 1 >= _n, _n - 1, _hi))")))
         return df.withColumn(out_x, F.expr("pmod(_i, _n)")).drop("_n", "_r", "_lo", "_hi", "_i")
 
+    def within_reach(self, df: DataFrame, la: str, x: str, out_x: str, out_y: str) -> DataFrame:
+        """As ``neighbours``, for points and without the rows that eps does not reach from the point's latitude."""
+        far = math.degrees(self.eps_m / EARTH_RADIUS_M) * (1 + 1e-9) + 1e-9
+        df = df.withColumn("_y", F.expr(self.row(la)))
+        df = self.neighbours(df, la, x, x, "_y", out_x, out_y).drop("_y")
+        return df.filter(f"{out_y} BETWEEN {self.row(f'({la} - {far!r})')} AND {self.row(f'({la} + {far!r})')}")
+
 
 def eps_neighbours(points: DataFrame, id_col: str = "crash_id", lat: str = "lat", lon: str = "lon", group_col: str | None = "community_area_number", eps_m: float = 250.0) -> DataFrame:
     """(id, neighbours): how many points of its group lie within eps metres of each point, itself included.
 
-    Equal coordinates are one weighted point. Every point probes the cells within reach; of each cell's
-    micro boxes those surely within eps count as a whole, and only undecided ones compare points, so a hot
-    spot of any number of points costs each probe its boxes, not its points.
+    Equal coordinates are one weighted point. Points are dealt to tiles of TILE x eps a side, each also to the
+    tiles that eps reaches from it (about twice in all), and a tile counts its own points' neighbours in arrays
+    (operators.nearby). A tile of more than PART points is dealt to several tasks, each with a part of the points
+    to count for; the points they are compared with stream past in blocks.
     """
-    grid = Grid(eps_m)
+    tiles = Grid(eps_m, TILE * eps_m)
     g = F.coalesce(F.col(group_col).cast("long"), F.lit(NULL_GROUP)) if group_col else F.lit(0).cast("long")
     base = points.select(F.col(id_col).alias("_id"), g.alias("g"), F.col(lat).cast("double").alias("la"), F.col(lon).cast("double").alias("lo"))
     base = base.filter(F.col("la").isNotNull() & F.col("lo").isNotNull())
-    wp = _celled(base.groupBy("g", "la", "lo").agg(F.count(F.lit(1)).alias("w")), grid)
-    pts = _checkpoint(wp)
-    boxes = _boxes(pts, 0)
-    probe = pts.select("g", "la", "lo", "x", F.col("cy").alias("pcy"))
-    probe = grid.neighbours(probe, "la", "x", "x", "pcy", "cx", "cy")
-    as_box = {"pla0": F.col("la"), "pla1": F.col("la"), "px0": F.col("x"), "px1": F.col("x")}
-    hit = probe.join(boxes.select(*[F.col(c).alias("q" + c if c in BOX else c) for c in boxes.columns]), ["g", "cx", "cy"])
-    hit = hit.withColumns(as_box).filter(_box_lower("p", "q") <= eps_m).withColumn("sure", _box_upper("p", "q") <= eps_m * (1 - 1e-9))
-    inside = pts.select("g", "cx", "cy", *_box_index(0), F.col("w").alias("qw"), F.col("la").alias("qla"), F.col("lo").alias("qlo"))
-    near = F.expr(_hav_sql("la", "lo", "qla", "qlo")) <= eps_m
-    seen = hit.filter("sure").select("g", "la", "lo", F.col("w").alias("qw")).unionByName(
-        hit.filter("not sure").drop("w").join(inside, ["g", "cx", "cy", "bx", "by"]).filter(near).select("g", "la", "lo", "qw"))
-    counts = seen.groupBy("g", "la", "lo").agg(F.sum("qw").alias("neighbours"))
+    wp = _celled(base.groupBy("g", "la", "lo").agg(F.count(F.lit(1)).alias("w")), tiles)
+    pts = _checkpoint(wp.select("g", "la", "lo", "w", "x", "cx", "cy"))
+    heavy = pts.groupBy("g", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART)
+    heavy = F.broadcast(heavy.select("g", "cx", "cy", F.expr(f"CAST(ceil(n / {PART}) AS INT)").alias("parts")))
+    dealt = ["g", "cx", "cy", "part"]
+    own = pts.join(heavy, ["g", "cx", "cy"], "left").withColumn("part", F.expr("CAST(pmod(xxhash64(la, lo), coalesce(parts, 1)) AS INT)"))
+    met = tiles.within_reach(pts.drop("cx", "cy"), "la", "x", "cx", "cy").join(heavy, ["g", "cx", "cy"], "left")
+    met = met.withColumn("part", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)")))
+    both = own.select(*dealt, F.lit(False).alias("met"), "la", "lo", F.lit(0).cast("long").alias("w")).unionByName(
+        met.select(*dealt, F.lit(True).alias("met"), "la", "lo", "w"))
+    send_package(points.sparkSession)
+    counts = both.repartition(*dealt).sortWithinPartitions(*dealt, "met").mapInArrow(
+        neighbour_counter(eps_m), "g long, la double, lo double, neighbours long")
     return base.join(counts, ["g", "la", "lo"]).select(F.col("_id").alias(id_col), "neighbours")
 
 

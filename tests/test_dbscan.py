@@ -171,3 +171,35 @@ def test_dense_area_compares_touching_boxes_only(spark, monkeypatch):
     monkeypatch.setattr(module, "_checkpoint", kept)
     assert [tuple(r) for r in dbscan(df).select("cluster_id", "core_label").distinct().collect()] == [(0, 0)]
     assert not any(sizes)
+
+
+def test_neighbour_counts_of_tiles_in_parts(spark, monkeypatch):
+    """Hot tiles dealt to several tasks, blocks of few points, the date line, a pole and copies: counts as by all pairs."""
+    from roadrisk.operators import dbscan as module
+    from roadrisk.operators import nearby
+
+    rng = np.random.default_rng(5)
+    pts = [(41.7 + rng.uniform(0, 0.008), -87.8 + rng.uniform(0, 0.011), 1) for _ in range(700)] + [(41.703, -87.795, 1)] * 30
+    pts += [(10 + rng.uniform(0, 0.008), (179.995 + rng.uniform(0, 0.01) + 180) % 360 - 180, g) for g in (1, None) for _ in range(150)]
+    pts += [(89.999 + rng.uniform(0, 0.001), rng.uniform(-180, 180), 2) for _ in range(150)]
+    la, lo, grp = (np.array([-1 if p[k] is None else p[k] for p in pts]) for k in range(3))
+    df = spark.createDataFrame([(i, *map(float, p[:2]), p[2]) for i, p in enumerate(pts)], "crash_id long, lat double, lon double, community_area_number int")
+    a, o = np.radians(la), np.radians(lo)
+    d = 2 * R * np.arcsin(np.sqrt(np.minimum(1.0, np.sin((a[:, None] - a) / 2) ** 2 + np.cos(a[:, None]) * np.cos(a) * np.sin((o[:, None] - o) / 2) ** 2)))
+    want = ((d <= 250) & (grp[:, None] == grp)).sum(1)
+    monkeypatch.setattr(module, "PART", 60)
+    got = {r["crash_id"]: r["neighbours"] for r in module.eps_neighbours(df).collect()}
+    assert [got[i] for i in range(len(pts))] == want.tolist()
+    monkeypatch.setattr(nearby, "FEW", 0)
+    monkeypatch.setattr(nearby, "PAIRS", 100)
+    for some in (grp == 1) & (la > 41), grp == -1, grp == 2:
+        assert nearby.count_within(la[some], lo[some], la[some], lo[some], np.ones(some.sum(), int), 250.0).tolist() == want[some].tolist()
+
+
+def test_points_are_dealt_to_few_tiles(spark):
+    """A point goes to the tiles within its reach, twice or three times in all, not to each cell in reach."""
+    from roadrisk.operators.dbscan import TILE, Grid
+
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(float(rng.uniform(41.6, 41.9)), float(rng.uniform(92, 92.4))) for _ in range(2000)], "la double, x double")
+    assert Grid(250.0, TILE * 250.0).within_reach(df, "la", "x", "cx", "cy").count() < 3 * 2000
