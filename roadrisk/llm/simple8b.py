@@ -28,15 +28,15 @@ table gives no file and no rows.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,42 +208,20 @@ class ShardReader:
             start += n
 
 
-class _Numbers(dict):
-    """Numbers pieces in order of first sight and remembers the new ones.
-
-    The first ones, which are mostly the frequent ones, are in this small table itself, which stays in
-    the processor's cache; ``every`` has all.
-    """
-
-    def __init__(self, first: int = 16_384) -> None:
-        self.first = first
-        self.every: dict[bytes, int] = {}
-        self.new: list[bytes] = []
-
-    def __missing__(self, piece: bytes) -> int:
-        n = self.every.get(piece)
-        if n is None:
-            n = self.every[piece] = len(self.every)
-            self.new.append(piece)
-            if n < self.first:
-                self[piece] = n
-        return n
-
-
 class _Table:
     """Ids of numbered pieces, one after the other in ``flat``."""
 
     def __init__(self) -> None:
-        self.number = _Numbers()
+        self.number: dict[bytes, int] = {}
         self.flat = np.empty(0, np.uint32)
         self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def add(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
-        """The ids of ``pieces``, which have numbers already; piece k's end at ``ends[k]``."""
-        k = np.fromiter(map(self.number.every.__getitem__, pieces), np.int64, len(pieces))
-        if len(self.number.every) > len(self.begin):
-            more = np.zeros(len(self.number.every) - len(self.begin), np.int64)
-            self.begin, self.length = np.concatenate((self.begin, more)), np.concatenate((self.length, more))
+    def grow(self) -> None:
+        more = np.zeros(len(self.number) - len(self.begin), np.int64)
+        self.begin, self.length = np.concatenate((self.begin, more)), np.concatenate((self.length, more))
+
+    def add(self, k: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """The ids of the pieces of numbers ``k``; those of its j-th end at ``ends[j]``."""
         self.length[k] = np.diff(ends, prepend=0)
         self.begin[k] = len(self.flat) + ends - self.length[k]
         self.flat = np.concatenate((self.flat, ids.astype(np.uint32)))
@@ -278,49 +256,79 @@ def piece_encoder(tokenizer_path: str, spaced: bool, limit: int = 400_000) -> Ca
     word_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
     tables = [_Table(), _Table()]  # this generation and the last
 
-    def learn(new: list[bytes]) -> None:
+    def learn(new: list[bytes], k: np.ndarray) -> None:
+        """The ids of new pieces, whose numbers are ``k``."""
         now, past = tables
-        old = [p for p in new if p in past.number.every]
-        if old:
-            k = np.fromiter(map(past.number.every.__getitem__, old), np.int64, len(old))
-            now.add(old, past.ids(k), np.cumsum(past.length[k]))
-            new = [p for p in new if p not in past.number.every]
-        bare = [p for p in new if p.isalpha() and p.islower()]
-        if bare:
-            found = [[t.id for t in word_ids(p.decode())] for p in bare]
-            now.add(bare, np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
-            new = list(set(new).difference(bare))
-        words = [p for p in new if (p.isalpha() if p.isascii() else p.decode("utf-8").isalpha())]
-        if words:
-            ids = np.asarray(plain([b" ".join(words)])[0])
+        now.grow()
+        if past.number:
+            old = np.fromiter(map(past.number.get, new, repeat(-1)), np.int64, len(new))
+            known = old >= 0
+            if known.any():
+                now.add(k[known], past.ids(old[known]), np.cumsum(past.length[old[known]]))
+                new, k = list(compress(new, ~known)), k[~known]
+        bare = np.fromiter((p.isalpha() and p.islower() for p in new), bool, len(new))
+        if bare.any():
+            found = [[t.id for t in word_ids(p.decode())] for p in compress(new, bare)]
+            add_lists(k[bare], found)
+            new, k = list(compress(new, ~bare)), k[~bare]
+        letters = np.fromiter(((p.isalpha() if p.isascii() else p.decode("utf-8").isalpha()) for p in new), bool, len(new))
+        if letters.any():
+            ids = np.asarray(plain([b" ".join(compress(new, letters))])[0])
             ends = np.flatnonzero(word_end[ids]) + 1
-            if len(ends) == len(words):
-                now.add(words, ids, ends)
-                new = list(set(new).difference(words))
+            if len(ends) == letters.sum():
+                now.add(k[letters], ids, ends)
+                new, k = list(compress(new, ~letters)), k[~letters]
         if new:
-            found = plain(new)
-            now.add(new, np.fromiter(chain.from_iterable(found), np.uint32), np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))
+            add_lists(k, plain(new))
+
+    def add_lists(k: np.ndarray, found: list[list[int]]) -> None:
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        tables[0].add(k, np.fromiter(chain.from_iterable(found), np.uint32, ends[-1]), ends)
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        if len(tables[0].number.every) > limit:
+        if len(tables[0].number) > limit:
             tables[:] = _Table(), tables[0]
         numbers = tables[0].number
-        coded = []
-        for t in texts:
-            pieces = (t.replace(b"\n", b" ") if b"<|" in t else _CUT.sub(b" ", t.translate(_LOWER))).split(b" ")
-            coded.append(np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces)))
-        if numbers.new:
-            learn(numbers.new)
-            numbers.new = []
-        return [tables[0].ids(k) for k in coded]
+        pieces, place, ends = cut_pieces(texts)
+        number = np.fromiter(map(numbers.get, pieces, repeat(-1)), np.int64, len(pieces))
+        at = np.flatnonzero(number < 0)
+        if len(at):
+            new = [pieces[i] for i in at.tolist()]
+            number[at] = np.arange(len(numbers), len(numbers) + len(new))
+            numbers.update(zip(new, number[at].tolist(), strict=True))
+            learn(new, number[at])
+        k = number[place]
+        until = np.concatenate(([0], np.cumsum(tables[0].length[k])))[ends]
+        return np.split(tables[0].ids(k), until[:-1]) if len(texts) else []
 
     return encode
 
 
-_CUT = re.compile(rb"(?<=[a-z])(?=[.,])")
 #: A-Z to a-z and a line end to a blank.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 10 else b for b in range(256))
 
+
+def cut_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct pieces of texts, the place among them of each piece in order, and where each text's pieces end.
+
+    Texts are lower-cased and cut at blanks, line ends and between a letter and ``.`` or ``,``; texts with ``<|``
+    at blanks and line ends alone.
+    """
+    raw = np.asarray([b"<|" in t for t in texts], bool)
+    held = [t.replace(b"\n", b" ") if as_is else t.translate(_LOWER) for t, as_is in zip(texts, raw.tolist(), strict=True)]
+    ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)))
+    codes = np.frombuffer(b"".join(held), np.uint8)
+    at = np.flatnonzero((codes == 46) | (codes == 44))
+    at = at[at > 0]
+    at = at[(codes[at - 1] >= 97) & (codes[at - 1] <= 122)]
+    text = np.searchsorted(ends, at, "right")
+    at = at[~raw[text] & (text == np.searchsorted(ends, at - 1, "right"))]  # the letter is of the same text
+    offsets = np.concatenate(([0], ends + np.searchsorted(at, ends)))
+    cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(held), [None, pa.py_buffer(offsets), pa.py_buffer(np.insert(codes, at, 32))])
+    split = pc.split_pattern(cut, " ")
+    found = split.values.dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy(), split.offsets.to_numpy()[1:]
+
 _HELD: dict[tuple[str, bool], Callable] = {}
 
 

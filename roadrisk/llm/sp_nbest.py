@@ -43,7 +43,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, small_batches
-from .simple8b import _Numbers as Numbers
 
 BLANK = "▁"
 #: A word ends before a blank, and between a Latin letter or digit and an ASCII mark.
@@ -56,6 +55,28 @@ Path = tuple[float, tuple[int, ...]]
 Known = tuple[float, tuple[int, ...], float]
 
 
+class Numbers(dict):
+    """Numbers pieces in order of first sight and remembers the new ones.
+
+    The first ones, which are mostly the frequent ones, are in this small table itself, which stays in
+    the processor's cache; ``every`` has all.
+    """
+
+    def __init__(self, first: int = 16_384) -> None:
+        self.first = first
+        self.every: dict[bytes, int] = {}
+        self.new: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        n = self.every.get(piece)
+        if n is None:
+            n = self.every[piece] = len(self.every)
+            self.new.append(piece)
+            if n < self.first:
+                self[piece] = n
+        return n
+
+
 class Pieces:
     """The model's pieces with their scores, and where a text can be cut."""
 

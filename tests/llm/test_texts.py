@@ -340,6 +340,16 @@ def test_ids_round_trip(session, odd_docs, no_docs):
         start += len(ids)
 
 
+def test_pieces_of_texts_are_cut_at_once():
+    """Distinct pieces and the place of each piece, text by text; a text's end is no place for a cut."""
+    texts = [b"Ab.c,D 1.5\nx", b"", b".a", b"End", b".b <|X.y|>\nZ", b"", "\u00e9.A".encode(), b"a."]
+    want = [[b"ab", b".c", b",d", b"1.5", b"x"], [b""], [b".a"], [b"end"], [b".b", b"<|X.y|>", b"Z"], [b""], ["\u00e9.a".encode()], [b"a", b"."]]
+    pieces, place, ends = simple8b.cut_pieces(texts)
+    assert len(set(pieces)) == len(pieces)
+    assert [[pieces[i] for i in part] for part in np.split(place, ends[:-1])] == want
+    assert simple8b.cut_pieces([])[0] == [] and len(simple8b.cut_pieces([b""] * 3)[1]) == 3
+
+
 def test_shard_random_access(tmp_path):
     rng = random.Random(1)
     w = simple8b.ShardWriter(f"{tmp_path}/x.ids")
