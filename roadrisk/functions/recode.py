@@ -80,13 +80,21 @@ def recode_causes(df: DataFrame, columns=CAUSE_COLUMNS) -> DataFrame:
 
 
 def recode_categories(df: DataFrame, recodes=LIST_RECODES) -> DataFrame:
-    """Apply the list recodes. Each column's rules compose into one CASE expression."""
-    exprs: dict[str, Column] = {}
+    """Apply the list recodes. Each column's rules, applied in their order, compose into one flat CASE expression."""
+    final: dict[str, dict[str, str]] = {}
+    for c, olds, _ in recodes:
+        if c in df.columns:
+            final.setdefault(c, {}).update({v: v for v in olds})
     for c, olds, new in recodes:
-        if c not in df.columns:
-            continue
-        cur = exprs.get(c, F.col(c))
-        exprs[c] = F.when(cur.isin(olds), F.lit(new)).otherwise(cur)
+        for v, now in final.get(c, {}).items():
+            if now in olds:
+                final[c][v] = new
+    exprs: dict[str, Column] = {}
+    for c, values in final.items():
+        cases = F
+        for new in dict.fromkeys(values.values()):
+            cases = cases.when(F.col(c).isin([v for v, now in values.items() if now == new]), F.lit(new))
+        exprs[c] = cases.otherwise(F.col(c))
     return df.withColumns(exprs)
 
 

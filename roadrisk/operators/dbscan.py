@@ -61,9 +61,9 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def _stored(df: DataFrame, name: str = "points") -> DataFrame:
     """``df`` as Parquet in the shared folder, read back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/points/{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

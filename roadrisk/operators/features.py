@@ -2,42 +2,75 @@
 
 Label encoding maps each category to its position in the sorted list of the
 column's distinct values (the usual label-encoder rule). The vocabularies are
-computed with one unpivot + distinct + distributed rank over the distinct
-values, counted, and joined per column: broadcast while they are small, so the
+computed from each batch's distinct values + distinct + distributed rank over
+the distinct values and counted. A small vocabulary becomes a literal map in the
+row's own projection; a larger one is joined, broadcast up to a bound, so the
 wide table is not shuffled for encoding.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.core import map_lookup
 from ..functions.recode import (datetime_parts, recode_categories, recode_causes, recode_traffic_control,
                                 time_of_day)
 from ..schemas import CATEGORICAL_COLUMNS, DROP_COLUMNS, DROP_HIGH_NULL_COLUMNS, FEATURE_COLUMNS, TARGET
 from .clean import drop_zero_points
 from .sampling import BROADCAST_ROWS, row_number_distributed
 
+LITERAL_VALUES = 100  # a map literal is searched value by value
+
 
 def label_vocab(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, code) with code = rank of value among the sorted distinct values - 1."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        ids=[], values=columns, variableColumnName="column", valueColumnName="value")
-    distinct = long.filter(F.col("value").isNotNull()).distinct()
+    def values(batches):
+        """The distinct values of each column of a batch, so that rows times columns are never laid out."""
+        for b in batches:
+            found = [pc.drop_null(pc.unique(b.column(k))).cast(pa.string()) for k in range(len(columns))]
+            names = pa.array([c for c, v in zip(columns, found) for _ in range(len(v))], pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.concat_arrays(found)], names=["column", "value"])
+
+    distinct = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).mapInArrow(values, "column string, value string").distinct()
     ranked = row_number_distributed(distinct, ["column"], [F.col("value")])
     return ranked.select("column", "value", (F.col("rn") - 1).cast("int").alias("code"))
 
 
+def _literal_codes(vocab: DataFrame, columns: list[str]) -> dict:
+    """From column to its lookup, for those ``columns`` (of few values each) whose values stand in the vocabulary once."""
+    kinds = {f.name: f.dataType for f in vocab.schema.fields}
+    if kinds["value"].simpleString() != "string" or not columns:
+        return {}
+    held: dict[str, list[tuple]] = {c: [] for c in columns}
+    for r in vocab.filter(F.col("column").isin(columns) & F.col("value").isNotNull()).select("column", "value", "code").collect():
+        held[r["column"]].append((r["value"], r["code"]))
+
+    def lookup(codes: dict):
+        def code(value: Column) -> Column:
+            found = map_lookup(codes, value) if codes else F.lit(None)
+            return found.cast(kinds["code"])
+
+        return code
+
+    return {c: lookup(dict(v)) for c, v in held.items() if len(dict(v)) == len(v)}
+
+
 def label_encode(df: DataFrame, columns: list[str], vocab: DataFrame | None = None, fill: str | None = None) -> DataFrame:
     """Replace each column by its integer code (unknown values -> null).
 
-    One lookup join per column; a vocabulary that was counted as small is broadcast, a large one joins by a shuffle.
+    Vocabularies of at most ``LITERAL_VALUES`` values are map literals, all looked up in one projection. Each other one is
+    a lookup join: broadcast if it was counted as small, by a shuffle if not.
     """
     if fill is not None:
         df = df.fillna(fill, subset=columns)
     vocab = vocab if vocab is not None else label_vocab(df, columns)
     sizes = {r["column"]: r["count"] for r in vocab.groupBy("column").count().collect()}
-    for c in columns:
+    literal = _literal_codes(vocab, [c for c in columns if sizes.get(c, 0) <= LITERAL_VALUES])
+    df = df.withColumns({c: code(df[c].cast("string")) for c, code in literal.items()})
+    for c in (c for c in columns if c not in literal):
         part = vocab.filter(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
         part = F.broadcast(part) if sizes.get(c, 0) <= BROADCAST_ROWS else part
         order = df.columns

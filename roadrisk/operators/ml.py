@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dbscan import _checkpoint
+from .dbscan import _checkpoint, _stored
 
 
 def _attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def fit_pipeline(train: DataFrame, features: list[str], label: str, model: str =
     from pyspark.ml.feature import IndexToString
 
     from .profile import medians
-    train = _checkpoint(train.withColumns({c: F.col(c).cast("double") for c in features}))
+    train = _stored(train.select(label, *[F.col(c).cast("double").alias(c) for c in features]), "train")  # all passes of the fit read it
     indexer = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
     rows = with_class_weight(indexer.transform(train), "label")
     middle = medians(train, features).first()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dbscan import _checkpoint
+from .dbscan import _stored
 
 BROADCAST_ROWS = 100_000
 
@@ -27,17 +27,19 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_key(key, seed), F.col(key)).limit(n)
 
 
-def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn", size: str | None = None) -> DataFrame:
+def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list, out: str = "rn", size: str | None = None,
+                           drop: tuple[str, ...] = ()) -> DataFrame:
     """1-based row number within ``part_cols`` groups in ``order_cols`` order, with one shuffle of the rows.
 
-    ``size`` names a column for the number of rows of each group, which the same small table tells.
+    ``size`` names a column for the number of rows of each group, which the same small table tells. ``drop`` names
+    columns that only the order needs. The numbered rows are stored as Parquet, so the small table reads three columns.
 
     After the range partitioning and local sort, ``monotonically_increasing_id`` holds the partition
     (upper bits) and the row within it (lower 33 bits); a table with one row per partition and group
     tells where each group begins there and how many of its rows lie in earlier partitions.
     """
     order = [*[F.col(c) for c in part_cols], *order_cols]
-    r = _checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    r = _stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).drop(*drop), "numbered")
     part, row = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     starts = r.groupBy(part.alias("_part"), *part_cols).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_n"))
     prior = Window.partitionBy(*part_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,15 +58,15 @@ def row_number_distributed(df: DataFrame, part_cols: list[str], order_cols: list
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: per class exactly round(test_size * n_class) rows (hash order) are test."""
     h = hash_key(key, seed)
-    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)], size="_nc").filter(F.col(label).isNotNull())
-    return ranked.withColumn("is_test", F.col("rn") <= F.round(F.col("_nc") * test_size)).drop("_h", "_nc")
+    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)], size="_nc", drop=("_h",)).filter(F.col(label).isNotNull())
+    return ranked.withColumn("is_test", F.col("rn") <= F.round(F.col("_nc") * test_size)).drop("_nc")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Adds ``fold`` in 0..k-1, dealt round-robin per class in hash order."""
     h = hash_key(key, seed)
-    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)])
-    return ranked.withColumn("fold", ((F.col("rn") - 1) % k).cast("int")).drop("_h")
+    ranked = row_number_distributed(df.withColumn("_h", h), [label], [F.col("_h"), F.col(key)], drop=("_h",))
+    return ranked.withColumn("fold", ((F.col("rn") - 1) % k).cast("int"))
 
 
 def example_rows(df: DataFrame, key: str, positions=(10, 100, 250), seed: int = 42) -> DataFrame:
